@@ -112,7 +112,8 @@ def instant(value: Column) -> Column:
     """ISO 8601 text or an epoch number, also written as text; no offset means UTC."""
     written = _get(value, "string")
     from_text = (
-        F.when(written.rlike(r"^[+-]?[0-9]+$"), _from_epoch(written.try_cast("bigint")))
+        F.when(written.rlike(_PLAIN_UTC), plain_instant(written))
+        .when(written.rlike(r"^[+-]?[0-9]+$"), _from_epoch(written.try_cast("bigint")))
         .when(written.rlike(_EPOCH_NUMBER), _from_epoch(written.try_cast("double")))
         .otherwise(_from_iso(written))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from millrace.functions.json_doc import (
     typed_fields,
 )
 
+Rule = Callable[[Column], Column]
+
 # The contract: fields that must be there, fields that may be absent or null, and
 # objects that hold them. A field the event table has no column for is checked all
 # the same. ``bot`` stands apart: it may be absent, but not null.
@@ -68,6 +72,7 @@ _COERCE = {
     "instant": coerce.instant,
     "flag": coerce.flag,
 }
+_OF_TYPE = {name: [p for p, type_name in TYPES.items() if type_name == name] for name in _COERCE}
 _TOP_LEVEL = sorted({path.split(".")[0] for path in TYPES})
 
 
@@ -139,14 +144,19 @@ def _plain_reading(source: DataFrame) -> DataFrame:
 # ---- every other case: the full rules ----------------------------------------------
 
 
+def _seen(seen: Column, path: str) -> Column:
+    """Kind and value of one field, null when the contract does not allow its value."""
+    return seen[TYPES[path]][_OF_TYPE[TYPES[path]].index(path)]
+
+
 def _complaints(seen: Column) -> Column:
     """``path: reason`` for every broken rule, joined with ``; ``; empty if none is."""
 
     def found(path: str) -> Column:
-        return seen[_name(path)]["kind"]
+        return _seen(seen, path)["kind"]
 
     def unusable(path: str) -> Column:
-        return seen[_name(path)]["value"].isNull()
+        return _seen(seen, path)["value"].isNull()
 
     def wrong(path: str) -> Column:
         return F.lit(f"{path}: not {_EXPECTED[TYPES[path]]}")
@@ -168,33 +178,38 @@ def _complaints(seen: Column) -> Column:
 def _full_reading(raw: Column) -> Column:
     """``error`` and the landed values, by every rule of the contract."""
 
-    def see(top: Column) -> Column:
-        parents = {p: member_fields(top[p], _members(p)) for p in ["meta", *OBJECTS]}
+    def open_objects(top: Column) -> Column:
+        parents = ["meta", *OBJECTS]
+        inner = [member_fields(top[p], _members(p)).alias(f"in_{p}") for p in parents]
+        return F.struct(top.alias("top"), *inner)
 
-        def entry(path: str) -> Column:
+    def see(opened: Column) -> Column:
+        def value(path: str) -> Column:
             parent, _, member = path.rpartition(".")
-            value = parents[parent][member] if parent else top[member]
-            rule = _COERCE[TYPES[path]]
-            return out_of_line(
-                value, lambda v: F.struct(kind(v).alias("kind"), rule(v).alias("value"))
-            ).alias(_name(path))
+            return opened[f"in_{parent}"][member] if parent else opened["top"][member]
+
+        def look(rule: Rule) -> Rule:
+            return lambda v: F.struct(kind(v).alias("kind"), rule(v).alias("value"))
 
-        return F.struct(
-            *[entry(path) for path in TYPES],
-            *[kind(top[path]).alias(f"{path}_kind") for path in OBJECTS],
-        )
+        # One array, and so one copy of the rule, per type.
+        by_type = [
+            F.transform(F.array(*map(value, _OF_TYPE[name])), look(rule)).alias(name)
+            for name, rule in _COERCE.items()
+        ]
+        return F.struct(*by_type, *[kind(opened["top"][p]).alias(f"{p}_kind") for p in OBJECTS])
 
     def judge(document: Column) -> Column:
         def verdict(seen: Column) -> Column:
             error = F.when(
                 ~is_single_document(document, raw), F.lit("not a JSON document")
             ).otherwise(_complaints(seen))
-            landed = {name: seen[_name(path)]["value"] for name, path in LANDED_FROM.items()}
-            landed["bot"] = F.coalesce(seen["bot"]["value"], F.lit(False))
+            landed = {name: _seen(seen, path)["value"] for name, path in LANDED_FROM.items()}
+            landed["bot"] = F.coalesce(_seen(seen, "bot")["value"], F.lit(False))
             return F.struct(error.alias("error"), *[v.alias(n) for n, v in landed.items()])
 
         fields = document_fields(document, _TOP_LEVEL)
-        return out_of_line(fields, lambda top: out_of_line(see(top), verdict))
+        opened = out_of_line(fields, open_objects)
+        return out_of_line(out_of_line(opened, see), verdict)
 
     return out_of_line(marked_variant(raw), judge)
 
