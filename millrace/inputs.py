@@ -81,9 +81,20 @@ def raw_nrt(spark: SparkSession, sf_dir: str, blank_wikis: bool = False) -> Data
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Small inputs over all cores; inputs with enough splits as they are.
+
+    A topic or a file buffer arrives in many splits. The test tables are one small file
+    each, which would leave costly per-row work to a single task.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    splits = rows._jdf.queryExecution().toRdd().getNumPartitions()
+    return rows if splits >= cores else rows.repartition(cores)
+
+
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON text: most valid, some in unusual forms, some broken."""
-    rows = events(spark, sf_dir)
+    rows = spread(events(spark, sf_dir))
     time = F.concat(
         F.lit('"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit('Z"')
     )
