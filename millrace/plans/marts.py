@@ -4,20 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas, storage
 from millrace.functions.dates import day_label, expires_at, hour_start
 from millrace.operators import intervals
 from millrace.operators.staging import events_for_interval, latest_delivery
+from millrace.session import work_dir
 
 # All the hourly mart needs of an event.
 _ACTIVITY = ["event_id", "event_dt", "wiki", "user", "bot"]
 
 
 class AuditFailure(Exception):
-    """Rows of a mart broke a rule. They are stored, but their interval is not recorded."""
+    """Recomputed rows broke a rule. The mart and its ledger are as before."""
 
 
 def hourly_activity(events: DataFrame) -> DataFrame:
@@ -77,43 +78,45 @@ def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame:
 
 def _replace_hours(
     spark: SparkSession, raw: DataFrame, mart_root: str, starts: list[dt.datetime]
-) -> int:
+) -> None:
     """Recompute the given hours and put them in place of what the mart has for them.
 
-    Whole days are rewritten: the other hours of a touched day are carried over. Spark
-    swaps the day directories at commit, after all reading is done. A day left without
-    any row is not part of that swap and is removed afterwards.
+    The new state of every touched day, its other hours included, is written aside and
+    audited first. Only then are the day directories swapped, without reading the mart
+    again. A day left without any row has nothing to swap in and is removed.
     """
     hours = spark.createDataFrame([(start,) for start in starts], "hour_ts timestamp")
-    days = sorted({start.date().isoformat() for start in starts})
+    days = {start.date().isoformat() for start in starts}
     after = max(starts) + dt.timedelta(hours=1)
 
     fresh = edits_hourly(raw, min(starts), after).join(hours, "hour_ts", "left_semi")
-    audit, written = Observation(), Observation()
-    audited = fresh.observe(
-        audit,
-        F.count_if(F.col("wiki").isNull() | (F.col("wiki") == "")).alias("without_wiki"),
-    )
     kept = (
         read_edits_hourly(spark, mart_root)
-        .where(F.col("dt").isin(days))
+        .where(F.col("dt").isin(sorted(days)))
         .drop("dt")
         .join(hours, "hour_ts", "left_anti")
     )
-    rows = audited.unionByName(kept).withColumn("dt", day_label(F.col("hour_ts")))
-    (
-        rows.observe(written, F.collect_set("dt").alias("days"))
-        .hint("rebalance", "dt")
-        .sortWithinPartitions("dt", "wiki", "hour_ts")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(mart_root)
+    aside = work_dir(spark, "edits-hourly")
+    storage.append_partitioned(
+        fresh.unionByName(kept).withColumn("dt", day_label(F.col("hour_ts"))), aside, "dt"
     )
-    # Without a single row the optimizer drops the plan together with its metrics.
-    for day in set(days) - set(written.get.get("days", [])):
-        storage.delete(spark, f"{mart_root.rstrip('/')}/dt={day}")
-    return audit.get.get("without_wiki", 0)
+    try:
+        ready = read_edits_hourly(spark, aside)
+        objections = without_wiki(ready).join(hours, "hour_ts", "left_semi").count()
+        if objections:
+            raise AuditFailure(f"{objections} rows of the hourly mart name no wiki")
+        (
+            ready.sortWithinPartitions("dt", "wiki", "hour_ts")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("dt")
+            .parquet(mart_root)
+        )
+        filled = {name.removeprefix("dt=") for name in storage.subdirectories(spark, aside)}
+        for day in days - filled:
+            storage.delete(spark, f"{mart_root.rstrip('/')}/dt={day}")
+    finally:
+        storage.delete(spark, aside)
 
 
 def _run(
@@ -129,9 +132,7 @@ def _run(
     starts = sorted(dt.datetime.fromtimestamp(s, dt.timezone.utc) for s in seconds)
     if not starts:
         return 0
-    objections = _replace_hours(spark, raw, mart_root, starts)
-    if objections:
-        raise AuditFailure(f"{objections} rows of the hourly mart name no wiki")
+    _replace_hours(spark, raw, mart_root, starts)
     filled = spark.createDataFrame([(start, now) for start in starts], schemas.LEDGER)
     filled.coalesce(1).write.mode("append").parquet(ledger_root)
     return len(starts)

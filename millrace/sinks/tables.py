@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace import schemas, storage
@@ -35,15 +36,20 @@ def append_raw_batch(articles: DataFrame, root: str, fetched_at: dt.datetime) ->
 
     A repeated fetch is added again. The grain check reports it.
     """
-    count = Observation()
     rows = raw_batch_rows(articles, fetched_at).withColumn("month", month_label(F.col("date")))
-    counted = rows.observe(count, F.count("*").alias("rows"))
-    storage.append_partitioned(counted, root, "month", schemas.RAW_BATCH_SORT)
-    return count.get["rows"]
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        count = rows.count()
+        if count:
+            storage.append_partitioned(rows, root, "month", schemas.RAW_BATCH_SORT)
+    finally:
+        rows.unpersist()
+    return count
 
 
 def append_manifest(rows: DataFrame, root: str) -> None:
     """Record loaded files, kept by the date in their path so that a bounded load reads
     only the manifest rows of the files it looks at."""
     placed = rows.withColumn("dt", storage.path_partition(F.col("file_path")))
-    placed.coalesce(1).write.mode("append").partitionBy("dt").parquet(root)
+    ordered = placed.coalesce(1).sortWithinPartitions("dt", "file_path")
+    ordered.write.mode("append").partitionBy("dt").parquet(root)

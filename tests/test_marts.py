@@ -1,0 +1,234 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace import schemas
+from millrace.operators import intervals, staging
+from millrace.plans import marts
+
+UTC = dt.timezone.utc
+
+
+def at(text):
+    return dt.datetime.fromisoformat(text).replace(tzinfo=UTC)
+
+
+def raw(spark, *rows):
+    """Deliveries of (event_id, time, wiki, user, bot)."""
+    full = [
+        (event_id, at(when), wiki, "edit", None, None, user, bot, None, None, None, None, None, "{}")
+        for event_id, when, wiki, user, bot in rows
+    ]
+    return spark.createDataFrame(full, schemas.RAW_NRT).withColumn(
+        "dt", F.date_format("event_dt", "yyyy-MM-dd")
+    )
+
+
+def hours_of(mart):
+    epoch = F.date_format("hour_ts", "dd HH")
+    columns = ("wiki", "edit_count", "bot_edit_count", "distinct_editors")
+    return {(r[0], r[1]): tuple(r)[2:] for r in mart.select("wiki", epoch, *columns[1:]).collect()}
+
+
+@pytest.fixture
+def roots(tmp_path):
+    return str(tmp_path / "mart"), str(tmp_path / "ledger")
+
+
+def test_latest_delivery_wins(spark):
+    rows = raw(
+        spark,
+        ("a", "2025-03-10 01:00:00", "early", "u", False),
+        ("a", "2025-03-10 02:00:00", "late", "u", False),
+        ("b", "2025-03-10 01:00:00", "once", "u", False),
+    )
+    staged = staging.stg_events_nrt(rows)
+    assert staged.columns == schemas.STG_EVENTS
+    assert {r["event_id"]: r["wiki"] for r in staged.collect()} == {"a": "late", "b": "once"}
+    assert [r["event_id"] for r in staging.drifting_events(rows).collect()] == ["a"]
+
+
+def test_ties_are_broken_the_same_way_for_any_columns(spark):
+    rows = raw(
+        spark,
+        *[("a", "2025-03-10 01:00:00", w, u, b) for w in "yx" for u in ("2", "1") for b in (True, False)],
+    )
+    whole = staging.stg_events_nrt(rows.repartition(4)).select("wiki", "user", "bot").first()
+    narrow = staging.latest_delivery(rows, ["event_id", "event_dt", "bot", "wiki", "user"]).first()
+    assert tuple(whole) == (narrow["wiki"], narrow["user"], narrow["bot"]) == ("x", "1", False)
+
+
+def test_hourly_activity(spark):
+    rows = raw(
+        spark,
+        ("a", "2025-03-10 01:00:00", "w", "u", True),
+        ("a", "2025-03-10 01:00:00", "w", "u", True),
+        ("b", "2025-03-10 01:59:59", "w", None, False),
+        ("c", "2025-03-10 01:30:00", "w", "v", False),
+        ("d", "2025-03-10 02:00:00", "w", "v", False),
+    )
+    assert hours_of(marts.edits_hourly(rows)) == {("w", "10 01"): (3, 1, 2), ("w", "10 02"): (1, 0, 1)}
+
+
+def test_interval_is_half_open_and_equals_the_cut_of_the_whole(spark):
+    rows = raw(
+        spark,
+        ("edge", "2025-03-10 02:00:00", "w", "u", False),
+        ("in", "2025-03-10 01:00:00", "w", "u", False),
+        ("moved out", "2025-03-10 01:10:00", "w", "u", False),
+        ("moved out", "2025-03-10 05:00:00", "w", "u", False),
+        ("moved in", "2025-03-09 01:10:00", "w", "u", False),
+        ("moved in", "2025-03-10 01:20:00", "w", "u", False),
+    )
+    start, end = at("2025-03-10 01:00:00"), at("2025-03-10 02:00:00")
+    part = hours_of(marts.edits_hourly(rows, start, end))
+    whole = hours_of(marts.edits_hourly(rows))
+    assert part == {k: v for k, v in whole.items() if k == ("w", "10 01")} == {("w", "10 01"): (2, 0, 1)}
+
+
+def test_interval_filter_reaches_the_scan(spark, tmp_path):
+    rows = raw(spark, ("a", "2025-03-10 01:00:00", "w", "u", False))
+    rows.write.partitionBy("dt").parquet(str(tmp_path / "t"))
+    stored = spark.read.schema(rows.schema).parquet(str(tmp_path / "t"))
+    mart = marts.edits_hourly(stored, at("2025-03-10 00:00:00"), at("2025-03-11 00:00:00"))
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    assert "raw_json" not in plan and "title" not in plan
+    assert "dt#" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert "GreaterThanOrEqual(event_dt" in plan
+
+
+def test_stable_time_variant(spark):
+    rows = raw(
+        spark,
+        ("a", "2025-03-10 01:00:00", "w", "u", False),
+        ("a", "2025-03-10 01:00:00", "w", "u", False),
+        ("b", "2025-03-11 00:00:00", "w", "u", False),
+    )
+    span = at("2025-03-10 00:00:00"), at("2025-03-11 00:00:00")
+    assert hours_of(marts.edits_hourly_assuming_stable_time(rows, *span)) == hours_of(
+        marts.edits_hourly(rows, *span)
+    )
+
+
+def test_refresh_fills_what_is_missing_and_repeats_nothing(spark, roots):
+    rows = raw(
+        spark,
+        ("a", "2025-03-10 00:10:00", "w", "u", False),
+        ("b", "2025-03-10 02:10:00", "w", "u", False),
+        ("c", "2025-03-10 03:10:00", "w", "u", False),
+    )
+    start = at("2025-03-10 00:00:00")
+    assert marts.refresh(spark, rows, *roots, start, at("2025-03-10 03:05:00"), lookback_hours=0) == 3
+    assert hours_of(marts.read_edits_hourly(spark, roots[0])) == {
+        ("w", "10 00"): (1, 0, 1), ("w", "10 02"): (1, 0, 1),
+    }
+    assert marts.refresh(spark, rows, *roots, start, at("2025-03-10 03:30:00"), lookback_hours=0) == 0
+    assert marts.refresh(spark, rows, *roots, start, at("2025-03-10 04:00:00"), lookback_hours=0) == 1
+    assert len(hours_of(marts.read_edits_hourly(spark, roots[0]))) == 3
+
+
+def test_lookback_counts_events_that_arrived_late(spark, roots):
+    start = at("2025-03-10 00:00:00")
+    early = raw(spark, ("a", "2025-03-10 00:10:00", "w", "u", False))
+    late = early.unionByName(raw(spark, ("b", "2025-03-10 00:59:59", "w", "v", False)))
+    marts.refresh(spark, early, *roots, start, at("2025-03-10 01:00:00"))
+    marts.refresh(spark, late, *roots, start, at("2025-03-10 02:00:00"), lookback_hours=0)
+    assert hours_of(marts.read_edits_hourly(spark, roots[0]))[("w", "10 00")] == (1, 0, 1)
+    marts.refresh(spark, late, *roots, start, at("2025-03-10 02:00:00"), lookback_hours=1)
+    assert hours_of(marts.read_edits_hourly(spark, roots[0]))[("w", "10 00")] == (2, 0, 2)
+
+
+def test_backfill_replaces_instead_of_adding(spark, roots):
+    span = at("2025-03-10 00:00:00"), at("2025-03-11 00:00:00")
+    now = at("2025-03-12 00:00:00")
+    rows = raw(
+        spark,
+        ("a", "2025-03-10 00:10:00", "w", "u", False),
+        ("b", "2025-03-10 05:10:00", "w", "u", False),
+        ("c", "2025-03-11 05:10:00", "w", "u", False),
+    )
+    whole = at("2025-03-10 00:00:00"), at("2025-03-12 00:00:00")
+    marts.backfill(spark, rows, *roots, *whole, now)
+    first = hours_of(marts.read_edits_hourly(spark, roots[0]))
+    marts.backfill(spark, rows, *roots, *span, now)
+    assert hours_of(marts.read_edits_hourly(spark, roots[0])) == first
+    # One hour recomputed from changed input: only that hour changes.
+    changed = rows.where("event_id != 'a'")
+    marts.backfill(spark, changed, *roots, span[0], at("2025-03-10 01:00:00"), now)
+    assert set(first) - set(hours_of(marts.read_edits_hourly(spark, roots[0]))) == {("w", "10 00")}
+
+
+def test_a_day_recomputed_to_nothing_leaves_no_rows(spark, roots):
+    span = at("2025-03-10 00:00:00"), at("2025-03-11 00:00:00")
+    rows = raw(spark, ("a", "2025-03-10 00:10:00", "w", "u", False), ("b", "2025-03-11 00:10:00", "w", "u", False))
+    now = at("2025-03-12 00:00:00")
+    marts.backfill(spark, rows, *roots, span[0], now, now)
+    marts.backfill(spark, rows.where("event_id = 'b'"), *roots, *span, now)
+    assert set(hours_of(marts.read_edits_hourly(spark, roots[0]))) == {("w", "11 00")}
+    marts.backfill(spark, rows.limit(0), *roots, span[0], now, now)
+    assert hours_of(marts.read_edits_hourly(spark, roots[0])) == {}
+
+
+def test_audit_failure_is_not_recorded(spark, roots):
+    rows = raw(spark, ("a", "2025-03-10 00:10:00", "", "u", False))
+    span = at("2025-03-10 00:00:00"), at("2025-03-10 01:00:00")
+    with pytest.raises(marts.AuditFailure):
+        marts.backfill(spark, rows, *roots, *span, span[1])
+    assert marts.read_ledger(spark, roots[1]).count() == 0
+    assert marts.read_edits_hourly(spark, roots[0]).count() == 0
+    fixed = rows.withColumn("wiki", F.lit("w"))
+    assert marts.refresh(spark, fixed, *roots, span[0], span[1]) == 1
+    assert set(hours_of(marts.read_edits_hourly(spark, roots[0]))) == {("w", "10 00")}
+
+
+def test_history_beyond_raw_retention_is_not_overwritten(spark, roots):
+    rows = raw(spark, ("a", "2025-03-10 00:10:00", "w", "u", False))
+    span = at("2025-03-10 00:00:00"), at("2025-03-10 02:00:00")
+    marts.backfill(spark, rows, *roots, *span, at("2025-03-10 03:00:00"))
+    gone = rows.limit(0)
+    with pytest.raises(ValueError):
+        marts.backfill(spark, gone, *roots, *span, at("2025-03-15 00:00:00"))
+    marts.refresh(spark, gone, *roots, at("2025-03-01 00:00:00"), at("2025-03-15 00:00:00"))
+    assert set(hours_of(marts.read_edits_hourly(spark, roots[0]))) == {("w", "10 00")}
+
+
+def test_no_full_hour_yet(spark, roots):
+    rows = raw(spark, ("a", "2025-03-10 00:10:00", "w", "u", False))
+    assert marts.refresh(spark, rows, *roots, at("2025-03-10 00:00:00"), at("2025-03-10 00:59:00")) == 0
+
+
+def test_pageviews_top(spark):
+    rows = spark.range(1, 151).select(
+        F.lit(dt.date(2025, 3, 9)).alias("date"), F.lit("p").alias("project"), F.lit("x").alias("access"),
+        F.col("id").cast("string").alias("article"), F.lit(1).cast("bigint").alias("views"),
+        F.col("id").alias("rank"), F.current_timestamp().alias("fetched_at"),
+    )
+    staged = staging.stg_events_batch(rows)
+    assert staged.columns == schemas.RAW_BATCH.names
+    top = marts.pageviews_top(staged)
+    assert "fetched_at" not in top.columns
+    assert top.agg(F.count("*"), F.max("rank")).first()[:] == (100, 100)
+
+
+def test_late_event_profile(spark):
+    rows = spark.createDataFrame(
+        [
+            (at("2025-03-10 00:59:00"), at("2025-03-10 00:59:30")),
+            (at("2025-03-10 00:59:50"), at("2025-03-10 01:00:20")),
+            (at("2025-03-10 00:00:00"), at("2025-03-10 02:00:00")),
+        ],
+        "event_dt timestamp, arrived_at timestamp",
+    )
+    profile = {tuple(r) for r in intervals.late_event_profile(rows, 1).collect()}
+    assert profile == {(0, 1, True, True), (1, 1, False, True), (2, 1, False, False)}
+
+
+def test_lanes_stay_apart():
+    """Neither lane's plans mention the other's tables."""
+    import inspect
+
+    event_lane = "".join(map(inspect.getsource, (marts.edits_hourly, marts.hourly_activity, staging.stg_events_nrt)))
+    assert "raw_batch" not in event_lane and "pageviews" not in event_lane
+    batch_lane = "".join(map(inspect.getsource, (marts.pageviews_top, staging.stg_events_batch)))
+    assert "raw_nrt" not in batch_lane and "edits" not in batch_lane
