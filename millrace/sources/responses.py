@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.barrier import evaluated_once
-from millrace.functions.json_doc import is_single_document, kind, marked_variant
+from millrace.functions.json_doc import is_single_document, marked_variant, member_fields
 
 # Fixed value: the path of the report under the service's base address.
 REPORT_PATH = "/metrics/pageviews/top/"
@@ -50,24 +50,26 @@ def read_reports(answers: DataFrame) -> DataFrame:
         is_single_document(document, payload).alias("is_document"),
         F.try_variant_get(document, "$[0].items", "variant").alias("items"),
         F.try_variant_get(document, "$[0].items[0]", "variant").alias("item"),
-        F.try_variant_get(document, "$[0].items[0].articles", "variant").alias("listed"),
     )
-    nothing = F.to_json("items").isin("null", "[]", "{}", '""', "0", "0.0", "false")
-    articles = F.try_variant_get("listed", "$", _ARTICLES)
-    typed = opened.withColumns(
-        {"nothing": nothing, "articles": F.when(~nothing, articles)}
+    # A list with a first item is not empty; only other values need comparing.
+    empty = F.to_json("items").isin("null", "[]", "{}", '""', "0", "0.0", "false")
+    inside = opened.select("*", member_fields(F.col("item"), ["articles"]).alias("inside"))
+    typed = inside.select(
+        "*",
+        F.when(F.col("item").isNotNull(), F.lit(False)).otherwise(empty).alias("nothing"),
+        F.try_variant_get(F.col("inside.articles"), "$", _ARTICLES).alias("articles"),
     )
     malformed = F.coalesce(F.exists("articles", lambda a: a.isNull()), F.lit(False))
     error = (
         F.when(~F.col("is_document"), "not a JSON document")
         .when(F.col("items").isNull(), "missing items")
         .when(F.col("nothing"), "")
-        .when(~F.coalesce(kind(F.col("item")).startswith("OBJECT"), F.lit(False)), "first item is not an object")
-        .when(F.col("listed").isNotNull() & F.col("articles").isNull(), "articles is not a list")
+        .when(F.col("inside").isNull(), "first item is not an object")
+        .when(F.col("inside.articles").isNotNull() & F.col("articles").isNull(), "articles is not a list")
         .when(malformed, "article entry is not an object")
         .otherwise("")
     )
-    return typed.select(*answers.columns, "articles", error.alias("error"))
+    return evaluated_once(typed, answers.columns, articles=F.col("articles"), error=error)
 
 
 def explode_top(reports: DataFrame) -> DataFrame:
