@@ -34,21 +34,14 @@ def drop_expired_days(
 
 
 def rewrite_retained(
-    spark: SparkSession,
-    root: str,
-    schema: T.StructType,
-    partition: str,
-    instant: str,
-    now: dt.datetime,
-    days: int = 5,
+    spark: SparkSession, root: str, schema: T.StructType, partition: str, keep: Column
 ) -> None:
-    """Drop expired rows where a partition holds more than one day.
+    """Drop the rows that fail ``keep`` where a partition holds more than one day.
 
     Only partitions with something to drop are rewritten; those left empty are removed.
     """
     table = storage.read_table(spark, root, schema, partition)
-    keep = is_retained(F.col(instant), now, days)
-    # Partition names of one column: months or load days, a short list.
+    # One row per partition: months or load days, a short list.
     state = table.groupBy(partition).agg(
         F.count_if(keep).alias("kept"), F.count_if(~keep).alias("expired")
     )

@@ -195,7 +195,8 @@ def test_partly_expired_partitions_are_rewritten(spark, tmp_path):
     rows = spark.createDataFrame([(d, "p", "x", "a", 1, 1, NOW) for d in dates_in], schema)
     rows.withColumn("month", dates.month_label(F.col("date"))).write.partitionBy("month").parquet(root)
     for _ in range(2):
-        retention.rewrite_retained(spark, root, schema, "month", "date", NOW)
+        keep = retention.is_retained(F.col("date"), NOW)
+        retention.rewrite_retained(spark, root, schema, "month", keep)
         left = storage.read_table(spark, root, schema, "month")
         assert sorted(r["date"] for r in left.collect()) == [dt.date(2025, 3, 9), dt.date(2025, 4, 1)]
     assert storage.subdirectories(spark, root) == ["month=202503", "month=202504"]
