@@ -88,7 +88,7 @@ def spread(rows: DataFrame) -> DataFrame:
     each, which would leave costly per-row work to a single task.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    splits = rows._jdf.queryExecution().toRdd().getNumPartitions()
+    splits = rows.rdd.getNumPartitions()
     return rows if splits >= cores else rows.repartition(cores)
 
 
