@@ -1,7 +1,7 @@
 """Typed values from JSON fields, by the contract's coercion rules.
 
-A field is a variant. Every rule gives its value, or null when the contract does
-not allow one; absent and null fields are the caller's to judge.
+Every rule takes a field as :func:`observed` and gives its value, or null when the
+contract does not allow one; absent and null fields are the caller's to judge.
 """
 
 from __future__ import annotations
@@ -29,48 +29,52 @@ _PLAIN_UTC = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,
 _ISO = rf"^({_DATE})(?:[Tt _]({_CLOCK})([Zz]|([+\-−])([0-9]{{2}}):?([0-9]{{2}}))?)?$"
 
 
-def _get(value: Column, type_name: str) -> Column:
-    return F.try_variant_get(value, "$", type_name)
+def observed(value: Column) -> Column:
+    """A variant with its kind and, for strings, its text: looked up once for all rules."""
+    found = kind(value)
+    return F.struct(
+        value.alias("value"),
+        found.alias("kind"),
+        F.when(found == "STRING", F.try_variant_get(value, "$", "string")).alias("text"),
+    )
+
 
+def _get(field: Column, type_name: str) -> Column:
+    return F.try_variant_get(field["value"], "$", type_name)
 
-def _is_fractional(value: Column) -> Column:
-    return (kind(value) == "DOUBLE") | kind(value).startswith("DECIMAL")
 
+def _is_fractional(field: Column) -> Column:
+    return (field["kind"] == "DOUBLE") | field["kind"].startswith("DECIMAL")
 
-def text(value: Column) -> Column:
+
+def text(field: Column) -> Column:
     """Strings only; numbers and flags are not turned into text."""
-    return F.when(kind(value) == "STRING", _get(value, "string"))
+    return field["text"]
 
 
-def whole_number(value: Column) -> Column:
+def whole_number(field: Column) -> Column:
     """Integers, integral decimals, flags, and integers written as text; 64 bits."""
-    number = _get(value, "double")
+    number = _get(field, "double")
     integral = (number == F.floor(number)) & (F.abs(number) < F.lit(2.0**63))
-    written = _get(value, "string")
-    digits = F.regexp_replace(written, r"(?U)\.0+\s*$|[\s_]", "")
+    digits = F.regexp_replace(field["text"], r"(?U)\.0+\s*$|[\s_]", "")
     return (
-        F.when(kind(value) == "BIGINT", _get(value, "bigint"))
-        .when(
-            kind(value) == "STRING",
-            F.when(written.rlike(_WHOLE_NUMBER), digits.try_cast("bigint")),
-        )
-        .when(kind(value) == "BOOLEAN", _get(value, "boolean").cast("bigint"))
-        .when(_is_fractional(value) & integral, number.try_cast("bigint"))
+        F.when(field["kind"] == "BIGINT", _get(field, "bigint"))
+        .when(field["text"].rlike(_WHOLE_NUMBER), digits.try_cast("bigint"))
+        .when(field["kind"] == "BOOLEAN", _get(field, "boolean").cast("bigint"))
+        .when(_is_fractional(field) & integral, number.try_cast("bigint"))
     )
 
 
-def flag(value: Column) -> Column:
+def flag(field: Column) -> Column:
     """True and false, the numbers 1 and 0, and the listed words."""
-    number = _get(value, "double")
-    word = F.lower(_get(value, "string"))
+    number = _get(field, "double")
+    word = F.lower(field["text"])
     return (
-        F.when(kind(value) == "BOOLEAN", _get(value, "boolean"))
-        .when(
-            kind(value) == "STRING",
-            F.when(word.isin(TRUE_WORDS), True).when(word.isin(FALSE_WORDS), False),
-        )
+        F.when(field["kind"] == "BOOLEAN", _get(field, "boolean"))
+        .when(word.isin(TRUE_WORDS), True)
+        .when(word.isin(FALSE_WORDS), False)
         .when(
-            (kind(value) == "BIGINT") | _is_fractional(value),
+            (field["kind"] == "BIGINT") | _is_fractional(field),
             F.when(number == 1, True).when(number == 0, False),
         )
     )
@@ -108,9 +112,9 @@ def plain_instant(written: Column) -> Column:
     return F.when(plain, written.try_cast("timestamp"))
 
 
-def instant(value: Column) -> Column:
+def instant(field: Column) -> Column:
     """ISO 8601 text or an epoch number, also written as text; no offset means UTC."""
-    written = _get(value, "string")
+    written = field["text"]
     from_text = (
         F.when(written.rlike(_PLAIN_UTC), plain_instant(written))
         .when(written.rlike(r"^[+-]?[0-9]+$"), _from_epoch(written.try_cast("bigint")))
@@ -118,7 +122,7 @@ def instant(value: Column) -> Column:
         .otherwise(_from_iso(written))
     )
     return (
-        F.when(kind(value) == "STRING", from_text)
-        .when(kind(value) == "BIGINT", _from_epoch(_get(value, "bigint")))
-        .when(_is_fractional(value), _from_epoch(_get(value, "double")))
+        F.when(written.isNotNull(), from_text)
+        .when(field["kind"] == "BIGINT", _from_epoch(_get(field, "bigint")))
+        .when(_is_fractional(field), _from_epoch(_get(field, "double")))
     )

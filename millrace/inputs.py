@@ -138,11 +138,22 @@ def topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads(spark, sf_dir).select(
         F.col("event_id").cast("string").cast("binary").alias("key"),
         F.col("raw_line").cast("binary").alias("value"),
+        *_position(),
+        F.col("ts").alias("timestamp"),
+    )
+
+
+def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where in the topic each event lies."""
+    return events(spark, sf_dir).select(*_position())
+
+
+def _position() -> list[Column]:
+    return [
         F.lit(TOPIC).alias("topic"),
         (F.col("event_id") % 4).cast("int").alias("partition"),
         F.floor(F.col("event_id") / 4).cast("bigint").alias("offset"),
-        F.col("ts").alias("timestamp"),
-    )
+    ]
 
 
 def watermarks(seen: DataFrame) -> DataFrame:

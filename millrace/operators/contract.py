@@ -176,7 +176,7 @@ def _complaints(seen: Column) -> Column:
 
 
 def _full_reading(raw: Column) -> Column:
-    """``error`` and the landed values, by every rule of the contract."""
+    """``error`` and the landed values, by every rule of the contract; null if not JSON."""
 
     def open_objects(top: Column) -> Column:
         parents = ["meta", *OBJECTS]
@@ -188,28 +188,31 @@ def _full_reading(raw: Column) -> Column:
             parent, _, member = path.rpartition(".")
             return opened[f"in_{parent}"][member] if parent else opened["top"][member]
 
-        def look(rule: Rule) -> Rule:
-            return lambda v: F.struct(kind(v).alias("kind"), rule(v).alias("value"))
+        def settle(rule: Rule) -> Rule:
+            return lambda field: F.struct(field["kind"].alias("kind"), rule(field).alias("value"))
 
         # One array, and so one copy of the rule, per type.
         by_type = [
-            F.transform(F.array(*map(value, _OF_TYPE[name])), look(rule)).alias(name)
+            F.transform(
+                F.transform(F.array(*map(value, _OF_TYPE[name])), coerce.observed), settle(rule)
+            ).alias(name)
             for name, rule in _COERCE.items()
         ]
         return F.struct(*by_type, *[kind(opened["top"][p]).alias(f"{p}_kind") for p in OBJECTS])
 
-    def judge(document: Column) -> Column:
-        def verdict(seen: Column) -> Column:
-            error = F.when(
-                ~is_single_document(document, raw), F.lit("not a JSON document")
-            ).otherwise(_complaints(seen))
-            landed = {name: _seen(seen, path)["value"] for name, path in LANDED_FROM.items()}
-            landed["bot"] = F.coalesce(_seen(seen, "bot")["value"], F.lit(False))
-            return F.struct(error.alias("error"), *[v.alias(n) for n, v in landed.items()])
+    def verdict(seen: Column) -> Column:
+        landed = {name: _seen(seen, path)["value"] for name, path in LANDED_FROM.items()}
+        landed["bot"] = F.coalesce(_seen(seen, "bot")["value"], F.lit(False))
+        return F.struct(
+            _complaints(seen).alias("error"), *[v.alias(n) for n, v in landed.items()]
+        )
 
+    def judge(document: Column) -> Column:
         fields = document_fields(document, _TOP_LEVEL)
         opened = out_of_line(fields, open_objects)
-        return out_of_line(out_of_line(opened, see), verdict)
+        return F.when(
+            is_single_document(document, raw), out_of_line(out_of_line(opened, see), verdict)
+        )
 
     return out_of_line(marked_variant(raw), judge)
 
@@ -255,7 +258,11 @@ def validate(lines: DataFrame, raw: str = "raw_line") -> DataFrame:
         for name in [*LANDED_FROM, "bot"]
     }
     landed["raw_json"] = F.col("raw_json")
-    error = F.coalesce(F.col("unreadable"), F.col("full.error"), F.lit(""))
+    error = F.coalesce(
+        F.col("unreadable"),
+        F.col("full.error"),
+        F.when(~F.col("is_plain"), F.lit("not a JSON document")).otherwise(""),
+    )
     columns = {name: landed[name] for name in schemas.RAW_NRT.names} | {"error": error}
     settled = evaluated_once(judged, [], **columns)
     return settled.withColumn("dt", day_label(F.col("event_dt")))

@@ -281,12 +281,12 @@ def ttl_retained(spark, sf_dir):
 
 @query
 def next_offsets(spark, sf_dir):
-    return offsets.next_offsets(inputs.topic_rows(spark, sf_dir))
+    return offsets.next_offsets(inputs.positions(spark, sf_dir))
 
 
 @query
 def consumer_lag(spark, sf_dir):
-    seen = inputs.topic_rows(spark, sf_dir)
+    seen = inputs.positions(spark, sf_dir)
     return offsets.consumer_lag(inputs.committed(seen), inputs.watermarks(seen))
 
 
@@ -341,7 +341,7 @@ def backlog_check(spark, sf_dir):
 
 @query
 def lag_check(spark, sf_dir):
-    seen = inputs.topic_rows(spark, sf_dir)
+    seen = inputs.positions(spark, sf_dir)
     return quality.lag_check(inputs.committed(seen), inputs.watermarks(seen))
 
 
