@@ -182,10 +182,10 @@ FROM days""",
     "raw_batch_rows": f"""WITH {_REPORTED}
 SELECT *, TIMESTAMP '2024-02-01 06:00:00' AS fetched_at, strftime(date, '%Y%m') AS month
 FROM reported""",
-    "scan_since_date": f"""WITH flat AS ({_flat()})
+    "scan_since": f"""WITH flat AS ({_flat()})
 SELECT event_id, event_dt, wiki, bot, strftime(event_dt, '%Y-%m-%d') AS dt
 FROM flat WHERE event_dt >= TIMESTAMP '2024-01-15'""",
-    "file_inventory_by_date": """SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS dt,
+    "file_inventory": """SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS dt,
        true AS all_filled, true AS all_parquet
 FROM events WHERE ts >= TIMESTAMP '2024-01-15'""",
     "load_new_files": f"""WITH flat AS ({_flat()})

@@ -15,8 +15,8 @@ from millrace.plans import load, marts, quality
 from millrace.session import configure, work_dir
 from millrace.sinks import buffer as buffer_sink
 from millrace.sinks import tables, topic
+from millrace.sources import buffer as buffer_source
 from millrace.sources import captures, responses
-from millrace.sources.buffer import file_inventory, scan_since
 from millrace.streaming import incremental, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,17 +196,17 @@ def _buffer(spark: SparkSession, rows: DataFrame, root: str) -> None:
 
 
 @query
-def scan_since_date(spark, sf_dir):
+def scan_since(spark, sf_dir):
     root = work_dir(spark, "buffer")
     _buffer(spark, inputs.events(spark, sf_dir), root)
-    return scan_since(spark, root, SINCE).select("event_id", "event_dt", "wiki", "bot", "dt")
+    return buffer_source.scan_since(spark, root, SINCE).select("event_id", "event_dt", "wiki", "bot", "dt")
 
 
 @query
-def file_inventory_by_date(spark, sf_dir):
+def file_inventory(spark, sf_dir):
     root = work_dir(spark, "buffer")
     _buffer(spark, inputs.events(spark, sf_dir), root)
-    listed = file_inventory(spark, root, SINCE)
+    listed = buffer_source.file_inventory(spark, root, SINCE)
     return listed.groupBy("dt").agg(
         (F.min("bytes") > 0).alias("all_filled"),
         F.bool_and(F.col("file_path").endswith(".parquet")).alias("all_parquet"),
@@ -390,7 +390,7 @@ def landed_events(spark, sf_dir):
     records = spark.readStream.schema(schemas.TOPIC_RECORD).parquet(source)
     stream = landing.landing_stream(records, root, letters, state, lambda: RECEIVED_AT)
     stream.trigger(availableNow=True).start().awaitTermination()
-    return scan_since(spark, root)
+    return buffer_source.scan_since(spark, root)
 
 
 @query
