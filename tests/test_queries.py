@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from millrace.oracles import ORACLES
+from millrace.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -24,7 +26,9 @@ def db():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry_point.oracle_sql()) == set(entry_point.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
@@ -33,10 +37,10 @@ def test_entry(spark):
     assert not frame.isEmpty()
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, db, name):
-    frame = entry_point.queries()[name](spark, SF_DIR)
-    result = db.execute(entry_point.oracle_sql()[name])
+    frame = QUERIES[name](spark, SF_DIR)
+    result = db.execute(ORACLES[name])
     names = [column[0] for column in result.description]
     assert sorted(frame.columns) == sorted(names)
     in_order = sorted(names)
