@@ -210,3 +210,15 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     docs = docs.drop("lang_pred", "score", "rejected")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, ddl + ", lang_pred string, score double, rejected boolean")
+
+
+def keep_known(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The documents whose language is not rejected, with all their columns as they are."""
+    prepare(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rejected = [model.predict(text)[2] for text in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array([not r for r in rejected], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

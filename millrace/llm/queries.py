@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, exact_dedup, html_extract, language, packing, toxicity, url_filter, warc
+from millrace.llm import chat, decontaminate, exact_dedup, html_extract, jaccard, language, packing, toxicity, url_filter, warc
 from millrace.llm.tables import remainder, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -66,6 +66,10 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(messages))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents")).drop("mark")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder(F.col("doc_id"), 4) == 2
@@ -96,6 +100,7 @@ QUERIES = {
     "op4_html_extract": op4_html_extract,
     "op5_packing": op5_packing,
     "op6_chat": op6_chat,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_warc": op10_warc,
