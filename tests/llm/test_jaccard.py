@@ -1,0 +1,140 @@
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from millrace.llm import components, jaccard
+from millrace.llm.words import words
+
+
+def shingles(text):
+    found = words(text or "")
+    if len(found) < 5:
+        return frozenset([tuple(found)]) if found else frozenset()
+    return frozenset(tuple(found[i : i + 5]) for i in range(len(found) - 4))
+
+
+def brute(rows):
+    """n, smallest id reachable and number of links of every row."""
+    sets = [shingles(t) for _, t in rows]
+    above = list(range(len(rows)))
+
+    def root(x):
+        while above[x] != x:
+            x = above[x]
+        return x
+
+    links = [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * len(sets[i] | sets[j]):
+                links[i] += 1
+                links[j] += 1
+                above[root(i)] = root(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(i)] = min(doc_id, least.get(root(i), doc_id))
+    return sorted((-1 if d is None else d, len(sets[i]), least.get(root(i), -1), links[i]) for i, (d, _) in enumerate(rows))
+
+
+def found(frame):
+    return sorted(
+        (-1 if r["doc_id"] is None else r["doc_id"], r["n_shingles"], -1 if r["component_id"] is None else r["component_id"], r["n_links"])
+        for r in jaccard.link(frame).collect()
+    )
+
+
+def corpus(seed, docs=120):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    common = [rng.choices(vocabulary, k=30) for _ in range(4)]
+    rows, texts = [], []
+    for i in range(docs):
+        kind = rng.random()
+        if texts and kind < 0.55:
+            base = list(texts[0] if kind < 0.35 else rng.choice(texts))
+            for _ in range(rng.choice([0, 1, 1, 2, 3, 6])):
+                base[rng.randrange(len(base))] = rng.choice(vocabulary)
+            words_ = base
+        else:
+            words_ = rng.choices(vocabulary, k=rng.choice([3, 5, 20, 90, 160])) + (rng.choice(common) if kind > 0.8 else [])
+        texts.append(words_)
+        rows.append((1000 - i, (" " if i % 2 else "\t").join(words_).upper() if i % 3 else " ".join(words_)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(documents, monkeypatch, seed):
+    if seed == 2:  # many buckets, many blocks
+        monkeypatch.setattr(jaccard, "BUCKET_SHINGLES", 500)
+        monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 900)
+    rows = corpus(seed) + [(None, None), (2000, ""), (2001, " \n"), (2002, "a b"), (2003, "A B"), (2004, "a b"), (None, "a b"), (999, corpus(seed)[1][1])]
+    assert found(documents(rows)) == brute(rows)
+
+
+def test_chain_of_links_is_one_component(documents):
+    base = [f"x{i}" for i in range(300)]
+    rows = [(50 + k, " ".join(base[4 * k : 4 * k + 150])) for k in range(12)]
+    assert found(documents(rows)) == brute(rows)
+    assert {r[2] for r in found(documents(rows))} == {50}
+
+
+def test_hot_group_of_near_copies(documents):
+    rng = random.Random(3)
+    base = [f"y{i}" for i in range(150)]
+    rows = []
+    for k in range(300):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 2, 4, 8])):
+            copy[rng.randrange(150)] = f"z{rng.randrange(10**6)}"
+        rows.append((k, " ".join(copy)))
+    assert found(documents(rows)) == brute(rows)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 12), min_size=1), min_size=2, max_size=14), st.integers(0, 14))
+def test_counting_in_a_cluster(sets, split):
+    arrays = [np.array(sorted(s), dtype=np.uint64) for s in sets]
+    split = split if 0 < split < len(sets) else None
+    got = sorted((min(i, int(j)), max(i, int(j))) for i, many in jaccard.count_links(arrays, split) for j in many)
+    want = [
+        (i, j)
+        for i in range(len(sets))
+        for j in range(i + 1, len(sets))
+        if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and (split is None or i < split <= j)
+    ]
+    assert got == want
+
+
+def test_keep_one_and_empty(documents, clash):
+    rows = [(5, "a b c d e f"), (6, "A b c d e f"), (7, "other words here now ok"), (None, "a b c d e f"), (8, None), (9, "")]
+    docs = clash(documents(rows))
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 5, 7, 8, 9]
+    assert jaccard.link(documents([])).count() == 0
+    assert jaccard.keep_one(documents([])).count() == 0
+
+
+def test_long_text(documents):
+    rng = random.Random(5)
+    long = [f"w{rng.randrange(5000)}" for _ in range(60_000)]
+    other = long[:-3000] + ["end"] * 10
+    rows = [(1, " ".join(long)), (2, " ".join(other)), (3, "short text of a few words")]
+    assert found(documents(rows)) == brute(rows)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
+def test_components(spark, pairs):
+    edges = spark.createDataFrame(pairs, "a bigint, b bigint").repartition(3) if pairs else spark.createDataFrame([], "a bigint, b bigint")
+    above = {}
+    for a, b in pairs:
+        if a != b:
+            components.union(above, a, b)
+    got = {r["node"]: r["component"] for r in components.components(edges).collect()}
+    assert got == {n: components.find(above, n) for n in {x for p in pairs if p[0] != p[1] for x in p}}
