@@ -100,10 +100,10 @@ def _from_iso(written: Column) -> Column:
     local = F.concat(part(1), F.lit("T"), clock, F.lit("Z")).try_cast("timestamp")
     offset = part(5).try_cast("bigint") * 3600 + part(6).try_cast("bigint") * 60
     offset = F.when(part(4) == "", 0).when(part(4) == "+", offset).otherwise(-offset)
-    return F.when(
-        written.rlike(_ISO) & valid,
-        F.timestamp_micros(F.unix_micros(local) - offset * 1_000_000),
-    )
+    micros = F.unix_micros(local) - offset * 1_000_000
+    # An offset may lead out of the years that dates have names for.
+    nameable = micros.between(EPOCH_MILLIS_MIN * 1000, EPOCH_MILLIS_MAX * 1000 + 999)
+    return F.when(written.rlike(_ISO) & valid & nameable, F.timestamp_micros(micros))
 
 
 def plain_instant(written: Column) -> Column:

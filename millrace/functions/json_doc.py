@@ -14,6 +14,8 @@ _STRICT = {
     "columnNameOfCorruptRecord": "unfit",
     "allowSingleQuotes": "false",
     "allowNonNumericNumbers": "false",
+    # A string's length alone never makes a document unreadable.
+    "maxStringLen": "2147483647",
 }
 
 
@@ -57,22 +59,28 @@ def fits(typed: Column, raw: Column) -> Column:
 def _mark(raw: Column) -> Column:
     # The mark must not occur in the text itself. Where its digits do, a string
     # longer than the text could hold takes its place.
-    longer = F.concat(F.lit('"'), F.repeat(F.lit("x"), F.char_length(raw)), F.lit('"'))
+    longer = F.repeat(F.lit("x"), F.char_length(raw) + 1)
     return F.when(F.contains(raw, F.lit(_END_MARK)), longer).otherwise(F.lit(_END_MARK))
 
 
-def marked_variant(raw: Column) -> Column:
-    """``[raw, mark]`` as a variant, null when that is not valid JSON.
+def untyped_fields(raw: Column, names: list[str]) -> Column:
+    """``[document, mark]`` with the named members as variants; null when that is not JSON.
 
-    The untyped counterpart of :func:`typed_fields`: :func:`is_single_document`
-    finds the mark in second place only if ``raw`` was exactly one value.
+    The counterpart of :func:`typed_fields` for any text. It reads the same members with
+    the same parser, so that size and content of all others matter to neither.
+    :func:`is_single_document` finds the mark in second place only if ``raw`` was exactly
+    one value.
     """
-    return F.try_parse_json(F.concat(F.lit("["), raw, F.lit(","), _mark(raw), F.lit("]")))
+    element = f"struct<{','.join(f'`{name}`:variant' for name in names)},{_ENVELOPE}:string>"
+    options = {key: value for key, value in _STRICT.items() if key != "columnNameOfCorruptRecord"}
+    marked = F.concat(F.lit("["), raw, F.lit(',{"' + _ENVELOPE + '":"'), _mark(raw), F.lit('"}]'))
+    return F.from_json(marked, f"array<{element}>", options)
 
 
 def is_single_document(marked: Column, raw: Column) -> Column:
-    second = F.to_json(F.try_variant_get(marked, "$[1]", "variant"))
-    return F.coalesce(second == _mark(raw), F.lit(False)) & ~has_lone_surrogate(raw)
+    second = F.get(marked, F.lit(1))[_ENVELOPE]
+    single = (F.size(marked) == 2) & (second == _mark(raw))
+    return F.coalesce(single, F.lit(False)) & ~has_lone_surrogate(raw)
 
 
 def has_lone_surrogate(raw: Column) -> Column:
@@ -86,9 +94,9 @@ def has_lone_surrogate(raw: Column) -> Column:
     return without_pairs.rlike(r"\\u[dD][89a-fA-F][0-9a-fA-F]{2}")
 
 
-def document_fields(marked: Column, names: list[str]) -> Column:
-    """The named members of the document, each as a variant, in one lookup."""
-    return F.try_variant_get(marked, "$[0]", _variant_struct(names))
+def document_fields(marked: Column) -> Column:
+    """The document's members out of :func:`untyped_fields`."""
+    return F.get(marked, F.lit(0))
 
 
 def member_fields(value: Column, names: list[str]) -> Column:

@@ -82,14 +82,8 @@ def raw_nrt(spark: SparkSession, sf_dir: str, blank_wikis: bool = False) -> Data
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Small inputs over all cores; inputs with enough splits as they are.
-
-    A topic or a file buffer arrives in many splits. The test tables are one small file
-    each, which would leave costly per-row work to a single task.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    splits = rows.rdd.getNumPartitions()
-    return rows if splits >= cores else rows.repartition(cores)
+    """Rows over all cores: a test table is one small file, and so one task."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,10 @@ class Layout:
     def raw_batch(self) -> str:
         return self._below("raw/raw_batch")
 
+    @property
+    def report_errors(self) -> str:
+        return self._below("raw/report_errors")
+
     @property
     def manifest(self) -> str:
         return self._below("raw/loaded_files")
@@ -47,6 +51,10 @@ class Layout:
     def landing_checkpoint(self) -> str:
         return self._below("state/landing")
 
+    @property
+    def flushes(self) -> str:
+        return self._below("state/flushes")
+
     def buffer_partition(self, day: dt.date) -> str:
         return f"{self.buffer}/dt={day.isoformat()}"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +17,9 @@ from millrace.functions.json_doc import (
     fitted,
     is_single_document,
     kind,
-    marked_variant,
     member_fields,
     typed_fields,
+    untyped_fields,
 )
 
 Rule = Callable[[Column], Column]
@@ -208,13 +208,13 @@ def _full_reading(raw: Column) -> Column:
         )
 
     def judge(document: Column) -> Column:
-        fields = document_fields(document, _TOP_LEVEL)
+        fields = document_fields(document)
         opened = out_of_line(fields, open_objects)
         return F.when(
             is_single_document(document, raw), out_of_line(out_of_line(opened, see), verdict)
         )
 
-    return out_of_line(marked_variant(raw), judge)
+    return out_of_line(untyped_fields(raw, _TOP_LEVEL), judge)
 
 
 def decode_payload(topic_rows: DataFrame, value: str = "value") -> DataFrame:
@@ -235,9 +235,11 @@ def decode_payload(topic_rows: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def validate(lines: DataFrame, raw: str = "raw_line") -> DataFrame:
+def validate(lines: DataFrame, raw: str = "raw_line", carry: Sequence[str] = ()) -> DataFrame:
     """One row per input row: the 14 landed columns, ``error`` (empty when valid), ``dt``.
 
+    ``carry`` names input columns, such as a record's place in its topic, that follow.
+
     ``raw_json`` is the payload, verbatim. An ``unreadable`` column, as made by
     :func:`decode_payload`, is taken over as the error. The landed values of a
     rejected row may be incomplete.
@@ -248,7 +250,7 @@ def validate(lines: DataFrame, raw: str = "raw_line") -> DataFrame:
     """
     unreadable = F.col("unreadable") if "unreadable" in lines.columns else F.lit(None)
     source = lines.select(
-        F.col(raw).alias("raw_json"), unreadable.cast("string").alias("unreadable")
+        F.col(raw).alias("raw_json"), unreadable.cast("string").alias("unreadable"), *carry
     )
     read = _plain_reading(source)
     full = F.when(~F.col("is_plain"), out_of_line(F.col("raw_json"), _full_reading))
@@ -264,8 +266,9 @@ def validate(lines: DataFrame, raw: str = "raw_line") -> DataFrame:
         F.when(~F.col("is_plain"), F.lit("not a JSON document")).otherwise(""),
     )
     columns = {name: landed[name] for name in schemas.RAW_NRT.names} | {"error": error}
-    settled = evaluated_once(judged, [], **columns)
-    return settled.withColumn("dt", day_label(F.col("event_dt")))
+    settled = evaluated_once(judged, list(carry), **columns)
+    dated = settled.withColumn("dt", day_label(F.col("event_dt")))
+    return dated.select(*columns, "dt", *carry)
 
 
 def accepted(validated: DataFrame) -> DataFrame:

@@ -37,10 +37,11 @@ def observed_files(current: DataFrame, seen: DataFrame) -> DataFrame:
     Seen paths that have left the listing fall out, so the remembered set never grows
     past what is there.
     """
-    paths, cursor = current.select("file_path"), seen.select("file_path")
-    fresh = paths.subtract(cursor).withColumn("is_new", F.lit(True))
-    still_there = cursor.intersect(paths).withColumn("is_new", F.lit(False))
-    return fresh.unionByName(still_there)
+    cursor = seen.select("file_path").distinct().withColumn("is_new", F.lit(False))
+    paths = current.select("file_path").distinct()
+    return paths.join(cursor, "file_path", "left").select(
+        "file_path", F.coalesce("is_new", F.lit(True)).alias("is_new")
+    )
 
 
 def load_batches(files: DataFrame, batch_size: int = 40) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,13 +13,16 @@ MAX_RESUME_AGE = 900
 
 
 def resume_positions(stored: DataFrame, max_age_seconds: float = MAX_RESUME_AGE) -> DataFrame:
-    """The id to resume each source from, or null to start from now.
+    """The id to resume each source from, or null to start from now, and which of both.
 
     A position older than the bound would replay hours at once; a gap is the better
     trade. A position of unknown age is used, and one exactly at the bound too.
     """
     too_old = F.coalesce(F.col("age_seconds") > max_age_seconds, F.lit(False))
-    return stored.withColumn("resume_id", F.when(~too_old, F.col("last_event_id")))
+    resumed = stored.withColumn("resume_id", F.when(~too_old, F.col("last_event_id")))
+    return resumed.withColumn(
+        "start_at", F.when(F.col("resume_id").isNotNull(), "stored").otherwise("latest")
+    )
 
 
 def bounded_replay(
@@ -33,6 +37,17 @@ def bounded_replay(
     return events.where(F.col("event_dt") >= oldest)
 
 
-def starting_offsets(age_seconds: float | None, max_age_seconds: float = MAX_RESUME_AGE) -> str:
-    """Where a stream with no checkpoint of its own should begin reading its topic."""
-    return "latest" if age_seconds is not None and age_seconds > max_age_seconds else "earliest"
+def starting_offsets(
+    topic: str,
+    positions: dict[int, int] | None,
+    age_seconds: float | None,
+    max_age_seconds: float = MAX_RESUME_AGE,
+) -> str:
+    """Where a stream with no checkpoint of its own should begin reading its topic.
+
+    ``positions`` are the stored next offsets by partition. They are used under the same
+    bound as :func:`resume_positions`; without them, or beyond it, reading starts from now.
+    """
+    if not positions or (age_seconds is not None and age_seconds > max_age_seconds):
+        return "latest"
+    return json.dumps({topic: {str(p): positions[p] for p in sorted(positions)}})

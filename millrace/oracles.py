@@ -185,9 +185,8 @@ FROM reported""",
     "scan_since": f"""WITH flat AS ({_flat()})
 SELECT event_id, event_dt, wiki, bot, strftime(event_dt, '%Y-%m-%d') AS dt
 FROM flat WHERE event_dt >= TIMESTAMP '2024-01-15'""",
-    "file_inventory": """SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS dt,
-       true AS all_filled, true AS all_parquet
-FROM events WHERE ts >= TIMESTAMP '2024-01-15'""",
+    "file_inventory": """SELECT strftime(ts, '%Y-%m-%d') AS dt, count(*) AS row_count, true AS all_filled
+FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY ALL""",
     "load_new_files": f"""WITH flat AS ({_flat()})
 SELECT * REPLACE (date_trunc('millisecond', event_dt) AS event_dt),
        strftime(event_dt, '%Y-%m-%d') AS dt
@@ -224,7 +223,8 @@ WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 900 SECOND""",
            CASE WHEN user_id % 7 <> 0 THEN CAST(floor((epoch_us((SELECT max(ts) FROM events))
                 - epoch_us(max(ts))) / 1000000) AS BIGINT) END AS age_seconds
     FROM events GROUP BY user_id)
-SELECT *, CASE WHEN age_seconds IS NULL OR age_seconds <= 21600 THEN last_event_id END AS resume_id
+SELECT *, CASE WHEN age_seconds IS NULL OR age_seconds <= 21600 THEN last_event_id END AS resume_id,
+       CASE WHEN age_seconds IS NULL OR age_seconds <= 21600 THEN 'stored' ELSE 'latest' END AS start_at
 FROM stored""",
     "audit_not_null_wiki": f"""WITH {_deliveries(_BLANK)}, {_LATEST}
 {_HOURLY.format(where="WHERE wiki IS NULL OR wiki = ''")}""",
@@ -259,7 +259,16 @@ SELECT event_id, count(*) AS copies FROM raw_nrt GROUP BY event_id HAVING count(
 SELECT date, project, access, CAST(l_partkey AS VARCHAR) AS article, CAST(2 AS BIGINT) AS copies
 FROM views WHERE l_partkey % 50 = 0""",
     "landed_events": f"WITH {_PAYLOADS} SELECT * FROM flat",
-    # Hours that ended before the watermark: two hours behind the last event.
-    "stream_edits_hourly": f"""WITH latest AS ({_flat()})
-{_HOURLY.format(where="WHERE date_trunc('hour', event_dt) + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 2 HOUR")}""",
+    "landed_offsets": """SELECT 'recent-changes' AS topic, CAST(event_id % 4 AS INTEGER) AS partition,
+       max(event_id // 4) + 1 AS next_offset
+FROM events GROUP BY ALL""",
+    "stream_edits_hourly": f"WITH {_deliveries()}, {_LATEST} {_HOURLY.format(where='')}",
+    "report_errors": f"""WITH {_VIEWS}
+SELECT DISTINCT date, project, access, 'missing items' AS error
+FROM views WHERE (l_partkey // 1000 + year(date)) % 9 = 8""",
+    "target_days": """SELECT DISTINCT CAST(l_shipdate AS DATE) AS today, CAST(l_shipdate AS DATE) - 1 AS target,
+       strftime(CAST(l_shipdate AS DATE), '%Y%m%d') AS today_label,
+       strftime(CAST(l_shipdate AS DATE) - 1, '%Y%m') AS target_month
+FROM lineitem""",
+    "raw_file_order": "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS out_of_order FROM events",
 }

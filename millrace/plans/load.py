@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,14 +90,39 @@ def delete_loaded_files(
     retention_days: int = 1,
     since: dt.date | None = None,
 ) -> int:
-    """Remove buffered files that are both loaded and past retention; how many."""
+    """Remove buffered files that are both loaded and past retention; how many.
+
+    A directory all of whose files may go is removed in one call, if it still holds no
+    more files than were listed; files of other directories go one by one.
+    """
+    listed = file_inventory(spark, buffer_root, since)
     expired = files.cleanup_candidates(
-        file_inventory(spark, buffer_root, since),
-        read_manifest(spark, manifest_root, since),
-        now,
-        retention_days,
+        listed, read_manifest(spark, manifest_root, since), now, retention_days
+    ).select("file_path", F.lit(True).alias("goes"))
+    folder = F.regexp_extract("file_path", r"^(.*)/[^/]+$", 1).alias("folder")
+    judged = (
+        listed.select("file_path")
+        .join(expired, "file_path", "left")
+        .select(folder, "file_path", F.coalesce("goes", F.lit(False)).alias("goes"))
     )
-    deleted = 0
-    for row in expired.select("file_path").toLocalIterator():
-        deleted += storage.delete(spark, row["file_path"])
-    return deleted
+    judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # One row per directory.
+        state = judged.groupBy("folder").agg(
+            F.count("*").alias("files"), F.count_if("goes").alias("going")
+        )
+        deleted, partly = 0, []
+        for row in state.where("going > 0").toLocalIterator():
+            whole = row["files"] == row["going"] == storage.count_below(spark, row["folder"])
+            if whole:
+                storage.delete(spark, row["folder"])
+                deleted += row["going"]
+            else:
+                partly.append(row["folder"])
+        if partly:
+            rest = judged.where(F.col("goes") & F.col("folder").isin(partly))
+            for row in rest.select("file_path").toLocalIterator():
+                deleted += storage.delete(spark, row["file_path"])
+        return deleted
+    finally:
+        judged.unpersist()

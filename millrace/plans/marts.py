@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas, storage
@@ -76,8 +77,46 @@ def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame:
     return storage.read_table(spark, ledger_root, schemas.LEDGER)
 
 
-def _replace_hours(
-    spark: SparkSession, raw: DataFrame, mart_root: str, starts: list[dt.datetime]
+def _runs(starts: list[dt.datetime]) -> list[tuple[dt.datetime, dt.datetime]]:
+    """Sorted hours as half-open stretches without a gap."""
+    hour = dt.timedelta(hours=1)
+    stretches: list[tuple[dt.datetime, dt.datetime]] = []
+    for start in starts:
+        if stretches and stretches[-1][1] == start:
+            stretches[-1] = (stretches[-1][0], start + hour)
+        else:
+            stretches.append((start, start + hour))
+    return stretches
+
+
+def _fresh_hours(
+    raw: DataFrame, starts: list[dt.datetime], assume_stable_event_time: bool
+) -> DataFrame:
+    """The mart of the given hours.
+
+    Each stretch of hours is one interval: a stable event time lets it read its own days
+    only. Otherwise a later delivery may take an event out of an hour, so everything after
+    the first hour is read, once for all stretches.
+    """
+    stretches = _runs(sorted(starts))
+    if assume_stable_event_time:
+        parts = [edits_hourly_assuming_stable_time(raw, *stretch) for stretch in stretches]
+        return reduce(DataFrame.unionByName, parts)
+    first, after = stretches[0][0], stretches[-1][1]
+    latest = events_for_interval(raw, F.lit(first), F.lit(after), _ACTIVITY)
+    inside = [
+        intervals.in_interval(F.col("event_dt"), F.lit(begin), F.lit(end))
+        for begin, end in stretches
+    ]
+    return hourly_activity(latest.where(reduce(Column.__or__, inside)))
+
+
+def replace_hours(
+    spark: SparkSession,
+    raw: DataFrame,
+    mart_root: str,
+    starts: list[dt.datetime],
+    assume_stable_event_time: bool = False,
 ) -> None:
     """Recompute the given hours and put them in place of what the mart has for them.
 
@@ -87,9 +126,8 @@ def _replace_hours(
     """
     hours = spark.createDataFrame([(start,) for start in starts], "hour_ts timestamp")
     days = {start.date().isoformat() for start in starts}
-    after = max(starts) + dt.timedelta(hours=1)
 
-    fresh = edits_hourly(raw, min(starts), after).join(hours, "hour_ts", "left_semi")
+    fresh = _fresh_hours(raw, starts, assume_stable_event_time)
     kept = (
         read_edits_hourly(spark, mart_root)
         .where(F.col("dt").isin(sorted(days)))
@@ -126,13 +164,14 @@ def _run(
     ledger_root: str,
     hours: DataFrame,
     now: dt.datetime,
+    assume_stable_event_time: bool,
 ) -> int:
     # A few thousand hours per year: fixed here, so that every step sees the same ones.
     seconds = [row[0] for row in hours.select(F.unix_seconds("hour_ts")).collect()]
     starts = sorted(dt.datetime.fromtimestamp(s, dt.timezone.utc) for s in seconds)
     if not starts:
         return 0
-    _replace_hours(spark, raw, mart_root, starts)
+    replace_hours(spark, raw, mart_root, starts, assume_stable_event_time)
     filled = spark.createDataFrame([(start, now) for start in starts], schemas.LEDGER)
     filled.coalesce(1).write.mode("append").parquet(ledger_root)
     return len(starts)
@@ -152,12 +191,17 @@ def refresh(
     now: dt.datetime,
     lookback_hours: int = 1,
     retention_days: int = 5,
+    assume_stable_event_time: bool = False,
 ) -> int:
     """Fill every due hour from ``start`` to the last full one; how many were computed.
 
     Due are hours not in the ledger, and the last ``lookback_hours`` before the newest:
     their events may have arrived late. The ledger is written last, so a run that dies
     half-way is simply repeated.
+
+    With ``assume_stable_event_time`` the work is in proportion to the hours due: no day
+    without one is read. Right only while all deliveries of an event carry the same time,
+    which :func:`millrace.operators.staging.drifting_events` checks.
     """
     due = intervals.due_intervals(
         _hours(spark, start, now),
@@ -166,7 +210,7 @@ def refresh(
         lookback_hours,
         retention_days,
     )
-    return _run(spark, raw, mart_root, ledger_root, due, now)
+    return _run(spark, raw, mart_root, ledger_root, due, now, assume_stable_event_time)
 
 
 def backfill(
@@ -178,6 +222,7 @@ def backfill(
     end: dt.datetime,
     now: dt.datetime,
     retention_days: int | None = 5,
+    assume_stable_event_time: bool = False,
 ) -> int:
     """Recompute the full hours of ``[start, end)`` whether or not they were filled.
 
@@ -189,4 +234,11 @@ def backfill(
         lost = hours.where(expires_at(F.col("hour_ts"), retention_days) <= F.lit(now))
         if not lost.isEmpty():
             raise ValueError("the interval reaches back beyond the retention of the raw rows")
-    return _run(spark, raw, mart_root, ledger_root, hours, now)
+    return _run(spark, raw, mart_root, ledger_root, hours, now, assume_stable_event_time)
+
+
+def compact_ledger(spark: SparkSession, ledger_root: str) -> None:
+    """Rewrite the ledger as one row per hour, the last filling. Runs add a file each."""
+    ledger = read_ledger(spark, ledger_root)
+    latest = ledger.groupBy("hour_ts").agg(F.max("filled_at").alias("filled_at"))
+    storage.replace_table(spark, latest, ledger_root)

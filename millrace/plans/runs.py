@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas, storage
@@ -13,9 +13,10 @@ from millrace.layout import Layout
 from millrace.operators import retention
 from millrace.operators.staging import stg_events_batch
 from millrace.plans import load, marts
+from millrace.session import work_dir
 from millrace.sinks.tables import append_raw_batch
 from millrace.sources.captures import decode_frames, with_payload
-from millrace.sources.responses import explode_top, read_reports
+from millrace.sources.responses import explode_top, read_reports, report_errors
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,12 @@ class HourlyResult:
     hours_computed: int
 
 
+@dataclass(frozen=True)
+class ReportResult:
+    rows_stored: int
+    reports_broken: int
+
+
 @dataclass(frozen=True)
 class CleanupResult:
     files_deleted: int
@@ -51,13 +58,24 @@ def hourly_run(
 
 def report_run(
     spark: SparkSession, layout: Layout, answers: DataFrame, fetched_at: dt.datetime
-) -> int:
-    """Store the articles of fetched reports; a broken report stops the run."""
-    reports = read_reports(answers)
-    broken = reports.where(F.col("error") != "").select("date", "error").take(1)
-    if broken:
-        raise ValueError(f"report of {broken[0]['date']}: {broken[0]['error']}")
-    return append_raw_batch(explode_top(reports), layout.raw_batch, fetched_at)
+) -> ReportResult:
+    """Store the articles of the good reports, and record which reports are broken and why.
+
+    Every answer is parsed once: the parsed reports are written aside first.
+    """
+    aside = work_dir(spark, "reports")
+    parsed = read_reports(answers).select(*schemas.REPORTS.names)
+    try:
+        parsed.write.parquet(aside)
+        reports = spark.read.schema(schemas.REPORTS).parquet(aside)
+        rows = append_raw_batch(explode_top(reports), layout.raw_batch, fetched_at)
+        broken = Observation()
+        listed = report_errors(reports).withColumn("fetched_at", F.lit(fetched_at).cast("timestamp"))
+        listed = listed.observe(broken, F.count("*").alias("reports"))
+        listed.hint("rebalance").write.mode("append").parquet(layout.report_errors)
+        return ReportResult(rows, storage.observed(broken, "reports"))
+    finally:
+        storage.delete(spark, aside)
 
 
 def pageviews_top(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -100,4 +118,5 @@ def cleanup_run(
         "dt",
         F.col("loaded_at") + F.make_interval(days=F.lit(table_days)) > F.lit(now),
     )
+    marts.compact_ledger(spark, layout.ledger)
     return CleanupResult(deleted, dropped)

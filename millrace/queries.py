@@ -6,10 +6,11 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace import inputs, schemas
-from millrace.functions.dates import day_label, hour_start
+from millrace.functions.dates import compact_day, day_label, hour_start, month_label, target_day
 from millrace.operators import contract, files, intervals, offsets, replay, retention, staging
 from millrace.plans import load, marts, quality
 from millrace.session import configure, work_dir
@@ -123,7 +124,8 @@ def flatten_events(spark, sf_dir):
 
 @query
 def flush_tallies(spark, sf_dir):
-    return contract.tallies(contract.validate(inputs.payloads(spark, sf_dir)))
+    """As the landing stream recorded them."""
+    return offsets.flush_tallies(_land(spark, sf_dir)[1])
 
 
 @query
@@ -167,6 +169,20 @@ def pageviews_explode(spark, sf_dir):
     return responses.explode_top(responses.read_reports(inputs.reports(spark, sf_dir)))
 
 
+@query
+def report_errors(spark, sf_dir):
+    return responses.report_errors(responses.read_reports(inputs.reports(spark, sf_dir)))
+
+
+@query
+def target_days(spark, sf_dir):
+    """The day each day's request asks for, and the labels of both."""
+    day = F.to_date("l_shipdate")
+    days = inputs.table(spark, sf_dir, "lineitem").select(day.alias("today")).distinct()
+    asked = days.withColumn("target", target_day(F.col("today")))
+    return asked.select("today", "target", compact_day(F.col("today")).alias("today_label"), month_label(F.col("target")).alias("target_month"))
+
+
 @query
 def request_plan(spark, sf_dir):
     shipped = F.to_date("l_shipdate")
@@ -207,9 +223,10 @@ def file_inventory(spark, sf_dir):
     root = work_dir(spark, "buffer")
     _buffer(spark, inputs.events(spark, sf_dir), root)
     listed = buffer_source.file_inventory(spark, root, SINCE)
-    return listed.groupBy("dt").agg(
-        (F.min("bytes") > 0).alias("all_filled"),
-        F.bool_and(F.col("file_path").endswith(".parquet")).alias("all_parquet"),
+    paths = [row["file_path"] for row in listed.select("file_path").collect()]  # one file per day
+    counts = buffer_source.file_row_counts(spark, paths)
+    return listed.join(counts, "file_path", "left").groupBy("dt").agg(
+        F.sum("row_count").alias("row_count"), (F.min("bytes") > 0).alias("all_filled")
     )
 
 
@@ -230,6 +247,22 @@ def load_new_files(spark, sf_dir):
     return load.read_raw_nrt(spark, raw)
 
 
+@query
+def raw_file_order(spark, sf_dir):
+    """Rows of the raw table that come before a smaller one in the same file: none."""
+    raw, _ = _load_in_two_drops(spark, sf_dir)
+    placed = load.read_raw_nrt(spark, raw).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+        F.struct(*schemas.RAW_NRT_SORT).alias("key"),
+    )
+    in_file = W.partitionBy("file").orderBy("row")
+    ordered = placed.withColumn("before", F.lag("key").over(in_file))
+    return ordered.agg(
+        F.count("*").alias("row_count"), F.count_if(F.col("before") > F.col("key")).alias("out_of_order")
+    )
+
+
 @query
 def manifest_rows(spark, sf_dir):
     _, manifest = _load_in_two_drops(spark, sf_dir)
@@ -380,28 +413,42 @@ def batch_grain_violations(spark, sf_dir):
 # ---- streaming ----------------------------------------------------------------------
 
 
-@query
-def landed_events(spark, sf_dir):
-    """Topic records through the landing stream, then what lies in the buffer."""
-    source, root, letters, state = (
-        work_dir(spark, d) for d in ("topic", "buffer", "dead-letter", "checkpoint")
+def _land(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Topic records through the landing stream: the buffer, and what the flushes recorded."""
+    source, root, letters, state, flushes = (
+        work_dir(spark, d) for d in ("topic", "buffer", "dead-letter", "checkpoint", "flushes")
     )
     inputs.topic_rows(spark, sf_dir).write.parquet(source)
-    records = spark.readStream.schema(schemas.TOPIC_RECORD).parquet(source)
-    stream = landing.landing_stream(records, root, letters, state, lambda: RECEIVED_AT)
+    # A bounded number of files per batch, as the topic source bounds its records.
+    records = spark.readStream.schema(schemas.TOPIC_RECORD).option("maxFilesPerTrigger", 4).parquet(source)
+    stream = landing.landing_stream(records, root, letters, state, lambda: RECEIVED_AT, flushes)
     stream.trigger(availableNow=True).start().awaitTermination()
-    return buffer_source.scan_since(spark, root)
+    return root, buffer_sink.read_flushes(spark, flushes)
+
+
+@query
+def landed_events(spark, sf_dir):
+    """What lies in the buffer after the landing stream."""
+    return buffer_source.scan_since(spark, _land(spark, sf_dir)[0])
+
+
+@query
+def landed_offsets(spark, sf_dir):
+    """Where the landing stream stands in each partition, as its flushes recorded it."""
+    return offsets.landed_offsets(_land(spark, sf_dir)[1])
 
 
 @query
 def stream_edits_hourly(spark, sf_dir):
-    """Buffer files through streaming deduplication into the hours that are final."""
-    source, out, state = (work_dir(spark, d) for d in ("buffer", "mart", "checkpoint"))
+    """All deliveries, the stale ones first, in three runs of the stream on one checkpoint."""
+    source, raw, mart, state = (work_dir(spark, d) for d in ("buffer", "raw-nrt", "mart", "checkpoint"))
     rows = inputs.events(spark, sf_dir)
-    for part in (rows, rows.where(inputs.every(10))):
-        _buffer(spark, part, source)
-    events = incremental.buffer_stream(spark, source)
-    hourly = incremental.hourly_activity_stream(incremental.deduplicated_stream(events, "2 hours"))
-    stream = hourly.writeStream.format("parquet").option("checkpointLocation", state)
-    stream.trigger(availableNow=True).start(out).awaitTermination()
-    return spark.read.schema(schemas.EDITS_HOURLY).parquet(out)
+    older = inputs.flat_events(
+        rows.where(inputs.every(15)).withColumn("ts", F.col("ts") - F.expr("interval 5 seconds"))
+    ).withColumn("wiki", F.lit("stale"))
+    for part in (older, inputs.flat_events(rows), inputs.flat_events(rows.where(inputs.every(10)))):
+        buffer_sink.write_buffer(part.withColumn("dt", day_label(F.col("event_dt"))), source)
+        events = incremental.buffer_stream(spark, source)
+        stream = incremental.mart_stream(spark, events, raw, mart, state)
+        stream.trigger(availableNow=True).start().awaitTermination()
+    return marts.read_edits_hourly(spark, mart).drop("dt")

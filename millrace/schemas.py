@@ -5,27 +5,27 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-_TYPES = {
-    "STRING": T.StringType(),
-    "BIGINT": T.LongType(),
-    "INT": T.IntegerType(),
-    "BOOLEAN": T.BooleanType(),
-    "BINARY": T.BinaryType(),
-    "DATE": T.DateType(),
-    "TIMESTAMP": T.TimestampType(),
-}
-
-
-def _struct(columns: str) -> T.StructType:
-    pairs = (column.split() for column in columns.split(","))
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
-
+# Names, order and types of the stored columns, so that tables and files
+# written elsewhere to the same contract can be read and added to.
 
 # One row per delivery of an event. Also the row shape of the file buffer.
-RAW_NRT = _struct(
-    "event_id STRING, event_dt TIMESTAMP, wiki STRING, type STRING, namespace BIGINT, "
-    "title STRING, user STRING, bot BOOLEAN, server_name STRING, length_old BIGINT, "
-    "length_new BIGINT, revision_old BIGINT, revision_new BIGINT, raw_json STRING"
+RAW_NRT = T.StructType(
+    [
+        T.StructField("event_id", T.StringType()),
+        T.StructField("event_dt", T.TimestampType()),
+        T.StructField("wiki", T.StringType()),
+        T.StructField("type", T.StringType()),
+        T.StructField("namespace", T.LongType()),
+        T.StructField("title", T.StringType()),
+        T.StructField("user", T.StringType()),
+        T.StructField("bot", T.BooleanType()),
+        T.StructField("server_name", T.StringType()),
+        T.StructField("length_old", T.LongType()),
+        T.StructField("length_new", T.LongType()),
+        T.StructField("revision_old", T.LongType()),
+        T.StructField("revision_new", T.LongType()),
+        T.StructField("raw_json", T.StringType()),
+    ]
 )
 RAW_NRT_REQUIRED = ["event_id", "event_dt", "wiki", "type", "bot", "raw_json"]
 RAW_NRT_SORT = ["wiki", "event_dt", "event_id"]
@@ -46,27 +46,98 @@ STG_EVENTS = [
 ]
 
 # One row per article of one day's top list.
-RAW_BATCH = _struct(
-    "date DATE, project STRING, access STRING, article STRING, views BIGINT, "
-    "rank BIGINT, fetched_at TIMESTAMP"
+RAW_BATCH = T.StructType(
+    [
+        T.StructField("date", T.DateType()),
+        T.StructField("project", T.StringType()),
+        T.StructField("access", T.StringType()),
+        T.StructField("article", T.StringType()),
+        T.StructField("views", T.LongType()),
+        T.StructField("rank", T.LongType()),
+        T.StructField("fetched_at", T.TimestampType()),
+    ]
 )
 RAW_BATCH_SORT = ["date", "project", "rank"]
 
-MANIFEST = _struct("file_path STRING, loaded_at TIMESTAMP, row_count BIGINT")
+MANIFEST = T.StructType(
+    [
+        T.StructField("file_path", T.StringType()),
+        T.StructField("loaded_at", T.TimestampType()),
+        T.StructField("row_count", T.LongType()),
+    ]
+)
 
-EDITS_HOURLY = _struct(
-    "wiki STRING, hour_ts TIMESTAMP, edit_count BIGINT, bot_edit_count BIGINT, "
-    "distinct_editors BIGINT"
+EDITS_HOURLY = T.StructType(
+    [
+        T.StructField("wiki", T.StringType()),
+        T.StructField("hour_ts", T.TimestampType()),
+        T.StructField("edit_count", T.LongType()),
+        T.StructField("bot_edit_count", T.LongType()),
+        T.StructField("distinct_editors", T.LongType()),
+    ]
 )
 
 # Which hourly intervals of the mart have been filled, and when.
-LEDGER = _struct("hour_ts TIMESTAMP, filled_at TIMESTAMP")
+LEDGER = T.StructType(
+    [
+        T.StructField("hour_ts", T.TimestampType()),
+        T.StructField("filled_at", T.TimestampType()),
+    ]
+)
 
-DEAD_LETTER = _struct("received_at STRING, error STRING, raw_line STRING")
+DEAD_LETTER = T.StructType(
+    [
+        T.StructField("received_at", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("raw_line", T.StringType()),
+    ]
+)
 
 # The columns a topic source delivers.
-TOPIC_RECORD = _struct(
-    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
+TOPIC_RECORD = T.StructType(
+    [
+        T.StructField("key", T.BinaryType()),
+        T.StructField("value", T.BinaryType()),
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+        T.StructField("timestamp", T.TimestampType()),
+    ]
+)
+
+# What each flush of the landing stream did, per topic partition.
+FLUSHES = T.StructType(
+    [
+        T.StructField("flush_id", T.LongType()),
+        T.StructField("flushed_at", T.TimestampType()),
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("next_offset", T.LongType()),
+        T.StructField("accepted", T.LongType()),
+        T.StructField("rejected", T.LongType()),
+    ]
+)
+
+# Parsed reports, on their way to the article table.
+REPORTS = T.StructType(
+    [
+        T.StructField("date", T.DateType()),
+        T.StructField("project", T.StringType()),
+        T.StructField("access", T.StringType()),
+        T.StructField(
+            "articles",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("article", T.StringType()),
+                        T.StructField("views", T.LongType()),
+                        T.StructField("rank", T.LongType()),
+                    ]
+                )
+            ),
+        ),
+        T.StructField("error", T.StringType()),
+    ]
 )
 
 # The declared grain of each table; no two rows may share one.

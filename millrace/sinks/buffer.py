@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas, storage
@@ -31,6 +31,18 @@ def dead_letters(rejected: DataFrame, received_at: dt.datetime) -> DataFrame:
 
 
 def write_dead_letters(rejected: DataFrame, root: str, received_at: dt.datetime) -> None:
-    """Add JSON lines files under the date of receipt."""
-    letters = dead_letters(rejected, received_at)
+    """Add JSON lines files under the date of receipt.
+
+    One file per write until its lines outgrow the session's advisory partition size.
+    """
+    letters = dead_letters(rejected, received_at).hint("rebalance", "dt")
     letters.write.mode("append").partitionBy("dt").json(root)
+
+
+def append_flush(record: DataFrame, root: str) -> None:
+    """Add one flush: a row per topic partition."""
+    record.select(*schemas.FLUSHES.names).coalesce(1).write.mode("append").parquet(root)
+
+
+def read_flushes(spark: SparkSession, root: str) -> DataFrame:
+    return storage.read_table(spark, root, schemas.FLUSHES)

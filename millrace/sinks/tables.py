@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace import schemas, storage
@@ -37,14 +36,10 @@ def append_raw_batch(articles: DataFrame, root: str, fetched_at: dt.datetime) ->
     A repeated fetch is added again. The grain check reports it.
     """
     rows = raw_batch_rows(articles, fetched_at).withColumn("month", month_label(F.col("date")))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        count = rows.count()
-        if count:
-            storage.append_partitioned(rows, root, "month", schemas.RAW_BATCH_SORT)
-    finally:
-        rows.unpersist()
-    return count
+    totals = Observation()
+    counted = rows.observe(totals, F.count("*").alias("rows"))
+    storage.append_partitioned(counted, root, "month", schemas.RAW_BATCH_SORT)
+    return storage.observed(totals, "rows")
 
 
 def append_manifest(rows: DataFrame, root: str) -> None:

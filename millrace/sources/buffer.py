@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import schemas, storage
 
@@ -34,7 +35,11 @@ def scan_since(spark: SparkSession, root: str, since: dt.date | None = None) ->
 
 
 def file_inventory(spark: SparkSession, root: str, since: dt.date | None = None) -> DataFrame:
-    """The buffered files themselves: path, partition, modification time, size."""
+    """The buffered files themselves: path, partition, modification time, size.
+
+    No content is read, so the bytes don't decide the number of tasks: there is one per
+    core, each with its share of the files.
+    """
     roots = _roots(spark, root, since)
     if not roots:
         return spark.createDataFrame([], _LISTING)
@@ -42,6 +47,7 @@ def file_inventory(spark: SparkSession, root: str, since: dt.date | None = None)
         spark.read.format("binaryFile")
         .options(recursiveFileLookup=True, pathGlobFilter="*.parquet")
         .load(roots)
+        .coalesce(spark.sparkContext.defaultParallelism)
     )
     return listed.select(
         storage.same_path(F.col("path")).alias("file_path"),
@@ -51,24 +57,46 @@ def file_inventory(spark: SparkSession, root: str, since: dt.date | None = None)
     )
 
 
+# What a column reads as in a file that doesn't have it. No event has such a value.
+_ABSENT = {
+    T.StringType(): "\x00absent column\x00",
+    T.LongType(): -(2**63),
+}
+
+
+def _marked_schema() -> T.StructType:
+    """The event columns, those that may be null with a stand-in for "not in the file"."""
+    fields = []
+    for field in schemas.RAW_NRT.fields:
+        stand_in = None if field.name in schemas.RAW_NRT_REQUIRED else _ABSENT[field.dataType]
+        marks = {}
+        if isinstance(stand_in, str):
+            marks = {"EXISTS_DEFAULT": f"'{stand_in}'", "CURRENT_DEFAULT": "NULL"}
+        elif stand_in is not None:
+            # The smallest integer has no literal of its own.
+            marks = {"EXISTS_DEFAULT": f"{stand_in + 1}L - 1L", "CURRENT_DEFAULT": "NULL"}
+        fields.append(T.StructField(field.name, field.dataType, True, marks))
+    return T.StructType(fields)
+
+
 def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Exactly the event columns of the given files, plus the file each row is from.
 
-    With a declared schema Spark fills a column a file does not have with nulls. A null
-    where the event table allows none therefore fails the read.
+    Every file must have all 14 columns, or the read fails with its name. With a declared
+    schema Spark fills in what a file does not have: nulls where the event table allows
+    none, and elsewhere a stand-in that tells a missing column from a null.
     """
-    rows = spark.read.schema(schemas.RAW_NRT).parquet(*paths)
-    checked = [
-        F.coalesce(
-            F.col(name),
-            F.raise_error(F.concat(F.lit(f"no {name} in "), F.col("_metadata.file_path"))).cast(
-                schemas.RAW_NRT[name].dataType
-            ),
-        ).alias(name)
-        if name in schemas.RAW_NRT_REQUIRED
-        else F.col(name)
-        for name in schemas.RAW_NRT.names
-    ]
+    rows = spark.read.schema(_marked_schema()).parquet(*paths)
+    checked = []
+    for field in schemas.RAW_NRT.fields:
+        name = field.name
+        problem = F.raise_error(F.concat(F.lit(f"no {name} in "), F.col("_metadata.file_path")))
+        if name in schemas.RAW_NRT_REQUIRED:
+            absent = F.col(name).isNull()
+        else:
+            absent = F.col(name) == F.lit(_ABSENT[field.dataType])
+        value = F.when(absent, problem.cast(field.dataType)).otherwise(F.col(name))
+        checked.append(value.alias(name))
     return rows.select(
         *checked, storage.same_path(F.col("_metadata.file_path")).alias("file_path")
     )

@@ -55,13 +55,13 @@ def _latest(column: str, by: str) -> Column:
     return F.max_by(column, F.when(present, F.col(by)))
 
 
-def _carried_over(lines: DataFrame) -> DataFrame:
+def _carried_over(pieces: DataFrame) -> DataFrame:
     """Per block: how many frames ended before it and which id was in force.
 
     The running sums go over one row per block, so a capture of any size is no burden.
     """
-    blocks = lines.groupBy("file", "block").agg(
-        F.count_if("ends_frame").alias("ended"), _latest("id", "pos").alias("id")
+    blocks = pieces.groupBy("file", "block").agg(
+        F.count_if("ended").alias("ended"), _latest("id", "nth").alias("id")
     )
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     return blocks.select(
@@ -101,8 +101,8 @@ def decode_frames(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     ``frame`` counts blank lines from the start of the file and so orders its frames.
     """
-    lines = _read_lines(spark, paths)
-    placed = _pieces(lines).join(_carried_over(lines), ["file", "block"]).select(
+    pieces = _pieces(_read_lines(spark, paths))
+    placed = pieces.join(_carried_over(pieces), ["file", "block"]).select(
         "file",
         "block",
         (F.col("frames_before") + F.col("nth")).alias("frame"),

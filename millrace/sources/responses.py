@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.barrier import evaluated_once
-from millrace.functions.json_doc import is_single_document, marked_variant, member_fields
+from millrace.functions.json_doc import (
+    document_fields,
+    is_single_document,
+    member_fields,
+    untyped_fields,
+)
 
 # Fixed value: the path of the report under the service's base address.
 REPORT_PATH = "/metrics/pageviews/top/"
@@ -43,13 +48,13 @@ def read_reports(answers: DataFrame) -> DataFrame:
     No items means no rows; a payload without ``items`` is an error.
     """
     payload = F.col("payload")
-    parsed = evaluated_once(answers, answers.columns, document=marked_variant(payload))
+    parsed = evaluated_once(answers, answers.columns, document=untyped_fields(payload, ["items"]))
     document = F.col("document")
     opened = parsed.select(
         *answers.columns,
         is_single_document(document, payload).alias("is_document"),
-        F.try_variant_get(document, "$[0].items", "variant").alias("items"),
-        F.try_variant_get(document, "$[0].items[0]", "variant").alias("item"),
+        document_fields(document)["items"].alias("items"),
+        F.try_variant_get(document_fields(document)["items"], "$[0]", "variant").alias("item"),
     )
     # A list with a first item is not empty; only other values need comparing.
     empty = F.to_json("items").isin("null", "[]", "{}", '""', "0", "0.0", "false")
@@ -78,3 +83,8 @@ def explode_top(reports: DataFrame) -> DataFrame:
         "date", "project", "access", F.explode("articles").alias("entry")
     )
     return rows.select("date", "project", "access", "entry.article", "entry.views", "entry.rank")
+
+
+def report_errors(reports: DataFrame) -> DataFrame:
+    """The reports nothing can be taken from, and why."""
+    return reports.where(F.col("error") != "").select("date", "project", "access", "error")

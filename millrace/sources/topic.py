@@ -12,11 +12,13 @@ def topic_options(
     flush_records: int = 500,
     flush_seconds: int = 30,
     starting_offsets: str = "earliest",
+    max_records: int = 500_000,
 ) -> dict[str, str]:
     """Reader options: one topic, from the earliest offset when none is checkpointed.
 
     A micro-batch starts once ``flush_records`` are waiting or ``flush_seconds`` have
-    passed, whichever comes first.
+    passed, whichever comes first, and takes ``max_records`` at most: a backlog of any
+    size arrives in batches that fit.
     """
     return {
         "kafka.bootstrap.servers": servers,
@@ -25,6 +27,7 @@ def topic_options(
         "startingOffsets": starting_offsets,
         "minOffsetsPerTrigger": str(flush_records),
         "maxTriggerDelay": f"{flush_seconds}s",
+        "maxOffsetsPerTrigger": str(max_records),
     }
 
 

@@ -11,7 +11,8 @@ import datetime as dt
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +43,13 @@ def subdirectories(spark: SparkSession, root: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
 
 
+def count_below(spark: SparkSession, root: str) -> int:
+    """Files and directories directly below ``root``, Spark's own marks left out."""
+    fs, target = _resolve(spark, root)
+    names = [status.getPath().getName() for status in fs.listStatus(target)]
+    return sum(not name.startswith(("_", ".")) for name in names)
+
+
 def partition_date(name: str) -> dt.date | None:
     """The date in a ``dt=YYYY-MM-DD`` directory name, or None for any other name."""
     match = _DATED_DIR.fullmatch(name)
@@ -108,3 +116,29 @@ def append_partitioned(
         .partitionBy(partition)
         .parquet(root)
     )
+
+
+def observed(totals: Observation, name: str) -> int:
+    """A total observed during a write.
+
+    Where the optimizer can prove there are no rows it drops the observation with them.
+    """
+    try:
+        return totals.get[name] or 0
+    except Py4JJavaError:
+        return 0
+
+
+def replace_table(spark: SparkSession, rows: DataFrame, root: str) -> None:
+    """Put ``rows``, which may be read from ``root`` itself, in place of a table's files.
+
+    The new files lie beside the old ones before those go; in between both are there, so a
+    table kept this way must not mind repeated rows.
+    """
+    if not exists(spark, root):
+        return
+    fs, target = _resolve(spark, root)
+    old = [s.getPath() for s in fs.listStatus(target) if s.getPath().getName().endswith(".parquet")]
+    rows.select(*rows.columns).hint("rebalance").write.mode("append").parquet(root)
+    for path in old:
+        fs.delete(path, False)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace import schemas
+from millrace.functions.dates import hour_start
+from millrace.plans.load import read_raw_nrt
+from millrace.plans.marts import replace_hours
 from millrace.sinks.tables import append_raw_nrt
 
 
@@ -34,10 +39,50 @@ def load_stream(events: DataFrame, raw_root: str, checkpoint: str) -> DataStream
     return events.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
 
 
+def touched_hours(raw: DataFrame, batch: DataFrame) -> DataFrame:
+    """The hours whose activity a batch of deliveries may change.
+
+    Those of the deliveries, and those of all earlier deliveries of the same events: an
+    event leaves an hour when a newer delivery puts it into another.
+    """
+    ids = batch.select("event_id").distinct()
+    return (
+        raw.select("event_id", "event_dt")
+        .join(ids, "event_id", "left_semi")
+        .select(hour_start(F.col("event_dt")).alias("hour_ts"))
+        .distinct()
+    )
+
+
+def mart_stream(
+    spark: SparkSession, events: DataFrame, raw_root: str, mart_root: str, checkpoint: str
+) -> DataStreamWriter:
+    """Load every new file, then recompute the hours it touches.
+
+    The newest delivery of an event decides, however late it comes, so the mart is at any
+    time that of all raw deliveries. A batch repeated after a crash adds its deliveries
+    again, which changes nothing.
+    """
+
+    def load_and_refresh(batch: DataFrame, batch_id: int) -> None:
+        append_raw_nrt(batch, raw_root)
+        raw = read_raw_nrt(spark, raw_root)
+        # Hours, not events: as many as the calendar has at most.
+        rows = touched_hours(raw, batch).select(F.unix_seconds("hour_ts")).collect()
+        if rows:
+            starts = sorted(dt.datetime.fromtimestamp(row[0], dt.timezone.utc) for row in rows)
+            replace_hours(spark, raw, mart_root, starts)
+
+    return events.writeStream.foreachBatch(load_and_refresh).option(
+        "checkpointLocation", checkpoint
+    )
+
+
 def deduplicated_stream(events: DataFrame, delay: str) -> DataFrame:
-    """The first delivery of each event among those at most ``delay`` apart.
+    """An approximation: the first delivery of each event among those at most ``delay`` apart.
 
-    State is kept for that long only. The batch view has no such bound.
+    State is kept for that long only, and events behind the watermark are dropped. Where the
+    newest delivery must decide, use :func:`mart_stream`.
     """
     return events.withWatermark("event_dt", delay).dropDuplicatesWithinWatermark(["event_id"])
 

@@ -171,13 +171,55 @@ def test_a_file_without_rows_is_recorded(spark, roots):
     assert load.load_new_files(spark, *roots, NOW).files_loaded == 0
 
 
-def test_a_file_without_a_required_column_is_not_loaded(spark, roots):
-    events(spark, ("a", "2025-03-09 00:00:00")).drop("wiki").write.parquet(f"{roots[0]}/dt=2025-03-09")
-    with pytest.raises(Exception, match="no wiki in"):
+@pytest.mark.parametrize("name", schemas.RAW_NRT.names)
+def test_a_file_without_one_of_the_columns_is_not_loaded(spark, roots, name):
+    land(spark, roots[0], ("b", "2025-03-08 00:00:00"))
+    folder = f"{roots[0]}/dt=2025-03-09"
+    events(spark, ("a", "2025-03-09 00:00:00")).drop(name).coalesce(1).write.parquet(folder)
+    with pytest.raises(Exception, match=f"no {name} in .*dt=2025-03-09/part-"):
         load.load_new_files(spark, *roots, NOW)
     assert load.read_manifest(spark, roots[2]).count() == 0
 
 
+def test_a_file_with_real_nulls_is_loaded(spark, roots):
+    land(spark, roots[0], ("a", "2025-03-09 00:00:00"))
+    assert load.load_new_files(spark, *roots, NOW) == load.LoadResult(1, 1)
+    [row] = load.read_raw_nrt(spark, roots[1]).collect()
+    assert row["user"] is None and row["namespace"] is None and row["length_new"] is None
+
+
+def test_listing_tasks_do_not_follow_the_bytes(spark, roots):
+    for day in range(1, 20):
+        land(spark, roots[0], ("a", f"2025-03-{day:02d} 00:00:00"))
+    whole = buffer.file_inventory(spark, roots[0])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        cut = buffer.file_inventory(spark, roots[0])
+        assert cut.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        assert cut.count() == whole.count() == 19
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_small_batch_leaves_one_quarantine_file(spark, tmp_path):
+    root = str(tmp_path / "bad")
+    letters = spark.range(64).repartition(64).selectExpr("'e' AS error", "cast(id AS string) AS raw_line")
+    sink.write_dead_letters(letters, root, NOW)
+    assert len([n for _, _, names in os.walk(root) for n in names if n.endswith(".json")]) == 1
+    assert spark.read.json(root).count() == 64
+
+
+def test_directories_go_whole_only_when_all_their_files_go(spark, roots):
+    land(spark, roots[0], ("a", "2025-03-08 00:00:00"), ("b", "2025-03-09 00:00:00"))
+    load.load_new_files(spark, *roots, NOW)
+    land(spark, roots[0], ("c", "2025-03-09 00:00:00"))
+    later = dt.datetime.now(UTC) + dt.timedelta(days=2)
+    assert load.delete_loaded_files(spark, roots[0], roots[2], later) == 2
+    assert not os.path.exists(f"{roots[0]}/dt=2025-03-08")
+    assert [r["event_id"] for r in buffer.scan_since(spark, roots[0]).collect()] == ["c"]
+
+
 def test_load_survives_a_crash_between_data_and_manifest(spark, roots, monkeypatch):
     land(spark, roots[0], ("a", "2025-03-09 00:00:00"))
     with monkeypatch.context() as patched:
@@ -213,6 +255,8 @@ def test_observed_files(spark):
     frame = lambda *paths: spark.createDataFrame([(p,) for p in paths], "file_path string")
     rows = files.observed_files(frame("a", "b", "c"), frame("b", "gone")).collect()
     assert {tuple(r) for r in rows} == {("a", True), ("b", False), ("c", True)}
+    plan = files.observed_files(frame("a"), frame("b"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2
 
 
 def test_paths_have_one_spelling(spark):

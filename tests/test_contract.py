@@ -299,3 +299,23 @@ def test_arbitrary_documents_match_a_json_parser(spark, cases):
             )
         )
     assert [v["error"] == "" for v in judge(spark, lines)] == expected
+
+
+@pytest.mark.parametrize("field", ["comment", "unknown"])
+def test_the_length_of_a_string_never_decides(spark, field):
+    long = "x" * 21_000_000
+    rows = judge(spark, [line(**{field: long}), line(**{field: long}, namespace="3"), line(namespace="3")])
+    assert [row["error"] for row in rows] == [""] * 3
+    assert rows[1]["namespace"] == rows[2]["namespace"] == 3
+
+
+def test_instants_stay_within_the_years_that_have_names(spark):
+    edges = [
+        ("0001-01-01T00:00:00+01:00", False), ("9999-12-31T23:59:59-01:00", False),
+        ("0001-01-01T01:00:00+01:00", True), ("9999-12-31T22:59:59-01:00", True),
+    ]
+    frame = spark.createDataFrame([(i, meta(dt=when)) for i, (when, _) in enumerate(edges)], "n int, raw_line string")
+    # Python's own datetimes don't reach the first day.
+    rows = contract.validate(frame.coalesce(1)).select("error", "dt").collect()
+    assert [row["error"] == "" for row in rows] == [fine for _, fine in edges]
+    assert all(len(row["dt"]) == 10 for row in rows if row["error"] == "")

@@ -232,3 +232,26 @@ def test_lanes_stay_apart():
     assert "raw_batch" not in event_lane and "pageviews" not in event_lane
     batch_lane = "".join(map(inspect.getsource, (marts.pageviews_top, staging.stg_events_batch)))
     assert "raw_nrt" not in batch_lane and "edits" not in batch_lane
+
+
+def test_stretches_of_hours():
+    hours = [dt.datetime(2025, 3, 10, h, tzinfo=dt.timezone.utc) for h in (1, 2, 5)]
+    hour = dt.timedelta(hours=1)
+    assert marts._runs(hours) == [(hours[0], hours[1] + hour), (hours[2], hours[2] + hour)]
+
+
+def test_work_follows_the_hours_due(spark, tmp_path):
+    """With a stable event time neither later days nor those between two due hours are read."""
+    root = str(tmp_path / "raw")
+    for day in range(1, 8):
+        rows = spark.range(1).selectExpr(
+            f"'e{day}' AS event_id", f"timestamp'2025-03-0{day} 05:00:00' AS event_dt", "'w' AS wiki", "'u' AS user", "false AS bot", f"'2025-03-0{day}' AS dt"
+        )
+        rows.write.mode("append").partitionBy("dt").parquet(root)
+    raw = spark.read.parquet(root)
+    due = [dt.datetime(2025, 3, day, 5, tzinfo=dt.timezone.utc) for day in (2, 6)]
+    fresh = marts._fresh_hours(raw, due, True)
+    assert fresh.count() == 2
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "(dt#" in plan and "<= 2025-03-02" in plan and ">= 2025-03-06" in plan
+    assert {r["hour_ts"] for r in marts._fresh_hours(raw, due, False).collect()} == {r["hour_ts"] for r in fresh.collect()}

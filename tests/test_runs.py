@@ -3,7 +3,7 @@ import json
 
 import pytest
 
-from millrace import schemas
+from millrace import schemas, storage
 from millrace.layout import Layout
 from millrace.plans import load, marts, runs
 from millrace.sinks.topic import topic_records
@@ -68,9 +68,12 @@ def test_reports(spark, tmp_path):
     good = json.dumps({"items": [{"articles": [{"article": "A", "views": 9, "rank": r} for r in (1, 101)]}]})
     schema = "date date, project string, access string, payload string"
     answers = lambda text: spark.createDataFrame([(DAY, "p", "x", text)], schema)
-    assert runs.report_run(spark, layout, answers(good), at(6)) == 2
+    assert runs.report_run(spark, layout, answers(good), at(6)) == runs.ReportResult(2, 0)
     assert [r["rank"] for r in runs.pageviews_top(spark, layout).collect()] == [1]
-    with pytest.raises(ValueError, match="missing items"):
-        runs.report_run(spark, layout, answers("{}"), at(6))
-    assert runs.report_run(spark, layout, answers('{"items": []}'), at(6)) == 0
+    both = answers(good).unionByName(answers("{}"))
+    assert runs.report_run(spark, layout, both, at(6)) == runs.ReportResult(2, 1)
+    [broken] = spark.read.parquet(layout.report_errors).collect()
+    assert (broken["date"], broken["project"], broken["error"]) == (DAY, "p", "missing items")
+    assert runs.report_run(spark, layout, answers('{"items": []}'), at(6)) == runs.ReportResult(0, 0)
+    assert storage.read_table(spark, layout.raw_batch, schemas.RAW_BATCH, "month").count() == 4
     assert runs.pageviews_top(spark, layout).columns == schemas.RAW_BATCH.names[:-1]

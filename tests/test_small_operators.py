@@ -136,7 +136,20 @@ def test_consumer_lag(spark):
 )
 def test_resume(spark, last_id, age, resumed):
     stored = spark.createDataFrame([(last_id, age)], "last_event_id string, age_seconds double")
-    assert replay.resume_positions(stored).first()["resume_id"] == resumed
+    row = replay.resume_positions(stored).first()
+    assert (row["resume_id"], row["start_at"]) == (resumed, "stored" if resumed else "latest")
+
+
+def test_lag_reads_what_the_flushes_recorded(spark):
+    flushes = spark.createDataFrame(
+        [(0, NOW, "t", 0, 5, 4, 1), (1, NOW, "t", 0, 9, 3, 1), (1, NOW, "t", 0, 9, 3, 1), (0, NOW, "t", 1, 2, 0, 2)],
+        schemas.FLUSHES,
+    )
+    marks = spark.createDataFrame([("t", 0, 0, 10), ("t", 1, 0, 2)], "topic string, partition int, low bigint, high bigint")
+    lag = {r["partition"]: r["lag"] for r in offsets.consumer_lag(offsets.committed_by(flushes), marks).collect()}
+    assert lag == {0: 1, 1: 0, None: 1}
+    assert tuple(offsets.flush_tallies(flushes).first()) == (7, 4)
+    assert tuple(offsets.flush_tallies(flushes.limit(0)).first()) == (0, 0)
 
 
 def test_bounded_replay_keeps_the_boundary(spark):
@@ -147,7 +160,10 @@ def test_bounded_replay_keeps_the_boundary(spark):
 
 
 def test_starting_offsets():
-    assert [replay.starting_offsets(a) for a in (None, 5, 900, 901)] == ["earliest"] * 3 + ["latest"]
+    stored = {1: 7, 0: 5}
+    at = '{"t": {"0": 5, "1": 7}}'
+    assert [replay.starting_offsets("t", stored, a) for a in (None, 5, 900, 901)] == [at] * 3 + ["latest"]
+    assert [replay.starting_offsets("t", nothing, 5) for nothing in (None, {})] == ["latest"] * 2
 
 
 # ---- topics -------------------------------------------------------------------------
@@ -165,6 +181,8 @@ def test_topic_options():
     options = topic_source.topic_options("h:1", "t", "g")
     assert options["startingOffsets"] == "earliest" and options["subscribe"] == "t"
     assert (options["minOffsetsPerTrigger"], options["maxTriggerDelay"]) == ("500", "30s")
+    assert options["maxOffsetsPerTrigger"] == "500000"
+    assert topic_source.topic_options("h:1", "t", "g", max_records=7)["maxOffsetsPerTrigger"] == "7"
     assert topic_sink.PRODUCER["kafka.acks"] == "all"
 
 

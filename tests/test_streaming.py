@@ -4,7 +4,9 @@ import json
 from pyspark.sql import functions as F
 
 from millrace import schemas
+from millrace.operators import offsets
 from millrace.plans import load, marts
+from millrace.sinks.buffer import read_flushes
 from millrace.sources import buffer
 from millrace.streaming import incremental, landing
 
@@ -83,6 +85,34 @@ def test_load_stream_takes_each_file_once(spark, tmp_path):
     assert sorted(r["event_id"] for r in load.read_raw_nrt(spark, raw).collect()) == ["e0", "e1"]
 
 
+def test_mart_of_the_stream_is_that_of_all_deliveries(spark, tmp_path):
+    source, raw, mart, state = (str(tmp_path / n) for n in ("buffer", "raw", "mart", "state"))
+    drops = [
+        [("a", "2025-03-10 09:00:00", "u"), ("b", "2025-03-10 01:00:00", "u"), ("c", "2025-03-10 01:10:00", "v")],
+        [("a", "2025-03-10 15:00:00", "u"), ("d", "2025-03-10 01:30:00", "w")],
+        [("b", "2025-03-10 00:30:00", "u"), ("e", "2025-03-10 09:00:00", "u"), ("d", "2025-03-10 01:30:00", "w")],
+    ]
+    for drop in drops:
+        write_events(spark, f"{source}/dt=2025-03-10", *drop)
+        run(incremental.mart_stream(spark, incremental.buffer_stream(spark, source), raw, mart, state))
+        got = marts.read_edits_hourly(spark, mart).drop("dt").collect()
+        want = marts.edits_hourly(load.read_raw_nrt(spark, raw)).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert {r["hour_ts"].hour for r in got} == {1, 9, 15}
+
+
+def test_flushes_are_recorded_last_and_bounded(spark, tmp_path):
+    source, out, bad, state, log = (str(tmp_path / n) for n in ("topic", "buffer", "bad", "state", "log"))
+    for _ in range(3):
+        publish(spark, source, payload("a"), b"{cut")
+    records = spark.readStream.schema(schemas.TOPIC_RECORD).option("maxFilesPerTrigger", 1).parquet(source)
+    run(landing.landing_stream(records, out, bad, state, lambda: NOW, log))
+    flushes = read_flushes(spark, log)
+    assert sorted(r["flush_id"] for r in flushes.collect()) == [0, 1, 2]
+    assert tuple(offsets.flush_tallies(flushes).first()) == (3, 3)
+    assert [tuple(r) for r in offsets.landed_offsets(flushes).collect()] == [("t", 0, 2)]
+
+
 def test_streaming_hours_are_final_and_deduplicated(spark, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("buffer", "mart", "state"))
     write_events(
