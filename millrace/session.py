@@ -31,6 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .appName("millrace")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in REQUIRED.items():
@@ -57,6 +58,20 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/millrace/{spark.sparkContext.applicationId}"
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
+    """A new, unused path under the shared folder, below this application's own."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove all that :func:`work_dir` has been used for, once its rows are not needed.
+
+    Checkpoints of single frames are removed by Spark itself when the frame is forgotten.
+    """
+    from millrace import storage
+
+    storage.delete(spark, _scratch_root(spark))
