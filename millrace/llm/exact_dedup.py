@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.tables import ascii_lower, stored
+from millrace.session import work_dir
 
 BUCKETS = 64
 
@@ -90,7 +91,8 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None, batch: str =
         ).withColumn("row", F.concat(F.lit(batch + "-"), F.col("row"))),
         "digests",
     )
-    index = index or DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
+    if index is None:  # one for this call, in the shared folder
+        index = DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}", path=work_dir(spark, "digest-index"))
     index.ingest(groups_of(rows), batch)
     return (
         rows.join(index.rows().drop("batch"), "digest")
