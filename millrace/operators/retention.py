@@ -59,3 +59,32 @@ def rewrite_retained(
     for row in touched:
         if not row["kept"]:
             storage.delete(spark, f"{root.rstrip('/')}/{partition}={row[partition]}")
+
+
+def compact_partitions(
+    spark: SparkSession, root: str, schema: T.StructType, partition: str, max_files: int = 16
+) -> list[str]:
+    """Rewrite partitions of more than ``max_files`` files as a few; which ones.
+
+    For tables every run adds a small file to, like the manifest.
+    """
+    table = storage.read_table(spark, root, schema, partition)
+    if not storage.exists(spark, root):
+        return []
+    files = (
+        table.select(partition, F.col("_metadata.file_path").alias("file"))
+        .distinct()
+        .groupBy(partition)
+        .agg(F.count("*").alias("files"))
+    )
+    crowded = [row[partition] for row in files.where(F.col("files") > max_files).toLocalIterator()]
+    if crowded:
+        (
+            table.where(F.col(partition).isin(crowded))
+            .hint("rebalance", partition)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(root)
+        )
+    return crowded

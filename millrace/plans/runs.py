@@ -118,5 +118,6 @@ def cleanup_run(
         "dt",
         F.col("loaded_at") + F.make_interval(days=F.lit(table_days)) > F.lit(now),
     )
+    retention.compact_partitions(spark, layout.manifest, schemas.MANIFEST, "dt")
     marts.compact_ledger(spark, layout.ledger)
     return CleanupResult(deleted, dropped)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace import schemas, session, storage
 from millrace.functions import dates
 from millrace.operators import files, numbering, offsets, replay, retention
-from millrace.plans import quality
+from millrace.plans import marts, quality
 from millrace.sinks import topic as topic_sink
 from millrace.sources import responses
 from millrace.sources import topic as topic_source
@@ -256,6 +256,32 @@ def test_grain_and_wiki_checks(spark):
     assert one(quality.audit_check(rows.where("wiki = 'a'")))["passed"] is True
 
 
+def test_small_files_are_compacted(spark, tmp_path):
+    root = str(tmp_path / "manifest")
+    for n in range(5):
+        day = "2025-03-09" if n < 4 else "2025-03-10"
+        spark.createDataFrame([(f"f{n}", NOW, n)], schemas.MANIFEST).withColumn("dt", F.lit(day)).coalesce(1).write.mode(
+            "append"
+        ).partitionBy("dt").parquet(root)
+    before = storage.read_table(spark, root, schemas.MANIFEST, "dt")
+    rows = sorted(before.collect())
+    assert retention.compact_partitions(spark, root, schemas.MANIFEST, "dt", max_files=3) == ["2025-03-09"]
+    after = storage.read_table(spark, root, schemas.MANIFEST, "dt")
+    assert sorted(after.collect()) == rows
+    assert after.where("dt = '2025-03-09'").select("_metadata.file_path").distinct().count() == 1
+    assert retention.compact_partitions(spark, str(tmp_path / "none"), schemas.MANIFEST, "dt") == []
+
+
+def test_ledger_is_compacted_to_the_last_filling(spark, tmp_path):
+    root = str(tmp_path / "ledger")
+    for minutes in (0, 5, 9):
+        rows = [(NOW, NOW + dt.timedelta(minutes=minutes))]
+        spark.createDataFrame(rows, schemas.LEDGER).coalesce(1).write.mode("append").parquet(root)
+    marts.compact_ledger(spark, root)
+    [row] = marts.read_ledger(spark, root).collect()
+    assert row["filled_at"].minute == (NOW + dt.timedelta(minutes=9)).minute
+
+
 # ---- dates and session --------------------------------------------------------------
 
 
