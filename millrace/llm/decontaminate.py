@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.bitmap import Bitmap
 from millrace.llm.tables import prepare, stored
 from millrace.llm.words import shingle_hashes, word_hashes
 
@@ -203,12 +204,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     items = benchmark.groupBy(F.col("item_id").cast("bigint").alias("item_id")).agg(
         F.max(F.coalesce("text", F.lit(""))).alias("item_text")
     )
-    per_doc = (
-        hits.join(items, "item_id")
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("item_id", "item_text", "hits")).alias("items"))
+    per_doc = stored(
+        hits.join(items, "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "item_text", "hits")).alias("items")),
+        "hits",
     )
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text IS NOT NULL")
+    # Texts without a hit need not move.
+    hit = Bitmap(per_doc, "doc_id").accepts(F.col("doc_id"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(F.col("text").isNotNull() & hit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,5 +243,6 @@ _FOUND = pa.schema(
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that contain no benchmark item, with all their columns."""
-    tainted = contaminated(docs, benchmark, threshold).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(tainted, docs["doc_id"] == F.col("__id"), "left_anti")
+    tainted = stored(contaminated(docs, benchmark, threshold).select(F.col("doc_id").alias("__id")).distinct(), "tainted")
+    apart, suspects = Bitmap(tainted, "__id").divide(docs, "doc_id")
+    return apart.unionByName(suspects.join(tainted, suspects["doc_id"] == F.col("__id"), "left_anti"))
