@@ -27,7 +27,7 @@ SEED = 4
 #: Neighbouring n-grams of which the rarest is a seed.
 STRETCH = 4
 #: Share of the item's words (or of ``LONG_ITEM`` of them) that must be found in one alignment.
-THRESHOLD = 0.6
+THRESHOLD = 0.5
 #: Longer items count as found when a passage of this many words is.
 LONG_ITEM = 60
 MATCH, MISMATCH, GAP = 2, -1, -1
