@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.bitmap import Bitmap
 from millrace.llm.tables import ascii_lower, stored
 from millrace.session import work_dir
 
@@ -108,17 +109,19 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None, batch: str =
 
 def keep_one(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The documents that stay, with all their columns; of repeated rows, one."""
-    decisions = deduplicate(docs, index).where("kept")
-    staying = decisions.select(_key(F.col("doc_id"), F.col("text_sha256")).alias("__key")).distinct()
-    marked = docs.withColumn("__key", _key(F.col("doc_id"), digest(F.col("text"))))
+    decisions = stored(deduplicate(docs, index).select("doc_id", "kept", "text_sha256"), "decisions")
+    apart, suspects = Bitmap(decisions.where("NOT kept"), "doc_id").divide(docs, "doc_id")
+    staying = decisions.where("kept").select(_key(F.col("doc_id"), F.col("text_sha256")).alias("__key")).distinct()
+    marked = suspects.withColumn("__key", _key(F.col("doc_id"), digest(F.col("text"))))
     # The merge join leaves the rows of a key together and in order, as the window needs them.
     same = Window.partitionBy("__key").orderBy("__key")
-    return (
+    first = (
         marked.join(staying.hint("merge"), "__key", "left_semi")
         .withColumn("__copy", F.row_number().over(same))
         .where("__copy = 1")
         .drop("__key", "__copy")
     )
+    return apart.unionByName(first)
 
 
 def _key(doc_id: Column, sha: Column) -> Column:

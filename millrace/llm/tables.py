@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Keep the batches that cross into Python small."""
+    """Keep the batches that cross into Python small, and let its workers find this package.
+
+    On a cluster the package is installed or shipped with ``--py-files``; where it is only a
+    folder, all see that folder.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    home = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if home not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [home, known]))
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
