@@ -1,10 +1,11 @@
 """Exact n-gram Jaccard self-join with set-relation skipping.
 
 Documents are sets of word shingles. Equal sets form a class and are handled once. Each set
-shows a part of its shingles: those with the smallest hashes, at least so many that two similar
-sets must show a common one. A set that shows more shingles of its own than a similar partner
-could lack is out. The sets left are linked loosely through the shown shingles they share;
-what is connected that way is a cluster, and links never cross clusters.
+shows a part of its shingles, chosen by hash alone so that similar sets show the same part. A
+set that shows more shingles of its own than a similar partner could lack is out. Of the sets
+left, each is entered into the lists of its rarest shown shingles, so many that two similar
+sets meet in a list; what is connected through lists is a cluster, and links never cross
+clusters.
 
 Within a cluster overlaps are counted exactly over index lists. A list holds sets in order of
 size, so that the block whose sizes can't match is skipped, and the counts of a set are derived
@@ -31,10 +32,13 @@ from millrace.llm.words import mixed, shingle_hashes, word_hashes, words
 SHINGLE = 5
 #: Sets link when ``100 * intersection >= SIMILAR * union``.
 SIMILAR = 80
-#: Hashes below this share of their range are shown by every set ...
+#: Hashes below this share of their range are shown.
 SHOWN = 0.35
-#: ... and all hashes by sets up to this size, and by any set that could be similar to one.
+#: Sets up to this size show everything.
 SMALL = 64
+#: Cells of the table that tells how common shingles are, to put them in order. Its size never
+#: changes; with more shingles to a cell the order gets coarser and stays an order.
+CELLS = 1 << 22
 #: Shown shingles handled together, and shingles of a block of a cluster.
 BUCKET_SHINGLES = 500_000
 BLOCK_SHINGLES = 1_000_000
@@ -47,102 +51,142 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(words(text or "")), SHINGLE))
 
 
-def shown(hashes: np.ndarray) -> tuple[np.ndarray, int]:
-    """The shown hashes, and how many of them count when a set's own ones are weighed."""
-    n = len(hashes)
-    if n * SIMILAR <= SMALL * 100:
-        return hashes, n if n <= SMALL else int(np.searchsorted(hashes, np.uint64(SHOWN * 2.0**64)))
-    below = int(np.searchsorted(hashes, np.uint64(SHOWN * 2.0**64)))
-    prefix = n - -(-n * SIMILAR // 100) + 1
-    return hashes[: max(below, prefix)], below
+def lacking(n):
+    """How many of its ``n`` shingles a set may lack in a similar partner."""
+    return n * (100 - SIMILAR) // 100
+
+
+# Ways of showing shingles. Two similar sets always share a way in which a shown shingle is
+# common to both: sets up to SMALL and their possible partners show everything (ALL); sets
+# beyond SMALL show the hashes below SHOWN (SAMPLE). If no common shingle of two sets is below
+# SHOWN, both have few there, and such sets show everything among themselves too (FEW).
+ALL, SAMPLE, FEW = 0, 1, 2
+
+
+def ways(n: int, below: int) -> list[tuple[int, int]]:
+    """The ways a set of ``n`` shingles, ``below`` of them below SHOWN, takes part: way and count."""
+    taken = [(ALL, n)] if n * SIMILAR <= SMALL * 100 else []
+    if n > SMALL:
+        taken.append((SAMPLE, below))
+        if below <= lacking(n):
+            taken.append((FEW, n))
+    return taken
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """``doc_id, mark, n, digest, class, counted, shown`` of every row."""
+    """``doc_id, mark, n, below, digest, class, shown`` of every row.
+
+    The last two bits of ``class`` are free for the way of showing.
+    """
     prepare(docs.sparkSession)
+    limit = np.uint64(SHOWN * 2.0**64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, classes, counted, parts = [], [], [], [], []
+            sizes, belows, digests, classes, parts = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = shingle_set(text)
-                part, counting = shown(hashes)
+                below = int(np.searchsorted(hashes, limit))
+                longest = max([count for _, count in ways(len(hashes), below)])
                 digest = xxhash.xxh3_128_digest(hashes.tobytes())
                 sizes.append(len(hashes))
+                belows.append(below)
                 digests.append(digest)
-                classes.append(int.from_bytes(digest[:8], "little", signed=True))
-                counted.append(counting)
-                parts.append(part.tobytes())
+                classes.append(int.from_bytes(digest[:8], "little", signed=True) & ~3)
+                parts.append(hashes[:longest].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("mark"),
                     pa.array(sizes, pa.int32()),
+                    pa.array(belows, pa.int32()),
                     pa.array(digests, pa.binary()),
                     pa.array(classes, pa.int64()),
-                    pa.array(counted, pa.int32()),
                     pa.array(parts, pa.binary()),
                 ],
-                names=["doc_id", "mark", "n", "digest", "class", "counted", "shown"],
+                names=["doc_id", "mark", "n", "below", "digest", "class", "shown"],
             )
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), "text").mapInArrow(
-        run, "doc_id bigint, mark bigint, n int, digest binary, class bigint, counted int, shown binary"
+        run, "doc_id bigint, mark bigint, n int, below int, digest binary, class bigint, shown binary"
     )
 
 
-def _deal(described: DataFrame, buckets: int) -> DataFrame:
-    """Shown shingles dealt by hash: ``bucket`` and packed arrays of shingles, classes and sizes.
+_DEALT = pa.schema(
+    [("bucket", pa.int32()), ("shingles", pa.binary()), ("owners", pa.binary()), ("keys", pa.binary()), ("sizes", pa.binary())]
+)
+
 
-    Of equal sets in one batch only the first is dealt.
+def _deal(described: DataFrame, buckets: int, levels: np.ndarray | None = None) -> DataFrame:
+    """Shown shingles dealt by hash: ``bucket`` and packed arrays of shingles, keys and sizes.
+
+    A key is a class and a way. With ``levels`` only the rarest are dealt, as many as it takes
+    for two similar sets to have a common one among them. Of equal sets in one batch only the
+    first is dealt.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first = {c: i for i, c in reversed(list(enumerate(batch.column("class").to_pylist())))}
-            chosen = sorted(first.values())
-            parts = batch.column("shown").to_pylist()
-            parts = [np.frombuffer(parts[i], dtype=np.uint64) for i in chosen]
-            if not parts:
-                continue
-            sizes = batch.column("n").to_numpy()[chosen].astype(np.int32)
-            classes = batch.column("class").to_numpy()[chosen]
-            owner = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
-            spread = mixed(np.concatenate(parts))
-            bucket = ((spread >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            order = np.argsort(bucket, kind="stable")
-            bucket, owner = bucket[order], owner[order]
-            low = spread[order].astype(np.uint32)
-            starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            rows = []
-            for a, b in zip(starts, np.r_[starts[1:], len(bucket)]):
-                held, local = np.unique(owner[a:b], return_inverse=True)
-                rows.append(
-                    {
-                        "bucket": int(bucket[a]),
-                        "shingles": low[a:b].tobytes(),
-                        "owners": local.astype(np.uint16).tobytes(),
-                        "classes": classes[held].tobytes(),
-                        "sizes": sizes[held].tobytes(),
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(rows, schema=_DEALT)
-
-    return described.where("n > 0").select("n", "class", "shown").mapInArrow(
-        run, "bucket int, shingles binary, owners binary, classes binary, sizes binary"
+            columns = [batch.column(name).to_pylist() for name in ("n", "below", "class", "shown")]
+            keys, sizes, parts = [], [], []
+            for i in sorted(first.values()):
+                n, below, klass, packed = (column[i] for column in columns)
+                part = np.frombuffer(packed, dtype=np.uint64)
+                for way, count in ways(n, below):
+                    spread = mixed(part[:count] ^ np.uint64(way))
+                    if levels is not None:
+                        common = max(1, count - lacking(n))
+                        order = np.lexsort((spread, levels[_cell(spread)]))
+                        spread = spread[order[: count - common + 1]]
+                    keys.append(klass | way)
+                    sizes.append(n)
+                    parts.append(spread)
+            yield from _packed(parts, np.array(keys, dtype=np.int64), np.array(sizes, dtype=np.int32), buckets)
+
+    return described.where("n > 0").select("n", "below", "class", "shown").mapInArrow(
+        run, "bucket int, shingles binary, owners binary, keys binary, sizes binary"
     )
 
 
-_DEALT = pa.schema(
-    [("bucket", pa.int32()), ("shingles", pa.binary()), ("owners", pa.binary()), ("classes", pa.binary()), ("sizes", pa.binary())]
-)
+def _high(spread: np.ndarray, parts: int) -> np.ndarray:
+    """Which of equal parts of the range a hash falls into."""
+    return ((spread >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
+def _cell(spread: np.ndarray) -> np.ndarray:
+    return _high(spread, CELLS).astype(np.int64)
+
+
+def _packed(parts: list[np.ndarray], keys: np.ndarray, sizes: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    if not sum(map(len, parts)):
+        return
+    owner = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
+    spread = np.concatenate(parts)
+    bucket = _high(spread, buckets)
+    order = np.argsort(bucket, kind="stable")
+    bucket, owner, spread = bucket[order], owner[order], spread[order]
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    rows = []
+    for a, b in zip(starts, np.r_[starts[1:], len(bucket)]):
+        held, local = np.unique(owner[a:b], return_inverse=True)
+        rows.append(
+            {
+                "bucket": int(bucket[a]),
+                "shingles": spread[a:b].tobytes(),
+                "owners": local.astype(np.uint16).tobytes(),
+                "keys": keys[held].tobytes(),
+                "sizes": sizes[held].tobytes(),
+            }
+        )
+    yield pa.RecordBatch.from_pylist(rows, schema=_DEALT)
 
 
 def _lists(dealt: DataFrame, of_bucket, schema: pa.Schema, ddl: str) -> DataFrame:
-    """``of_bucket(shingles, owners, classes, sizes)`` for every bucket, one at a time.
+    """``of_bucket(shingles, owners, keys, sizes)`` for every bucket, one at a time.
 
-    ``shingles`` are sorted, ``owners`` point into the distinct ``classes``; every pair occurs
-    once, and only shingles of two classes or more are left.
+    Pairs of shingle and owner are distinct and sorted; owners point into ``keys`` and
+    ``sizes``, which are in order of size.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,34 +205,44 @@ def _lists(dealt: DataFrame, of_bucket, schema: pa.Schema, ddl: str) -> DataFram
 
 
 def _merged(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    classes = np.concatenate([np.frombuffer(r["classes"], dtype=np.int64) for r in rows])
+    keys = np.concatenate([np.frombuffer(r["keys"], dtype=np.int64) for r in rows])
     sizes = np.concatenate([np.frombuffer(r["sizes"], dtype=np.int32) for r in rows])
-    shingles = np.concatenate([np.frombuffer(r["shingles"], dtype=np.uint32) for r in rows])
-    shift = np.cumsum([0] + [len(r["classes"]) // 8 for r in rows])
+    shingles = np.concatenate([np.frombuffer(r["shingles"], dtype=np.uint64) for r in rows])
+    shift = np.cumsum([0] + [len(r["keys"]) // 8 for r in rows])
     owners = np.concatenate([np.frombuffer(r["owners"], dtype=np.uint16).astype(np.int64) + s for r, s in zip(rows, shift)])
-    # Classes in order of size, so that lists are too.
-    distinct, at = np.unique(classes, return_index=True)
+    distinct, at = np.unique(keys, return_index=True)
     by_size = np.argsort(sizes[at], kind="stable")
     rank = np.empty(len(distinct), dtype=np.int64)
     rank[by_size] = np.arange(len(distinct))
-    owners = rank[np.searchsorted(distinct, classes)][owners]
-    pairs = np.unique(shingles.astype(np.uint64) << np.uint64(32) | owners.astype(np.uint64))
-    shingles = (pairs >> np.uint64(32)).astype(np.uint32)
-    same = shingles[1:] == shingles[:-1]
-    listed = np.r_[same, False] | np.r_[False, same] if len(shingles) else np.zeros(0, dtype=bool)
-    owners = (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    return shingles[listed], owners[listed], distinct[by_size], sizes[at][by_size]
-
-
-def _shared(shingles: np.ndarray, owners: np.ndarray, classes: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
-    """How many of a class's shingles are shared with others."""
-    counts = np.bincount(owners, minlength=len(classes))
+    owners = rank[np.searchsorted(distinct, keys)][owners]
+    order = np.lexsort((owners, shingles))
+    shingles, owners = shingles[order], owners[order]
+    fresh = np.r_[True, (shingles[1:] != shingles[:-1]) | (owners[1:] != owners[:-1])]
+    return shingles[fresh], owners[fresh], distinct[by_size], sizes[at][by_size]
+
+
+_SHARED = pa.schema([("key", pa.list_(pa.int64())), ("shared", pa.list_(pa.int32())), ("first_cell", pa.int32()), ("levels", pa.binary())])
+
+
+def _shared(shingles: np.ndarray, owners: np.ndarray, keys: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
+    """How many of a key's shingles others have too; and how common shingles are, by cell."""
+    starts = np.flatnonzero(np.r_[True, shingles[1:] != shingles[:-1]])
+    common = np.diff(np.r_[starts, len(shingles)])
+    counts = np.bincount(owners[np.repeat(common > 1, common)], minlength=len(keys))
     found = np.flatnonzero(counts)
-    return [pa.array(classes[found]), pa.array(counts[found].astype(np.int32))]
+    cells = _cell(shingles[starts])
+    levels = np.zeros(int(cells[-1] - cells[0]) + 1, dtype=np.uint8)
+    np.maximum.at(levels, cells - cells[0], np.log2(common).astype(np.uint8))
+    return [
+        pa.array([keys[found].tolist()], pa.list_(pa.int64())),
+        pa.array([counts[found].tolist()], pa.list_(pa.int32())),
+        pa.array([int(cells[0])], pa.int32()),
+        pa.array([levels.tobytes()], pa.binary()),
+    ]
 
 
-def _chained(shingles: np.ndarray, owners: np.ndarray, classes: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
-    """Neighbours in a list ordered by size, unless their sizes can't match.
+def _chained(shingles: np.ndarray, owners: np.ndarray, keys: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
+    """Neighbours in a list ordered by size, unless their sizes can't match, as a forest.
 
     If two sets of a list can match, all between them can, so they are connected.
     """
@@ -199,27 +253,37 @@ def _chained(shingles: np.ndarray, owners: np.ndarray, classes: np.ndarray, size
         cc.union(parent, a, b)
     nodes = [x for x in parent if cc.find(parent, x) != x]
     roots = [cc.find(parent, x) for x in nodes]
+    classes = keys & ~3
     return [pa.array(classes[nodes], pa.int64()), pa.array(classes[roots], pa.int64())]
 
 
 def clusters(described: DataFrame, classes: DataFrame) -> DataFrame:
     """``class, cluster`` of the classes that may have a link."""
-    total = classes.agg(F.sum(F.greatest("counted", F.col("n") / 5))).first()[0] or 0
+    n, below = F.col("n"), F.col("below")
+    most = F.floor(n * (100 - SIMILAR) / 100)
+    way = lambda number, count, applies: F.when(applies, F.struct(F.lit(number).alias("way"), count.alias("counted")))
+    taken = F.array_compact(
+        F.array(way(ALL, n, n * SIMILAR <= SMALL * 100), way(SAMPLE, below, n > SMALL), way(FEW, n, (n > SMALL) & (below <= most)))
+    )
+    entered = classes.select("class", "n", F.explode(taken).alias("taken")).select(
+        F.col("class").bitwiseOR(F.col("taken.way").cast("bigint")).alias("key"), "n", "taken.counted"
+    )
+    total = entered.agg(F.sum("counted")).first()[0] or 0
     buckets = int(total // BUCKET_SHINGLES) + 1
-    shared = _lists(_deal(described, buckets), _shared, pa.schema([("class", pa.int64()), ("shared", pa.int32())]), "class bigint, shared int")
-    # A similar partner lacks at most a fifth of a set's shingles.
-    lacking = (100 - SIMILAR) * F.col("n")
+    counted = stored(_lists(_deal(described, buckets), _shared, _SHARED, "key array<bigint>, shared array<int>, first_cell int, levels binary"), "shared")
+    levels = np.zeros(CELLS, dtype=np.uint8)
+    for row in counted.select("first_cell", "levels").toLocalIterator():  # CELLS bytes in all
+        found = np.frombuffer(row["levels"], dtype=np.uint8)
+        part = levels[row["first_cell"] : row["first_cell"] + len(found)]
+        np.maximum(part, found, out=part)
+    shared = counted.select(F.explode(F.arrays_zip("key", "shared")).alias("pair")).groupBy("pair.key").agg(F.sum("pair.shared").alias("shared"))
     dense = stored(
-        classes.select("class", "n", "counted")
-        .join(shared.groupBy("class").agg(F.sum("shared").alias("shared")), "class")
-        .where(100 * (F.col("counted") - F.col("shared")) <= lacking)
-        .select("class")
-        .distinct(),
+        entered.join(shared, "key").where(F.col("counted") - F.col("shared") <= most).select(F.col("key").bitwiseAND(F.lit(~3)).alias("class")).distinct(),
         "dense",
     )
     left = described.where(Bitmap(dense, "class").accepts(F.col("class")))
-    edges = _lists(_deal(left, buckets), _chained, pa.schema([("a", pa.int64()), ("b", pa.int64())]), "a bigint, b bigint")
-    return cc.components(edges).withColumnsRenamed({"node": "class", "component": "cluster"})
+    edges = _lists(_deal(left, buckets, levels), _chained, pa.schema([("a", pa.int64()), ("b", pa.int64())]), "a bigint, b bigint")
+    return cc.components(edges.where("a <> b")).withColumnsRenamed({"node": "class", "component": "cluster"})
 
 
 _LINKED = pa.schema([("node", pa.int64()), ("root", pa.int64()), ("links", pa.int64())])
@@ -393,14 +457,14 @@ def link(docs: DataFrame) -> DataFrame:
         .agg(
             F.first("class").alias("class"),
             F.first("n").alias("n"),
-            F.first("counted").alias("counted"),
+            F.first("below").alias("below"),
             F.count("*").alias("copies"),
             F.min("doc_id").alias("doc_id"),
         )
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    members = classes.join(clusters(described, classes), "class").drop("class", "counted")
+    members = classes.join(clusters(described, classes), "class").drop("class", "below")
     found = stored(verified(docs, members), "links")
     joined = cc.components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
@@ -435,5 +499,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows that share that id and differ in their texts all stay; documents without id stay.
     """
-    dropped = link(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
-    return docs.join(dropped, (docs["doc_id"] == F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__mark")), "left_anti")
+    dropped = stored(
+        link(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct(),
+        "dropped",
+    )
+    apart, suspects = Bitmap(dropped, "__id").divide(docs, "doc_id")
+    same = (suspects["doc_id"] == F.col("__id")) & (F.xxhash64(suspects["text"]) == F.col("__mark"))
+    return apart.unionByName(suspects.join(dropped, same, "left_anti"))
