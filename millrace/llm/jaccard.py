@@ -42,6 +42,12 @@ CELLS = 1 << 22
 #: Shown shingles handled together, and shingles of a block of a cluster.
 BUCKET_SHINGLES = 500_000
 BLOCK_SHINGLES = 1_000_000
+#: Bytes of a shown hash that are kept and moved. Shingles that fall together only lead to
+#: clusters larger than need be; counting in clusters uses all eight.
+HASH_BYTES = 6
+#: Cluster members that are sent to every task, by their bytes; more are joined by digest.
+BROADCAST_BYTES = 1 << 24
+MEMBER_BYTES = 64
 #: Counted sets from which others may be derived.
 KEPT_COUNTS = 64
 
@@ -73,6 +79,19 @@ def ways(n: int, below: int) -> list[tuple[int, int]]:
     return taken
 
 
+def _short(hashes: np.ndarray) -> bytes:
+    """The first ``HASH_BYTES`` bytes of each hash, packed."""
+    shifted = (hashes >> np.uint64(64 - 8 * HASH_BYTES)).astype("<u8")
+    return shifted.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    """What :func:`_short` packed, in place, the other bytes zero."""
+    full = np.zeros((len(packed) // HASH_BYTES, 8), dtype=np.uint8)
+    full[:, 8 - HASH_BYTES :] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, HASH_BYTES)
+    return full.view("<u8").reshape(-1).astype(np.uint64)
+
+
 def describe(docs: DataFrame) -> DataFrame:
     """``doc_id, mark, n, below, digest, class, shown`` of every row.
 
@@ -93,7 +112,7 @@ def describe(docs: DataFrame) -> DataFrame:
                 belows.append(below)
                 digests.append(digest)
                 classes.append(int.from_bytes(digest[:8], "little", signed=True) & ~3)
-                parts.append(hashes[:longest].tobytes())
+                parts.append(_short(hashes[:longest]))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -132,7 +151,7 @@ def _deal(described: DataFrame, buckets: int, levels: np.ndarray | None = None)
             keys, sizes, parts = [], [], []
             for i in sorted(first.values()):
                 n, below, klass, packed = (column[i] for column in columns)
-                part = np.frombuffer(packed, dtype=np.uint64)
+                part = _unpacked(packed)
                 for way, count in ways(n, below):
                     spread = mixed(part[:count] ^ np.uint64(way))
                     if levels is not None:
@@ -173,7 +192,7 @@ def _packed(parts: list[np.ndarray], keys: np.ndarray, sizes: np.ndarray, bucket
         rows.append(
             {
                 "bucket": int(bucket[a]),
-                "shingles": spread[a:b].tobytes(),
+                "shingles": _short(spread[a:b]),
                 "owners": local.astype(np.uint16).tobytes(),
                 "keys": keys[held].tobytes(),
                 "sizes": sizes[held].tobytes(),
@@ -207,7 +226,7 @@ def _lists(dealt: DataFrame, of_bucket, schema: pa.Schema, ddl: str) -> DataFram
 def _merged(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     keys = np.concatenate([np.frombuffer(r["keys"], dtype=np.int64) for r in rows])
     sizes = np.concatenate([np.frombuffer(r["sizes"], dtype=np.int32) for r in rows])
-    shingles = np.concatenate([np.frombuffer(r["shingles"], dtype=np.uint64) for r in rows])
+    shingles = np.concatenate([_unpacked(r["shingles"]) for r in rows])
     shift = np.cumsum([0] + [len(r["keys"]) // 8 for r in rows])
     owners = np.concatenate([np.frombuffer(r["owners"], dtype=np.uint16).astype(np.int64) + s for r, s in zip(rows, shift)])
     distinct, at = np.unique(keys, return_index=True)
@@ -413,8 +432,9 @@ def verified(docs: DataFrame, members: DataFrame) -> DataFrame:
     wanted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(Bitmap(placed, "doc_id").accepts(F.col("doc_id")))
     sets = wanted.select("text").mapInArrow(shingles, "digest binary, shingles binary")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    side = F.broadcast(placed) if placed.count() * MEMBER_BYTES <= BROADCAST_BYTES else placed
     dealt = (
-        placed.join(sets, "digest")
+        sets.join(side, "digest")
         .select("node", "copies", "cluster", "block", "shingles", other)
         .withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
         .drop("other")

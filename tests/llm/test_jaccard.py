@@ -72,10 +72,18 @@ def test_against_brute_force(documents, monkeypatch, seed):
     if seed == 2:  # many buckets, many blocks
         monkeypatch.setattr(jaccard, "BUCKET_SHINGLES", 500)
         monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 900)
+        monkeypatch.setattr(jaccard, "BROADCAST_BYTES", 0)
     rows = corpus(seed) + [(None, None), (2000, ""), (2001, " \n"), (2002, "a b"), (2003, "A B"), (2004, "a b"), (None, "a b"), (999, corpus(seed)[1][1])]
     assert found(documents(rows)) == brute(rows)
 
 
+def test_short_hashes():
+    hashes = np.array([0, 1 << 16, 2**64 - 1, 0x0123456789ABCDEF], dtype=np.uint64)
+    kept = jaccard._unpacked(jaccard._short(hashes))
+    assert (kept == hashes >> np.uint64(16) << np.uint64(16)).all()
+    assert len(jaccard._unpacked(b"")) == 0
+
+
 def test_chain_of_links_is_one_component(documents):
     base = [f"x{i}" for i in range(300)]
     rows = [(50 + k, " ".join(base[4 * k : 4 * k + 150])) for k in range(12)]
