@@ -40,8 +40,8 @@ SMALL = 64
 #: changes; with more shingles to a cell the order gets coarser and stays an order.
 CELLS = 1 << 22
 #: Shown shingles handled together, and shingles of a block of a cluster.
-BUCKET_SHINGLES = 500_000
-BLOCK_SHINGLES = 1_000_000
+BUCKET_SHINGLES = 250_000
+BLOCK_SHINGLES = 500_000
 #: Bytes of a shown hash that are kept and moved. Shingles that fall together only lead to
 #: clusters larger than need be; counting in clusters uses all eight.
 HASH_BYTES = 6

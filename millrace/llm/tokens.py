@@ -11,7 +11,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words whose ids a worker remembers; beyond that it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 350_000
 
 #: White space to ``str.split`` but not to the tokenizer.
 _SEPARATORS = re.compile("[\x1c-\x1f]")

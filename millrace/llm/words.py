@@ -14,7 +14,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans(UPPER, UPPER.lower())
 _FACTOR = 0x9E3779B97F4A7C15
 #: Distinct words whose hashes a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 
 _known: dict[str, int] = {}
 
