@@ -156,9 +156,10 @@ _FORMATTED_DDL = (
 
 
 def text_parts(text: str = "text"):
-    """A text column as a message of one text part."""
-    part = F.struct(F.lit("text").alias("type"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return F.from_json(F.to_json(F.array(part)), PARTS)
+    """A text column as a message of one text part, whatever the text's length."""
+    given = {"type": F.lit("text"), "text": F.coalesce(F.col(text), F.lit(""))}
+    rest = {name: F.lit(None) for name in ("ref", "width", "height", "seconds", "pages")}
+    return F.array(F.struct(*(value.alias(name) for name, value in (given | rest).items()))).cast(PARTS)
 
 
 def format_turns(messages: DataFrame, parts: str = "parts") -> DataFrame:

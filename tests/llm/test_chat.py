@@ -76,3 +76,16 @@ def test_conversations_read_back(spark, clash):
 def test_null_parts_are_an_empty_message(spark):
     frame = spark.createDataFrame([(1, 0, "user")], "conv_id bigint, turn bigint, role string").withColumn("parts", F.lit(None).cast(chat.PARTS))
     assert chat.format_turns(frame).first()["formatted"] == "<|turn|>user<|text|><|end|>"
+
+
+def test_text_beyond_the_json_parsers_limit(spark):
+    long = 21_000_000
+    frame = spark.range(1).select(
+        F.lit(1).cast("bigint").alias("conv_id"),
+        F.lit(0).cast("bigint").alias("turn"),
+        F.lit("assistant").alias("role"),
+        F.expr(f"repeat('x', {long})").alias("text"),
+    )
+    row = chat.read_back(chat.format_turns(frame.withColumn("parts", chat.text_parts()))).first()
+    assert row["loss_chars"] == long
+    assert row["loss_sha256"] == hashlib.sha256(b"x" * long).hexdigest()
