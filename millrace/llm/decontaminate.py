@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare word n-grams as seeds, then Smith-Waterman alignment.
-
-Every n-gram of the benchmark is counted over the whole corpus. In each stretch of
-neighbouring n-grams of an item the rarest becomes a seed, so that a copied passage of a
-stretch's length always holds one, while n-grams that half the corpus shares start nothing
-where a rarer neighbour exists. A passage around each seed is aligned with the item; edits,
-insertions and deletions cost a little, and the best local alignment tells what part of the
-item the document contains.
+"""Benchmark decontamination: common word n-grams, then Smith-Waterman alignment.
+
+A document and an item that have any word n-gram in common are aligned, however often the
+n-gram or the item occurs elsewhere. Hits on the same diagonal, the place in the document less
+the place in the item, ask for the same passage, so that only the diagonals are kept. The
+passages around them are aligned with the item; edits, insertions and deletions cost a little,
+and the best local alignment tells what part of the item the document contains. Passages with
+too few of the item's words to reach the threshold are passed over before the alignment.
 """
 
 from __future__ import annotations
@@ -15,17 +15,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bitmap import Bitmap
 from millrace.llm.tables import prepare, stored
 from millrace.llm.words import shingle_hashes, word_hashes
 
-#: Words of a seed.
+#: Words of an n-gram; a copy without so many unchanged words in a row isn't found.
 SEED = 4
-#: Neighbouring n-grams of which the rarest is a seed.
-STRETCH = 4
 #: Share of the item's words (or of ``LONG_ITEM`` of them) that must be found in one alignment.
 THRESHOLD = 0.5
 #: Longer items count as found when a passage of this many words is.
@@ -107,19 +105,12 @@ def occurrences(docs: DataFrame, bitmap: bytes) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, place int, gram bigint")
 
 
-def seeds(item_side: DataFrame, corpus_side: DataFrame) -> DataFrame:
-    """``item_id, item_place, gram``: the rarest n-gram of each stretch of an item.
-
-    An n-gram that the corpus lacks can seed nothing and leaves the choice to the others.
-    Counts are over all documents.
-    """
-    counts = corpus_side.groupBy("gram").agg(F.count("*").alias("n"))
-    counted = item_side.join(counts, "gram")
-    stretch = Window.partitionBy("item_id").orderBy("place").rangeBetween(0, STRETCH - 1)
+def diagonals(item_side: DataFrame, corpus_side: DataFrame) -> DataFrame:
+    """``doc_id, item_id, diagonals`` for every document and item with an n-gram in common."""
     return (
-        counted.withColumn("rarest", F.min(F.struct("n", "gram", "place")).over(stretch))
-        .select("item_id", F.col("rarest.place").alias("item_place"), F.col("rarest.gram").alias("gram"))
-        .distinct()
+        corpus_side.join(item_side.withColumnRenamed("place", "item_place"), "gram")
+        .groupBy("doc_id", "item_id")
+        .agg(F.collect_set(F.col("place") - F.col("item_place")).alias("diagonals"))
     )
 
 
@@ -155,16 +146,16 @@ def align(passage: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return int(matched), int(j), end
 
 
-def best_alignment(words: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]) -> tuple[float, int, int]:
-    """Share of the item found, and the word span, over the passages around all hits.
+def best_alignment(words: np.ndarray, item: np.ndarray, found: list[int], threshold: float = 0.0) -> tuple[float, int, int]:
+    """Share of the item found, and the word span, over the passages around all diagonals.
 
-    A hit is a place in the document and a place in the item. Overlapping passages are joined.
+    Overlapping passages are joined. Passages that can't reach ``threshold`` are not aligned.
     """
     slack = 8 + len(item) // 4
     spans: list[list[int]] = []
-    for place, item_place in sorted(hits):
-        first = max(0, place - item_place - slack)
-        last = min(len(words), place - item_place + len(item) + slack)
+    for diagonal in sorted(found):
+        first = max(0, diagonal - slack)
+        last = min(len(words), diagonal + len(item) + slack)
         if spans and first <= spans[-1][1]:
             spans[-1][1] = max(spans[-1][1], last)
         else:
@@ -176,6 +167,10 @@ def best_alignment(words: np.ndarray, item: np.ndarray, hits: list[tuple[int, in
         # Long joined stretches are aligned in overlapping parts, to bound the table.
         for start in range(first, last, step):
             part = words[start : min(last, start + step + 2 * (len(item) + slack))]
+            # No alignment matches more words than either side has of the other's.
+            most = min(int(np.isin(part, item).sum()), int(np.isin(item, part).sum())) / needed
+            if most < threshold or most <= best[0]:
+                continue
             matched, a, b = align(part, item)
             share = min(1.0, matched / needed)
             if share > best[0]:
@@ -194,18 +189,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     """
     item_side = stored(item_grams(benchmark).where("item_id IS NOT NULL"), "item-grams")
     corpus_side = stored(occurrences(docs.where("doc_id IS NOT NULL"), _filter(item_side)), "corpus-grams")
-    chosen = seeds(item_side, corpus_side)
-    # Few items are hit by a hot n-gram; a document and an item meet once, with all their hits.
-    hits = (
-        corpus_side.join(chosen, "gram")
-        .groupBy("doc_id", "item_id")
-        .agg(F.sort_array(F.collect_set(F.struct("place", "item_place"))).alias("hits"))
-    )
+    hits = diagonals(item_side, corpus_side)
     items = benchmark.groupBy(F.col("item_id").cast("bigint").alias("item_id")).agg(
         F.max(F.coalesce("text", F.lit(""))).alias("item_text")
     )
     per_doc = stored(
-        hits.join(items, "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "item_text", "hits")).alias("items")),
+        hits.join(items, "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "item_text", "diagonals")).alias("items")),
         "hits",
     )
     # Texts without a hit need not move.
@@ -219,8 +208,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
                 found = word_hashes(tokens(text))
                 for item in items:
                     wanted = word_hashes(tokens(item["item_text"]))
-                    places = [(hit["place"], hit["item_place"]) for hit in item["hits"]]
-                    score, first, last = best_alignment(found, wanted, places)
+                    score, first, last = best_alignment(found, wanted, item["diagonals"], threshold)
                     if score >= threshold:
                         rows.append(
                             {"doc_id": doc_id, "item_id": item["item_id"], "score": score, "first_word": first, "last_word": last}

@@ -106,3 +106,18 @@ def test_empty_tables_and_keep_clean(spark, documents):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in rows} - {d for d, _ in want} | {None, 99}
     assert D.contaminated(documents([]), benchmark).count() == 0
     assert D.contaminated(docs, benchmark.where("false")).count() == 0
+
+
+def test_an_edited_copy_is_found_beside_verbatim_ones(spark, documents):
+    items, rows, want = [], [], set()
+    for k, length in enumerate(range(30, 41)):
+        item = prose(length, 2000 + k)
+        changed = ["changed" if i % 6 == 5 else w for i, w in enumerate(item)]
+        items.append((k, " ".join(item)))
+        for copy, doc in ((item, 2 * k), (changed, 2 * k + 1)):
+            rows.append((doc, " ".join([*prose(60, 3000 + doc), *copy, *prose(60, 4000 + doc)])))
+            want.add((doc, k))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = D.contaminated(documents(rows), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want
+    assert {r["doc_id"] for r in D.keep_clean(documents(rows), benchmark).collect()} == set()
