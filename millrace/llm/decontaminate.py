@@ -28,6 +28,8 @@ SEED = 4
 THRESHOLD = 0.5
 #: Longer items count as found when a passage of this many words is.
 LONG_ITEM = 60
+#: So many words must be found whatever the share; of a shorter item all.
+LEAST_WORDS = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bits of the filter that keeps n-grams of no item out of the join; its size never changes.
 FILTER_BITS = 1 << 22
@@ -178,10 +180,16 @@ def best_alignment(words: np.ndarray, item: np.ndarray, found: list[int], thresh
     return best
 
 
+def bar_of(length: int, threshold: float) -> float:
+    """The share of an item of ``length`` words that must be found."""
+    return max(threshold, min(length, LEAST_WORDS) / max(1, min(length, LONG_ITEM)))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, item_id, score, first_word, last_word``: the items each document contains.
 
-    ``score`` is the share of the item's words in the best alignment. Null and empty texts on
+    ``score`` is the share of the item's words in the best alignment; it must reach ``threshold``
+    and come to ``LEAST_WORDS`` words, or all of a shorter item's. Null and empty texts on
     either side contain nothing and are contained in nothing; items of fewer than ``SEED`` words
     are found only where a text consists of the same words. Rows that repeat a ``doc_id`` are
     judged together, as are repeated items; other columns are not read. A document without
@@ -208,8 +216,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
                 found = word_hashes(tokens(text))
                 for item in items:
                     wanted = word_hashes(tokens(item["item_text"]))
-                    score, first, last = best_alignment(found, wanted, item["diagonals"], threshold)
-                    if score >= threshold:
+                    bar = bar_of(len(wanted), threshold)
+                    score, first, last = best_alignment(found, wanted, item["diagonals"], bar)
+                    if score >= bar:
                         rows.append(
                             {"doc_id": doc_id, "item_id": item["item_id"], "score": score, "first_word": first, "last_word": last}
                         )

@@ -121,3 +121,13 @@ def test_an_edited_copy_is_found_beside_verbatim_ones(spark, documents):
     found = D.contaminated(documents(rows), benchmark).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == want
     assert {r["doc_id"] for r in D.keep_clean(documents(rows), benchmark).collect()} == set()
+
+
+def test_an_ordinary_phrase_of_a_short_item_is_no_leak(spark, documents):
+    short, middle = prose(6, 5000), prose(12, 5001)
+    around = prose(40, 5002), prose(40, 5003)
+    copies = [short[:4], short, middle[:7], middle[:8], middle]
+    rows = [(i, " ".join([*around[0], *copy, *around[1]])) for i, copy in enumerate(copies)]
+    benchmark = spark.createDataFrame([(1, " ".join(short)), (2, " ".join(middle))], "item_id bigint, text string")
+    found = D.contaminated(documents(rows), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (3, 2), (4, 2)}
