@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, exact_dedup, html_extract, jaccard, language, packing, toxicity, url_filter, warc
+from millrace.llm import chat, decontaminate, exact_dedup, html_extract, jaccard, language, packing, toxicity, url_filter, vector_codes, warc
 from millrace.llm.tables import remainder, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -93,6 +93,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings")).drop("label")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_decontaminate": op2_decontaminate,
@@ -104,6 +108,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_warc": op10_warc,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 _LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -115,7 +120,53 @@ _CRC32 = (
     "lambda v, bit: xor(v >> 1, (v & 1) * 3988292384))), 4294967295)"
 )
 
+
+
+def _vector_codes_sql() -> str:
+    """Every round spelt out: distances to all entries, then new entries by component."""
+    parts, entries, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
+    steps = [
+        """kept AS MATERIALIZED (
+            SELECT vec_id, label, embedding FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""components AS MATERIALIZED (
+            SELECT vec_id, (place - 1) // width AS part, (place - 1) % width AS spot,
+                floor({vector_codes.SCALE} * embedding[place]::DOUBLE)::BIGINT AS x
+            FROM (SELECT vec_id, embedding, len(embedding) // {parts} AS width,
+                unnest(range(1, len(embedding) + 1)) AS place FROM kept))""",
+        f"""book0 AS MATERIALIZED (
+            SELECT part, rank AS entry, spot, x FROM components
+            JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS rank FROM kept) USING (vec_id)
+            WHERE rank < {entries})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""near{i} AS MATERIALIZED (
+            SELECT vec_id, part, min(distance * {entries} + entry) AS best FROM (
+                SELECT vec_id, part, entry, sum((c.x - b.x) * (c.x - b.x))::HUGEINT AS distance
+                FROM components c JOIN book{i} b USING (part, spot) GROUP BY ALL)
+            GROUP BY ALL)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""book{i + 1} AS MATERIALIZED (
+            SELECT part, entry, spot, coalesce((total - ((total % n) + n) % n) // n, old.x)::BIGINT AS x
+            FROM book{i} old LEFT JOIN (
+                SELECT part, best % {entries} AS entry, spot, sum(x)::HUGEINT AS total, count(*) AS n
+                FROM near{i} JOIN components USING (vec_id, part) GROUP BY ALL) USING (part, entry, spot))"""
+            )
+    return f"""
+        WITH {", ".join(steps)}, coded AS (
+            SELECT vec_id, label, string_agg(format('{{:02x}}', (best % {entries})::INT), '' ORDER BY part) AS code,
+                sum(best // {entries})::BIGINT AS error
+            FROM near{rounds} JOIN kept USING (vec_id) GROUP BY ALL)
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+            (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, spot)) FROM book{rounds}) AS codebooks_sha256
+        FROM coded"""
+
+
 ORACLES = {
+    "op12_vector_codes": _vector_codes_sql(),
     "op1_url_filter": f"""
         WITH parts AS (
             SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
