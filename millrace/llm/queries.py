@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, exact_dedup, html_extract, jaccard, language, packing, toxicity, url_filter, vector_codes, warc
+from millrace.llm import chat, decontaminate, exact_dedup, html_extract, interpolation, jaccard, language, packing, toxicity, url_filter, vector_codes, warc
 from millrace.llm.tables import remainder, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -97,6 +97,12 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.encode(table(spark, sf_dir, "embeddings")).drop("label")
 
 
+def op13_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 5) == 1
+    scored = interpolation.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.withColumn("held_out", held_out)
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_decontaminate": op2_decontaminate,
@@ -109,6 +115,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_warc": op10_warc,
     "op12_vector_codes": op12_vector_codes,
+    "op13_interpolation": op13_interpolation,
 }
 
 _LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
