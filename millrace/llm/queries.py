@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, exact_dedup, html_extract, interpolation, jaccard, language, packing, toxicity, url_filter, vector_codes, warc
+from millrace.llm import alignment, chat, decontaminate, exact_dedup, html_extract, interpolation, jaccard, language, packing, toxicity, url_filter, vector_codes, warc
 from millrace.llm.tables import remainder, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 #: (action, host and beginning of the path).
 URL_RULES = [
@@ -93,6 +95,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.encode(table(spark, sf_dir, "embeddings")).drop("label")
 
@@ -114,6 +120,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_warc": op10_warc,
+    "op11_alignment": op11_alignment,
     "op12_vector_codes": op12_vector_codes,
     "op13_interpolation": op13_interpolation,
 }
