@@ -14,17 +14,17 @@ The answers go back along the postings: each plane adds its pair's count to the
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +38,10 @@ from millrace.llm.tokens import _byte_letters
 BLOCK_DOCS = 1 << 13
 BLOCK_TOKENS = 1 << 21
 #: Pieces of text whose tokens a worker remembers, and how long they may be.
-CACHE_PIECES = 100_000
+CACHE_PIECES = 120_000
 CACHED_CHARACTERS = 40
+#: Characters tokenized at once.
+LOT_CHARACTERS = 500_000
 #: A plane is a bitmap where it has this share of a block's documents, a list of them below.
 DENSE_SHARE = 1 / 16
 
@@ -52,79 +54,162 @@ _BLOCK = (
     " pairs binary, planes array<struct<digit: int, dense: binary, bitmaps: binary, sparse: binary, lengths: binary, ordinals: binary>>, n_pairs bigint"
 )
 
-#: Between a character that isn't white space and a space, a token of either kind ends.
-_CUT = re.compile(r"(?<=\S)(?= )")
+# Fixed value: where a byte-level tokenizer of this kind splits a text.
+_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
+
+
+#: ``(n_a, n_b, links, groups)`` of a piece. A link is the ids of A and B as one 64-bit number,
+#: groups are written as in their digest.
+Part = tuple[int, int, bytes, str]
 
 
 class PairTokenizer:
     """Both tokenizers over pieces of text, with what links their tokens.
 
-    The byte tokenizer never joins what is before a space with it, unless that is white space
-    too. Whether a piece of the other one may, is looked up in its vocabulary; if so, texts aren't
-    cut.
+    Texts are cut where a token of either kind must end, so that pieces repeat and are tokenized
+    once. The byte tokenizer splits before white space that follows something else, before
+    punctuation that follows a letter or digit, and after a lone line end. Where B's vocabulary
+    has a piece across such a place, texts aren't cut there.
     """
 
     def __init__(self, byte_path: str, piece_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.first = Tokenizer.from_file(byte_path)
-        self.first.encode_special_tokens = True
+        with open(byte_path, encoding="utf-8") as file:
+            model = json.load(file)
         letters = {letter: byte for byte, letter in _byte_letters().items()}
-        vocabulary = self.first.get_vocab(with_added_tokens=False)
+        vocabulary = model["model"]["vocab"]
         self.first_bytes = {i: bytes(letters[c] for c in token) for token, i in vocabulary.items() if all(c in letters for c in token)}
+        self.first_ids = self._byte_encoder(byte_path, model)
         self.second = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         shown = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size())]
         self.second_bytes = [bytes([int(p[3:5], 16)]) if self.second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(shown)]
-        self.space = [self.second.piece_to_id("▁")]
-        self.cuts = not any(re.search("[^▁]▁", piece) for piece in shown)
-        self.digits = [str(i) for i in range(max(len(shown), 1 + max(vocabulary.values())))]
-        self.known: dict[str, tuple[int, int, bytes, str] | None] = {}
+        self.first_sizes = np.zeros(1 + max(self.first_bytes), dtype=np.int64)
+        self.first_sizes[list(self.first_bytes)] = [len(data) for data in self.first_bytes.values()]
+        self.second_sizes = np.array([len(data) for data in self.second_bytes])
+        ids = range(max(len(self.first_sizes), len(shown)))
+        self.digits = np.array([[f"{i}{after}" for i in ids] for after in (",", "|", ";", "")], dtype=object)
+        self.cut = self._cut([p for i, p in enumerate(shown) if not self.second.is_byte(i)])
+        #: B on a line end: what it puts before a piece that begins without a space.
+        self.lead = self.second.encode("\n")
+        self.line_end = self.first_ids("\n")[0]
+        self.known: dict[str, Part | None] = {}
+        self.older: dict[str, Part | None] = {}
+
+    def _byte_encoder(self, path: str, model: dict) -> Callable[[str], list[int]]:
+        """Ids of a text. Where merges are in the order of their ids, ids are ranks, and the
+        encoder made for ranks gives the same ids several times as fast."""
+        merges = [pair if isinstance(pair, str) else "".join(pair) for pair in model["model"]["merges"]]
+        made = [model["model"]["vocab"][pair.replace(" ", "")] for pair in merges]
+        plain = {key: model["pre_tokenizer"].get(key) for key in ("type", "add_prefix_space", "use_regex")}
+        if made == sorted(made) and plain == {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True} and model["normalizer"] is None:
+            ranks = {data: i for i, data in self.first_bytes.items()}
+            return tiktoken.Encoding("bytes", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+    @staticmethod
+    def _cut(shown: list[str]) -> re.Pattern | None:
+        if any("\n" in piece or re.search("[^▁]▁", piece) for piece in shown):
+            return None
+        inside = {after for piece in shown for before, after in zip(piece, piece[1:]) if before.isalnum()}
+        free = "".join(re.escape(c) for c in _PUNCTUATION if c not in inside)
+        return re.compile(rf"(?<=\S)(?=[ \n])|(?<=[^\W_])(?=[{free}])|(?<=\S\n)(?=\S)")
 
     def pieces(self, text: str) -> list[str]:
-        """The text with the space that both tokenizers see before it, cut where tokens must end."""
+        """The text with the space that both tokenizers see before it, in pieces."""
+        if not text:
+            return []
         spaced = " " + text
-        return _CUT.split(spaced) if self.cuts else [spaced]
+        return [spaced] if self.cut is None else self.cut.split(spaced)
 
-    def parts(self, text: str) -> list[tuple[int, int, bytes, str] | None]:
-        """``(n_a, n_b, links, groups)`` of each piece; None where token bytes differ from it.
-
-        A link is the ids of A and B as one 64-bit number, groups are as in their digest.
-        """
+    def parts(self, texts: list[str]) -> list[list[Part | None]]:
+        """The parts of each text, in order; None for a piece that the token bytes differ from."""
         if len(self.known) > CACHE_PIECES:
-            self.known = {}
-        known = self.known
-        pieces = self.pieces(text)
-        new = list({piece for piece in pieces if piece not in known})
-        if new:
-            first = [e.ids for e in self.first.encode_batch(new, add_special_tokens=False)]
-            second = self.second.encode([piece[1:] for piece in new], num_threads=1)
-            for piece, a, b in zip(new, first, second):
-                known[piece] = self._linked(piece, a, b if len(piece) > 1 else self.space)
-        found = [known[piece] for piece in pieces]
-        for piece in new:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        cut = [self.pieces(text) for text in texts]
+        joined, apart, long = [], [], []
+        for piece in {piece for pieces in cut for piece in pieces if piece not in known}:
+            if piece in older:
+                known[piece] = older[piece]
+            elif "\n" in piece or piece[-1].isspace() or self.cut is None:
+                apart.append(piece)
+            else:
+                joined.append(piece)
             if len(piece) > CACHED_CHARACTERS:
-                del known[piece]
+                long.append(piece)
+        if joined:
+            known.update(zip(joined, self._parts(joined, *self._in_one(joined))))
+        for piece in apart:
+            known.update(zip([piece], self._parts([piece], *self._alone(piece))))
+        found = [[known[piece] for piece in pieces] for pieces in cut]
+        for piece in long:
+            del known[piece]
         return found
 
-    def _linked(self, piece: str, a: list[int], b: list[int]) -> tuple[int, int, bytes, str] | None:
+    def _in_one(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of pieces tokenized as the lines of one text: no token reaches over a line end."""
+        lines = "\n".join(pieces)
+        first = self.first_ids(lines)
+        return _split(first, self.line_end), _split(self.second.encode("\n" + lines)[len(self.lead) :], self.lead[-1])
+
+    def _alone(self, piece: str) -> tuple[list[list[int]], list[list[int]]]:
+        first = self.first_ids(piece)
+        if piece[0] == " " != piece:
+            return [first], [self.second.encode(piece[1:])]
+        return [first], [self.second.encode("\n" + piece)[len(self.lead) :]]
+
+    def _parts(self, pieces: list[str], first: list[list[int]], second: list[list[int]]) -> list[Part | None]:
+        """Links and groups of many pieces at once; end to end, their ends are token ends too."""
+        if not len(pieces) == len(first) == len(second):  # not one line each after all
+            return [self._parts([piece], *self._alone(piece))[0] for piece in pieces]
+        good = [self._covers(piece, a, b) for piece, a, b in zip(pieces, first, second)]
+        if not any(good):
+            return [None] * len(pieces)
+        sizes = np.array([len(piece.encode()) for piece, fine in zip(pieces, good) if fine])
+        n_a = np.array([len(ids) for ids, fine in zip(first, good) if fine])
+        n_b = np.array([len(ids) for ids, fine in zip(second, good) if fine])
+        a = np.array([i for ids, fine in zip(first, good) if fine for i in ids], dtype=np.int64)
+        b = np.array([i for ids, fine in zip(second, good) if fine for i in ids], dtype=np.int64)
+        a_ends, b_ends = np.cumsum(self.first_sizes[a]), np.cumsum(self.second_sizes[b])
+        ends, common = np.union1d(a_ends, b_ends), np.intersect1d(a_ends, b_ends)
+        links = (a[np.searchsorted(a_ends, ends)] << 32 | b[np.searchsorted(b_ends, ends)]).tobytes()
+        last = np.cumsum(sizes)
+        link_stops = 8 * (np.searchsorted(ends, last) + 1)
+        # Written out group by group, A's ids before B's, each with what follows it.
+        a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        a_place = np.arange(len(a)) + np.searchsorted(b_group, a_group)
+        b_place = np.arange(len(b)) + np.searchsorted(a_group, b_group, side="right")
+        words = np.empty(len(a) + len(b), dtype=object)
+        words[a_place] = self.digits[np.where(a_ends == common[a_group], 1, 0), a]
+        words[b_place] = self.digits[np.where(np.isin(b_ends, last), 3, np.where(b_ends == common[b_group], 2, 0)), b]
+        words = words.tolist()
+        word_stops = np.cumsum(n_a + n_b).tolist()
+        link_start = word_start = 0
+        made = []
+        for x, y, link_stop, word_stop in zip(n_a.tolist(), n_b.tolist(), link_stops.tolist(), word_stops):
+            made.append((x, y, links[link_start:link_stop], "".join(words[word_start:word_stop])))
+            link_start, word_start = link_stop, word_stop
+        parts = iter(made)
+        return [next(parts) if fine else None for fine in good]
+
+    def _covers(self, piece: str, a: list[int], b: list[int]) -> bool:
         data = piece.encode()
-        a_bytes = [self.first_bytes[i] for i in a]
-        b_bytes = [self.second_bytes[i] for i in b]
-        if b"".join(a_bytes) != data or b"".join(b_bytes) != data:
-            return None
-        a_ends, b_ends = list(accumulate(map(len, a_bytes))), list(accumulate(map(len, b_bytes)))
-        digits = self.digits
-        links, groups = array("Q"), []
-        i = j = i_start = j_start = 0
-        while i < len(a):
-            links.append(a[i] << 32 | b[j])
-            a_end, b_end = a_ends[i], b_ends[j]
-            i += a_end <= b_end
-            j += b_end <= a_end
-            if a_end == b_end:
-                left, right = ",".join([digits[x] for x in a[i_start:i]]), ",".join([digits[x] for x in b[j_start:j]])
-                groups.append(f"{left}|{right}")
-                i_start, j_start = i, j
-        return len(a), len(b), links.tobytes(), ";".join(groups)
+        first, second = self.first_bytes, self.second_bytes
+        return b"".join([first[i] for i in a]) == data and b"".join([second[i] for i in b]) == data
+
+
+def _split(ids: list[int], at: int) -> list[list[int]]:
+    """The ids between those that equal ``at``."""
+    parts, start = [], 0
+    array = np.array(ids)
+    for stop in np.flatnonzero(array == at).tolist():
+        parts.append(ids[start:stop])
+        start = stop + 1
+    parts.append(ids[start:])
+    return parts
 
 
 @lru_cache(maxsize=1)
@@ -180,9 +265,9 @@ def blocks(docs: DataFrame, byte_path: str, piece_path: str, docs_per_block: int
         rows: list[dict] = []
         held: list[np.ndarray] = []
         tokens = 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                row, links = _document(tokenizer, doc_id, text)
+        for few in _few_at_once(batches):
+            for doc_id, parts in zip([doc_id for doc_id, _ in few], tokenizer.parts([text for _, text in few])):
+                row, links = _document(doc_id, parts)
                 rows.append(row)
                 held.append(links)
                 tokens += len(links)
@@ -200,9 +285,22 @@ def blocks(docs: DataFrame, byte_path: str, piece_path: str, docs_per_block: int
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, _BLOCK)
 
 
-def _document(tokenizer: PairTokenizer, doc_id: int | None, text: str | None) -> tuple[dict, np.ndarray]:
+def _few_at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None, str]]]:
+    """Documents in lots of some ``LOT_CHARACTERS``; null texts as empty ones."""
+    few, characters = [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            few.append((doc_id, text or ""))
+            characters += len(few[-1][1])
+            if characters >= LOT_CHARACTERS:
+                yield few
+                few, characters = [], 0
+    if few:
+        yield few
+
+
+def _document(doc_id: int | None, parts: list[Part | None]) -> tuple[dict, np.ndarray]:
     """The columns of one document that don't depend on others, and its links."""
-    parts = tokenizer.parts(text) if text else []
     if not parts or None in parts:
         row = {"doc_id": doc_id, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": ""}
         return row, np.empty(0, dtype=np.uint64)

@@ -85,6 +85,9 @@ ODD = [
     "A" * 3000,
     "word" * 500 + " " + "-" * 400,
     "the the the the",
+    "a\nb\n\nc.\n d,\n\te;f g! h\n",
+    "x\x1c\ny \x85\nz\n\x1cw e\u0301, n\u0303. ²½, 1.5,000 a>b <p>c</p>",
+    "it's 's 't don't' \"q\" (r) [s] {t} u|v|w $1 &&& abc&&& a_b, _x_.",
 ]
 
 
@@ -114,7 +117,7 @@ def test_blocks_and_forgotten_pieces_do_not_matter(spark, documents, monkeypatch
     tokenizer = alignment.PairTokenizer(BYTES, PIECES)
     monkeypatch.setattr(alignment, "CACHE_PIECES", 5)
     for text in ODD[2:]:
-        again = [alignment._document(tokenizer, 0, text)[0] for _ in range(2)]
+        again = [alignment._document(0, tokenizer.parts([text])[0])[0] for _ in range(2)]
         assert again[0] == again[1] and len(tokenizer.known) < 60
 
 
