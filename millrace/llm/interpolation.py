@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import exchange
 from millrace.llm.tables import prepare, stored
-from millrace.llm.words import mixed, word_hashes, words
+from millrace.llm.words import mixed, text_hashes
 
 #: Longest n-grams.
 ORDER = 2
@@ -109,7 +109,7 @@ def blocks(docs: DataFrame, training: Column, words_per_block: int = BLOCK_WORDS
         for batch in batches:
             for doc_id, text, own in zip(*(column.to_pylist() for column in batch.columns)):
                 held = own == FOLD
-                hashes = np.append(word_hashes(words(text or "")), _END)
+                hashes = np.append(text_hashes(text or ""), _END)
                 waiting[held].append((doc_id, own, hashes))
                 filled[held] += len(hashes)
                 if filled[held] >= words_per_block:

@@ -39,6 +39,15 @@ def word_hashes(found: list[str]) -> np.ndarray:
         return np.array([known[w] for w in found], dtype=np.uint64)
 
 
+def text_hashes(text: str) -> np.ndarray:
+    """``word_hashes(words(text))`` straight from the text's bytes, without a memory of words.
+
+    Bytes are lowered and cut in ASCII only, which is what :func:`words` does to characters.
+    """
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, found)), dtype=">u8").astype(np.uint64)
+
+
 def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of every run of ``size`` words; of all words together if there are fewer."""
     n = len(hashes) - size + 1

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import exchange, interpolation
+from millrace.llm.words import text_hashes, word_hashes, words
 
 END, BEGIN = "</end>", "<begin>"
 
@@ -163,6 +164,11 @@ def test_context_beats_single_words(documents):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) * 0.75
 
 
+def test_hashes_from_bytes():
+    for text in ("", "  A b\tC\nd\x0bE\x0cf\rg ", "É é ẞ İ\u2003x\x1cy\x85z \ud800", "日本 語"):
+        assert text_hashes(text).tolist() == word_hashes(words(text)).tolist()
+
+
 def test_planes():
     numbers = np.array([0, 1, 255, 256, 2**40, 2**64 - 1], dtype=np.uint64)
     assert (exchange.numbers(exchange.planes(numbers)) == numbers).all()
