@@ -55,6 +55,22 @@ class Layout:
     def flushes(self) -> str:
         return self._below("state/flushes")
 
+    @property
+    def horizon(self) -> str:
+        return self._below("state/horizon")
+
+    @property
+    def expired_deliveries(self) -> str:
+        return self._below("raw/expired_deliveries")
+
+    @property
+    def dirty_hours(self) -> str:
+        return self._below("state/dirty_hours")
+
+    @property
+    def planned_loads(self) -> str:
+        return self._below("state/planned_loads")
+
     def buffer_partition(self, day: dt.date) -> str:
         return f"{self.buffer}/dt={day.isoformat()}"
 

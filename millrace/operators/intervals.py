@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import expires_at, hour_start
+from millrace.horizon import is_open
 
 
 def in_interval(instant: Column, start: Column, end: Column) -> Column:
@@ -33,13 +34,25 @@ def missing_intervals(hours: DataFrame, ledger: DataFrame) -> DataFrame:
     return hours.join(ledger.select("hour_ts").distinct(), "hour_ts", "left_anti")
 
 
+def dirty_intervals(dirty: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The hours a run has filled and a load has touched since."""
+    return dirty.select("hour_ts").distinct().join(ledger.select("hour_ts"), "hour_ts", "left_semi")
+
+
 def due_intervals(
-    hours: DataFrame, ledger: DataFrame, now: dt.datetime, lookback_hours: int, retention_days: int
+    hours: DataFrame,
+    ledger: DataFrame,
+    now: dt.datetime,
+    lookback_hours: int,
+    retention_days: int,
+    dirty: DataFrame | None = None,
+    horizon: dt.datetime | None = None,
 ) -> DataFrame:
     """Missing hours plus the few before the newest one, as far back as raw rows are kept.
 
-    Raw rows past retention are gone, so recomputing their hours would replace good
-    history with nothing.
+    ``dirty`` adds hours that loads have touched since they were filled. Raw rows past
+    retention, and those before ``horizon``, are gone, so recomputing their hours would replace
+    good history with nothing.
     """
     this_hour = hour_start(F.lit(now))
     newest = this_hour - F.make_interval(hours=F.lit(1))
@@ -47,8 +60,10 @@ def due_intervals(
         F.col("hour_ts"), newest - F.make_interval(hours=F.lit(lookback_hours)), newest
     )
     kept = expires_at(F.col("hour_ts"), retention_days) > F.lit(now)
-    missing = missing_intervals(hours, ledger)
-    return missing.unionByName(hours.where(revisited)).distinct().where(kept)
+    due = missing_intervals(hours, ledger).unionByName(hours.where(revisited))
+    if dirty is not None:
+        due = due.unionByName(dirty_intervals(dirty, ledger).join(hours, "hour_ts", "left_semi"))
+    return due.distinct().where(kept & is_open(F.col("hour_ts"), horizon))
 
 
 def late_event_profile(events: DataFrame, lookback_hours: int) -> DataFrame:

@@ -142,6 +142,14 @@ WHERE hour_ts NOT IN (SELECT date_trunc('hour', ts) FROM events WHERE hour(ts) %
 SELECT hours_late, events, hours_late <= 0 AS counted_without_lookback,
        hours_late <= 1 AS counted
 FROM profile""",
+    "dirty_intervals": """WITH filled AS (SELECT DISTINCT date_trunc('hour', ts) AS hour_ts FROM events),
+moved AS (SELECT ts FROM events WHERE event_id % 50 = 0)
+SELECT hour_ts FROM filled WHERE hour_ts IN (
+    SELECT date_trunc('hour', ts) FROM moved UNION ALL SELECT date_trunc('hour', ts + INTERVAL 2 HOUR) FROM moved)""",
+    "expired_deliveries": """SELECT CAST(event_id AS VARCHAR) AS event_id,
+       date_trunc('millisecond', ts - INTERVAL 5 SECOND) AS event_dt, event_type AS wiki,
+       strftime(ts - INTERVAL 5 SECOND, '%Y-%m-%d') AS dt
+FROM events WHERE event_id % 15 = 0 AND ts - INTERVAL 5 SECOND < TIMESTAMP '2024-01-15'""",
     "validate_events": f"""WITH {_PAYLOADS}
 SELECT event_id AS event_no, error = '' AS valid, error FROM payloads""",
     "flatten_events": f"WITH {_PAYLOADS} SELECT * FROM flat",

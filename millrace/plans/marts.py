@@ -124,10 +124,13 @@ def replace_hours(
     audited first. Only then are the day directories swapped, without reading the mart
     again. A day left without any row has nothing to swap in and is removed.
     """
+    put_hours(spark, _fresh_hours(raw, starts, assume_stable_event_time), mart_root, starts)
+
+
+def put_hours(spark: SparkSession, fresh: DataFrame, mart_root: str, starts: list[dt.datetime]) -> None:
+    """Put the rows of the given hours in place of what the mart has for them."""
     hours = spark.createDataFrame([(start,) for start in starts], "hour_ts timestamp")
     days = {start.date().isoformat() for start in starts}
-
-    fresh = _fresh_hours(raw, starts, assume_stable_event_time)
     kept = (
         read_edits_hourly(spark, mart_root)
         .where(F.col("dt").isin(sorted(days)))
@@ -166,6 +169,7 @@ def _run(
     now: dt.datetime,
     assume_stable_event_time: bool,
 ) -> int:
+    """Compute ``hours`` and record them; how many."""
     # A few thousand hours per year: fixed here, so that every step sees the same ones.
     seconds = [row[0] for row in hours.select(F.unix_seconds("hour_ts")).collect()]
     starts = sorted(dt.datetime.fromtimestamp(s, dt.timezone.utc) for s in seconds)
@@ -192,6 +196,8 @@ def refresh(
     lookback_hours: int = 1,
     retention_days: int = 5,
     assume_stable_event_time: bool = False,
+    dirty_root: str | None = None,
+    horizon: dt.datetime | None = None,
 ) -> int:
     """Fill every due hour from ``start`` to the last full one; how many were computed.
 
@@ -199,18 +205,37 @@ def refresh(
     their events may have arrived late. The ledger is written last, so a run that dies
     half-way is simply repeated.
 
+    With ``dirty_root`` the hours that loads have marked there are due as well, however far
+    back. Marks are taken away after the ledger is written: only those that were there at the
+    start, so that a load running meanwhile loses none. ``horizon`` closes the days before it.
+
     With ``assume_stable_event_time`` the work is in proportion to the hours due: no day
     without one is read. Right only while all deliveries of an event carry the same time,
     which :func:`millrace.operators.staging.drifting_events` checks.
     """
+    marks = [] if dirty_root is None else storage.subdirectories(spark, dirty_root)
     due = intervals.due_intervals(
         _hours(spark, start, now),
         read_ledger(spark, ledger_root),
         now,
         lookback_hours,
         retention_days,
+        None if dirty_root is None else read_dirty_hours(spark, dirty_root, marks),
+        horizon,
     )
-    return _run(spark, raw, mart_root, ledger_root, due, now, assume_stable_event_time)
+    computed = _run(spark, raw, mart_root, ledger_root, due, now, assume_stable_event_time)
+    for mark in marks:
+        storage.delete(spark, f"{dirty_root.rstrip('/')}/{mark}")
+    return computed
+
+
+def read_dirty_hours(spark: SparkSession, dirty_root: str, marks: list[str] | None = None) -> DataFrame:
+    """The hours loads have marked; with ``marks`` those of some loads only."""
+    if marks is None:
+        marks = storage.subdirectories(spark, dirty_root)
+    if not marks:
+        return spark.createDataFrame([], schemas.DIRTY_HOURS)
+    return spark.read.schema(schemas.DIRTY_HOURS).parquet(*(f"{dirty_root.rstrip('/')}/{mark}" for mark in marks))
 
 
 def backfill(
@@ -223,13 +248,16 @@ def backfill(
     now: dt.datetime,
     retention_days: int | None = 5,
     assume_stable_event_time: bool = False,
+    horizon: dt.datetime | None = None,
 ) -> int:
     """Recompute the full hours of ``[start, end)`` whether or not they were filled.
 
-    Refuses hours whose raw rows retention has removed. ``retention_days=None`` is for
+    Refuses hours whose raw rows retention has removed, and those before ``horizon``. ``retention_days=None`` is for
     raw tables that are kept for good.
     """
     hours = _hours(spark, start, end)
+    if horizon is not None and start < horizon:
+        raise ValueError("the interval reaches back into closed days")
     if retention_days is not None:
         lost = hours.where(expires_at(F.col("hour_ts"), retention_days) <= F.lit(now))
         if not lost.isEmpty():

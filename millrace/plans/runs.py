@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas, storage
+from millrace.horizon import advance_horizon, first_kept_day, read_horizon
 from millrace.layout import Layout
 from millrace.operators import retention
 from millrace.operators.staging import stg_events_batch
@@ -45,13 +46,34 @@ def hourly_run(
     since: dt.date | None = None,
     lookback_hours: int = 1,
 ) -> HourlyResult:
-    """Load new buffer files, then fill the hours of the mart that are due."""
+    """Load new buffer files, then fill the hours of the mart that are due.
+
+    Due are also hours that this or an earlier load has changed after they were filled.
+    """
+    horizon = read_horizon(spark, layout.horizon)
     loaded = load.load_new_files(
-        spark, layout.buffer, layout.raw_nrt, layout.manifest, now, since
+        spark,
+        layout.buffer,
+        layout.raw_nrt,
+        layout.manifest,
+        now,
+        since,
+        planned_root=layout.planned_loads,
+        dirty_root=layout.dirty_hours,
+        horizon=horizon,
+        expired_root=layout.expired_deliveries,
     )
     raw = load.read_raw_nrt(spark, layout.raw_nrt)
     hours = marts.refresh(
-        spark, raw, layout.edits_hourly, layout.ledger, start, now, lookback_hours
+        spark,
+        raw,
+        layout.edits_hourly,
+        layout.ledger,
+        start,
+        now,
+        lookback_hours,
+        dirty_root=layout.dirty_hours,
+        horizon=horizon,
     )
     return HourlyResult(loaded, hours)
 
@@ -98,11 +120,15 @@ def cleanup_run(
 ) -> CleanupResult:
     """Remove loaded buffer files and raw rows past retention. The marts are kept for good.
 
-    A manifest row must outlive its file, or the file would be loaded again.
+    A manifest row must outlive its file, or the file would be loaded again. The days whose raw
+    rows go are closed before the first of them goes.
     """
     if buffer_days >= table_days:
         raise ValueError("buffer files must expire before the manifest rows that list them")
-    deleted = load.delete_loaded_files(spark, layout.buffer, layout.manifest, now, buffer_days)
+    deleted = load.delete_loaded_files(
+        spark, layout.buffer, layout.manifest, now, buffer_days, planned_root=layout.planned_loads
+    )
+    advance_horizon(spark, layout.horizon, first_kept_day(now, table_days))
     dropped = retention.drop_expired_days(spark, layout.raw_nrt, now, table_days)
     retention.rewrite_retained(
         spark,

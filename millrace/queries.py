@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace import inputs, schemas
+from millrace import horizon, inputs, schemas
 from millrace.functions.dates import compact_day, day_label, hour_start, month_label, target_day
 from millrace.operators import contract, files, intervals, offsets, replay, retention, staging
 from millrace.plans import load, marts, quality
@@ -106,6 +106,35 @@ def late_events(spark, sf_dir):
     return intervals.late_event_profile(inputs.arrivals(spark, sf_dir), lookback_hours=1)
 
 
+@query
+def dirty_intervals(spark, sf_dir):
+    """All hours are filled; then every fiftieth event is delivered again, two hours later."""
+    landed, raw, manifest, dirty, ledger = (work_dir(spark, d) for d in ("buffer", "raw-nrt", "manifest", "dirty", "ledger"))
+    events = inputs.events(spark, sf_dir)
+    _buffer(spark, events, landed)
+    load.load_new_files(spark, landed, raw, manifest, RECEIVED_AT)
+    filled = events.select(hour_start(F.col("ts")).alias("hour_ts"), F.lit(RECEIVED_AT).alias("filled_at"))
+    filled.distinct().write.parquet(ledger)
+    moved = events.where(inputs.every(50)).withColumn("ts", F.col("ts") + F.expr("interval 2 hours"))
+    _buffer(spark, moved, landed)
+    load.load_new_files(spark, landed, raw, manifest, RECEIVED_AT, dirty_root=dirty)
+    return intervals.dirty_intervals(marts.read_dirty_hours(spark, dirty), marts.read_ledger(spark, ledger))
+
+
+@query
+def expired_deliveries(spark, sf_dir):
+    """Old versions of every fifteenth event that come when the days before ``SINCE`` are closed."""
+    landed, raw, manifest, closed, expired = (work_dir(spark, d) for d in ("buffer", "raw-nrt", "manifest", "horizon", "expired"))
+    events = inputs.events(spark, sf_dir)
+    older = events.where(inputs.every(15)).withColumn("ts", F.col("ts") - F.expr("interval 5 seconds"))
+    _buffer(spark, events, landed)
+    load.load_new_files(spark, landed, raw, manifest, RECEIVED_AT)
+    limit = horizon.advance_horizon(spark, closed, SINCE)
+    _buffer(spark, older, landed)
+    load.load_new_files(spark, landed, raw, manifest, RECEIVED_AT, horizon=limit, expired_root=expired)
+    return load.read_raw_nrt(spark, expired).select("event_id", "event_dt", "wiki", "dt")
+
+
 # ---- contract -----------------------------------------------------------------------
 
 

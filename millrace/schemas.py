@@ -85,6 +85,31 @@ LEDGER = T.StructType(
     ]
 )
 
+# The newest delivery of each event, by bucket of its id.
+CURRENT = T.StructType([field for name in ("event_id", "event_dt", "wiki", "user", "bot") for field in RAW_NRT if field.name == name])
+
+# Edits per wiki, hour and editor, by hour: what the hourly mart is added up from.
+EDITOR_HOURS = T.StructType(
+    [
+        T.StructField("wiki", T.StringType()),
+        T.StructField("hour_ts", T.TimestampType()),
+        T.StructField("user", T.StringType()),
+        T.StructField("edits", T.LongType()),
+        T.StructField("bot_edits", T.LongType()),
+    ]
+)
+
+# The hours whose events a load may have changed, and when.
+DIRTY_HOURS = T.StructType(
+    [
+        T.StructField("hour_ts", T.TimestampType()),
+        T.StructField("dirtied_at", T.TimestampType()),
+    ]
+)
+
+# Which files a load is about to read, written before anything else.
+PLANNED_FILES = T.StructType([T.StructField("file_path", T.StringType())])
+
 DEAD_LETTER = T.StructType(
     [
         T.StructField("received_at", T.StringType()),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -16,12 +17,25 @@ def to_table_precision(events: DataFrame) -> DataFrame:
     return events.withColumn("event_dt", F.date_trunc("millisecond", "event_dt"))
 
 
-def append_raw_nrt(events: DataFrame, root: str) -> None:
-    """Add events to the raw table, by event date, ordered for data skipping inside it."""
+def append_raw_nrt(events: DataFrame, root: str, load_id: str | None = None) -> None:
+    """Add events to the raw table, by event date, ordered for data skipping inside it.
+
+    Every load has directories of its own. Running a load of the same id again replaces what
+    it wrote, so that a crash half-way leaves no row twice; without an id the rows are a load
+    of their own.
+    """
     rows = to_table_precision(events).select(*schemas.RAW_NRT.names)
-    storage.append_partitioned(
-        rows.withColumn("dt", day_label(F.col("event_dt"))), root, "dt", schemas.RAW_NRT_SORT
+    placed = rows.withColumn("dt", day_label(F.col("event_dt"))).withColumn(
+        "load", F.lit(load_id or f"load-{uuid.uuid4().hex}")
     )
+    storage.replace_partitions(placed, root, ["dt", "load"], schemas.RAW_NRT_SORT)
+
+
+def write_expired(late: DataFrame, root: str, load_id: str) -> None:
+    """Keep deliveries whose day was closed when they came, by load, apart from the raw table."""
+    rows = to_table_precision(late).select(*schemas.RAW_NRT.names)
+    placed = rows.withColumn("dt", day_label(F.col("event_dt"))).withColumn("load", F.lit(load_id))
+    storage.replace_partitions(placed, root, ["dt", "load"], schemas.RAW_NRT_SORT)
 
 
 def raw_batch_rows(articles: DataFrame, fetched_at: dt.datetime) -> DataFrame:

@@ -35,6 +35,12 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def make_directory(spark: SparkSession, path: str) -> None:
+    """A directory and those above it; nothing where it exists."""
+    fs, target = _resolve(spark, path)
+    fs.mkdirs(target)
+
+
 def subdirectories(spark: SparkSession, root: str) -> list[str]:
     """Names of the directories directly below ``root``; none if it is missing."""
     fs, target = _resolve(spark, root)
@@ -118,6 +124,23 @@ def append_partitioned(
     )
 
 
+def replace_partitions(
+    rows: DataFrame, root: str, partitions: list[str], sort: Iterable[str] = ()
+) -> None:
+    """Write rows so that the partitions they fall into hold nothing else.
+
+    The same rows written again change nothing. Files are sized as in :func:`append_partitioned`.
+    """
+    (
+        rows.hint("rebalance", *partitions)
+        .sortWithinPartitions(*partitions, *sort)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions)
+        .parquet(root)
+    )
+
+
 def observed(totals: Observation, name: str) -> int:
     """A total observed during a write.
 

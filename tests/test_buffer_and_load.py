@@ -220,17 +220,61 @@ def test_directories_go_whole_only_when_all_their_files_go(spark, roots):
     assert [r["event_id"] for r in buffer.scan_since(spark, roots[0]).collect()] == ["c"]
 
 
-def test_load_survives_a_crash_between_data_and_manifest(spark, roots, monkeypatch):
-    land(spark, roots[0], ("a", "2025-03-09 00:00:00"))
+@pytest.mark.parametrize("dies_in", ["append_raw_nrt", "file_row_counts", "append_manifest"])
+def test_a_load_that_died_is_repeated_without_trace(spark, roots, monkeypatch, dies_in):
+    land(spark, roots[0], ("a", "2025-03-09 00:00:00"), ("b", "2025-03-08 00:00:00"))
     with monkeypatch.context() as patched:
-        patched.setattr(load, "append_manifest", lambda *a: 1 / 0)
+        patched.setattr(load, dies_in, lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             load.load_new_files(spark, *roots, NOW)
+    # A file that has come since is a load of its own.
+    land(spark, roots[0], ("c", "2025-03-09 01:00:00"))
+    assert load.load_new_files(spark, *roots, NOW) == load.LoadResult(3, 3)
+    assert sorted(r["event_id"] for r in load.read_raw_nrt(spark, roots[1]).collect()) == ["a", "b", "c"]
+    assert load.read_manifest(spark, roots[2]).count() == 3
+    assert load.load_new_files(spark, *roots, NOW) == load.LoadResult(0, 0)
+    assert list(load.planned_loads(spark, roots[2]).unfinished()) == []
+
+
+def test_half_a_manifest_is_completed(spark, roots, monkeypatch):
+    land(spark, roots[0], ("a", "2025-03-09 00:00:00"), ("b", "2025-03-08 00:00:00"))
+    append = load.append_manifest
+
+    def half(rows, root):
+        append(rows.where("file_path LIKE '%dt=2025-03-08%'"), root)
+        raise OSError
+
+    with monkeypatch.context() as patched:
+        patched.setattr(load, "append_manifest", half)
+        with pytest.raises(OSError):
+            load.load_new_files(spark, *roots, NOW)
+    later = dt.datetime.now(UTC) + dt.timedelta(days=2)
+    assert load.delete_loaded_files(spark, roots[0], roots[2], later) == 0  # still to be read again
     load.load_new_files(spark, *roots, NOW)
-    from millrace.operators.staging import stg_events_nrt
+    assert load.read_raw_nrt(spark, roots[1]).count() == 2
+    assert load.read_manifest(spark, roots[2]).count() == 2
+    assert load.delete_loaded_files(spark, roots[0], roots[2], later) == 2
 
-    raw = load.read_raw_nrt(spark, roots[1])
-    assert raw.count() == 2 and stg_events_nrt(raw).count() == 1
+
+def test_a_plan_that_was_not_written_is_forgotten(spark, roots):
+    land(spark, roots[0], ("a", "2025-03-09 00:00:00"))
+    planned = load.planned_loads(spark, roots[2])
+    os.makedirs(f"{planned.root}/load-torn")
+    assert load.load_new_files(spark, *roots, NOW) == load.LoadResult(1, 1)
+    assert not os.path.exists(f"{planned.root}/load-torn")
+
+
+def test_the_same_files_are_the_same_load():
+    assert load.load_id_of(["b", "a"]) == load.load_id_of(iter(["a", "b"])) != load.load_id_of(["a"])
+
+
+def test_deliveries_of_closed_days_stay_out_of_the_raw_table(spark, roots, tmp_path):
+    expired, horizon = str(tmp_path / "expired"), dt.datetime(2025, 3, 9, tzinfo=UTC)
+    land(spark, roots[0], ("old", "2025-03-08 23:59:59"), ("new", "2025-03-09 00:00:00"))
+    result = load.load_new_files(spark, *roots, NOW, horizon=horizon, expired_root=expired)
+    assert result == load.LoadResult(2, 2)
+    assert [r["event_id"] for r in load.read_raw_nrt(spark, roots[1]).collect()] == ["new"]
+    assert [r["event_id"] for r in load.read_raw_nrt(spark, expired).collect()] == ["old"]
 
 
 def test_cleanup_needs_both_age_and_a_manifest_row(spark, roots):

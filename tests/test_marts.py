@@ -255,3 +255,48 @@ def test_work_follows_the_hours_due(spark, tmp_path):
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "(dt#" in plan and "<= 2025-03-02" in plan and ">= 2025-03-06" in plan
     assert {r["hour_ts"] for r in marts._fresh_hours(raw, due, False).collect()} == {r["hour_ts"] for r in fresh.collect()}
+
+
+def test_a_delivery_days_late_changes_the_mart_at_the_next_run(spark, tmp_path):
+    from millrace.layout import Layout
+    from millrace.plans import runs
+    from millrace.sinks.buffer import write_buffer
+
+    layout = Layout(str(tmp_path))
+    start, now = at("2025-03-07 00:00:00"), at("2025-03-10 12:00:00")
+    land = lambda *rows: write_buffer(raw(spark, *rows), layout.buffer)
+    land(("a", "2025-03-07 09:00:00", "w", "u", False), ("b", "2025-03-10 01:00:00", "w", "u", False))
+    assert runs.hourly_run(spark, layout, start, now).hours_computed == 84
+    assert runs.hourly_run(spark, layout, start, now, lookback_hours=0).hours_computed == 0
+    # One that comes three days late, and one that takes its event out of an hour.
+    land(("c", "2025-03-07 09:30:00", "w", "v", False), ("b", "2025-03-10 02:00:00", "w", "u", False))
+    later = now + dt.timedelta(minutes=30)
+    assert runs.hourly_run(spark, layout, start, later, lookback_hours=0).hours_computed == 3
+    mart = marts.read_edits_hourly(spark, layout.edits_hourly)
+    assert hours_of(mart) == {("w", "07 09"): (2, 0, 2), ("w", "10 02"): (1, 0, 1)}
+    assert marts.read_dirty_hours(spark, layout.dirty_hours).count() == 0
+    assert runs.hourly_run(spark, layout, start, later, lookback_hours=0).hours_computed == 0
+
+
+def test_marks_outlive_a_run_that_dies(spark, tmp_path, monkeypatch):
+    rows = raw(spark, ("a", "2025-03-10 01:00:00", "w", "u", False))
+    mart, ledger, dirty = (str(tmp_path / n) for n in ("mart", "ledger", "dirty"))
+    span = at("2025-03-10 00:00:00"), at("2025-03-10 05:00:00")
+    go = lambda: marts.refresh(spark, rows, mart, ledger, *span, lookback_hours=0, dirty_root=dirty)
+    assert go() == 5
+    mark = spark.createDataFrame([(at("2025-03-10 01:00:00"), span[1]), (at("2025-03-10 09:00:00"), span[1])], schemas.DIRTY_HOURS)
+    mark.write.parquet(f"{dirty}/load-1")
+    with monkeypatch.context() as patched:
+        patched.setattr(marts, "put_hours", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            go()
+    assert go() == 1 and go() == 0
+
+
+def test_closed_days_are_never_due(spark, roots):
+    rows = raw(spark, ("a", "2025-03-10 01:00:00", "w", "u", False))
+    horizon = at("2025-03-10 00:00:00")
+    start, now = at("2025-03-09 20:00:00"), at("2025-03-10 03:00:00")
+    assert marts.refresh(spark, rows, *roots, start, now, horizon=horizon) == 3
+    with pytest.raises(ValueError):
+        marts.backfill(spark, rows, *roots, start, now, now, horizon=horizon)

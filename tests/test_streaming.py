@@ -1,10 +1,13 @@
 import datetime as dt
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace import schemas
-from millrace.operators import offsets
+from millrace.horizon import advance_horizon, first_kept_day
+from millrace.operators import deliveries, offsets, retention
 from millrace.plans import load, marts
 from millrace.sinks.buffer import read_flushes
 from millrace.sources import buffer
@@ -101,6 +104,100 @@ def test_mart_of_the_stream_is_that_of_all_deliveries(spark, tmp_path):
     assert {r["hour_ts"].hour for r in got} == {1, 9, 15}
 
 
+def test_a_batch_reads_no_raw_rows(spark, tmp_path, monkeypatch):
+    source, raw, mart, state = (str(tmp_path / n) for n in ("buffer", "raw", "mart", "state"))
+    stream = lambda: run(incremental.mart_stream(spark, incremental.buffer_stream(spark, source), raw, mart, state))
+    write_events(spark, f"{source}/dt=2025-03-10", ("a", "2025-03-10 01:00:00", "u"), ("b", "2025-03-10 02:00:00", "u"))
+    stream()
+    monkeypatch.setattr(incremental, "read_raw_nrt", lambda *a: 1 / 0)
+    write_events(spark, f"{source}/dt=2025-03-10", ("a", "2025-03-10 02:30:00", "u"))
+    stream()
+    got = {r["hour_ts"].hour: r["edit_count"] for r in marts.read_edits_hourly(spark, mart).collect()}
+    assert got == {2: 2}
+    known = incremental.MartState(spark, f"{state}-deliveries")
+    assert sorted(r["event_id"] for r in known.current.read().collect()) == ["a", "b"]
+    # Only the bucket of an event that comes is listed and read, and none of it is a raw row.
+    [label] = known.current.read().where("event_id = 'a'").select("bucket").first()
+    bucket = known.current.read(values=[label])
+    assert all(f"/current/bucket={label}/" in path for path in bucket.inputFiles())
+    batch = spark.createDataFrame([], schemas.RAW_NRT)
+    plan = deliveries.changes(deliveries.newest(batch), bucket, None)
+    assert plan.inputFiles() == [] or set(plan.inputFiles()) <= set(bucket.inputFiles())
+
+
+def test_closed_days_keep_their_history(spark, tmp_path):
+    names = ("buffer", "raw", "mart", "state", "horizon", "expired")
+    source, raw, mart, state, closed, expired = (str(tmp_path / n) for n in names)
+
+    def stream():
+        events = incremental.buffer_stream(spark, source)
+        run(incremental.mart_stream(spark, events, raw, mart, state, None, closed, expired))
+        return {(r["dt"], r["hour_ts"].hour): r["edit_count"] for r in marts.read_edits_hourly(spark, mart).collect()}
+
+    write_events(spark, f"{source}/dt=2025-03-01", *[(f"e{i}", "2025-03-01 01:00:00", "u") for i in range(100)])
+    write_events(spark, f"{source}/dt=2025-03-09", ("n", "2025-03-09 01:00:00", "u"))
+    assert stream() == {("2025-03-01", 1): 100, ("2025-03-09", 1): 1}
+    advance_horizon(spark, closed, first_kept_day(NOW, 5))
+    retention.drop_expired_days(spark, raw, NOW)
+    write_events(
+        spark, f"{source}/dt=2025-03-01",
+        ("late", "2025-03-01 01:30:00", "u"), ("n", "2025-03-09 03:00:00", "u"), ("e5", "2025-03-09 03:10:00", "v"),
+    )
+    # The late one changes nothing; an event of a closed day that comes anew counts where it is now.
+    assert stream() == {("2025-03-01", 1): 100, ("2025-03-09", 3): 2}
+    assert [r["event_id"] for r in load.read_raw_nrt(spark, expired).collect()] == ["late"]
+    assert sorted(r["event_id"] for r in load.read_raw_nrt(spark, raw).collect()) == ["e5", "n", "n"]
+
+
+def test_the_stream_takes_over_from_loads(spark, tmp_path):
+    names = ("buffer", "raw", "manifest", "mart", "state")
+    source, raw, manifest, mart, state = (str(tmp_path / n) for n in names)
+    write_events(spark, f"{tmp_path}/loaded/dt=2025-03-10", ("a", "2025-03-10 01:00:00", "u"), ("b", "2025-03-10 02:00:00", None))
+    load.load_new_files(spark, f"{tmp_path}/loaded", raw, manifest, NOW)
+    write_events(spark, f"{source}/dt=2025-03-10", ("a", "2025-03-10 02:30:00", "u"), ("c", "2025-03-10 02:40:00", "u"))
+    run(incremental.mart_stream(spark, incremental.buffer_stream(spark, source), raw, mart, state))
+    [row] = marts.read_edits_hourly(spark, mart).collect()
+    assert (row["hour_ts"].hour, row["edit_count"], row["distinct_editors"]) == (2, 3, 1)
+
+
+def random_batches(seed):
+    """Redeliveries, moves between hours, wikis and editors, ties in time."""
+    rng = random.Random(seed)
+    for _ in range(4):
+        yield [
+            (
+                f"e{rng.randrange(12)}",
+                dt.datetime(2025, 3, 10 + rng.randrange(2), rng.randrange(3), rng.randrange(2), tzinfo=UTC),
+                rng.choice("wx"), "edit", None, None, rng.choice(["u", "v", None]), rng.random() < 0.5, *(None,) * 5, "{}",
+            )
+            for _ in range(rng.randrange(1, 15))
+        ]
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("dies", [False, True])
+def test_adjusting_equals_computing_anew(spark, tmp_path, monkeypatch, seed, dies):
+    """Also when every batch dies once before the mart is written and is run again."""
+    mart = str(tmp_path / "mart")
+    state = incremental.MartState(spark, str(tmp_path / "state"), buckets=3)
+    everything = spark.createDataFrame([], schemas.RAW_NRT)
+    for version, rows in enumerate(random_batches(seed)):
+        batch = spark.createDataFrame(rows, schemas.RAW_NRT)
+        everything = everything.unionByName(batch)
+        if dies:
+            with monkeypatch.context() as patched:
+                patched.setattr(incremental, "put_hours", lambda *a: 1 / 0)
+                try:
+                    state.adjust(batch, version, mart, None)
+                except ZeroDivisionError:
+                    pass
+        state.adjust(batch, version, mart, None)
+        if dies:
+            state.adjust(batch, version, mart, None)
+        got = sorted(map(repr, marts.read_edits_hourly(spark, mart).drop("dt").collect()))
+        assert got == sorted(map(repr, marts.edits_hourly(everything).collect()))
+
+
 def test_flushes_are_recorded_last_and_bounded(spark, tmp_path):
     source, out, bad, state, log = (str(tmp_path / n) for n in ("topic", "buffer", "bad", "state", "log"))
     for _ in range(3):
