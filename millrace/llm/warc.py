@@ -68,7 +68,7 @@ def segments(pages: DataFrame) -> DataFrame:
 def leaves(archive: DataFrame) -> DataFrame:
     """``segment, place, page_id, offset, length, hash`` of every record of an archive."""
     sized = archive.select(
-        "segment", "place", "page_id", F.octet_length("record").cast("bigint").alias("length"), F.unhex(F.sha2("record", 256)).alias("hash")
+        "segment", "place", "page_id", F.coalesce(F.octet_length("record"), F.lit(0)).cast("bigint").alias("length"), F.unhex(F.sha2("record", 256)).alias("hash")
     )
     before = Window.partitionBy("segment").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     return sized.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0).cast("bigint")))
@@ -91,13 +91,21 @@ class Tree:
                 return None if row is None else row["hash"].hex()
             parent = F.shiftright("node", SEGMENT_RECORDS.bit_length() - 1)
             dense = top.select(parent.alias("node"), F.struct("node", "hash").alias("child"))
-            top = dense.groupBy("node").agg(_joined("child").alias("hash"))
+            top = dense.groupBy("node").agg(_joined("child", ("node",)).alias("hash"))
 
 
-def _joined(child: str) -> Column:
-    """Hash of the children's hashes in order; a node has ``FAN_OUT`` children (a root's fold ``SEGMENT_RECORDS``) at most."""
+def _joined(child: str, places: tuple[str, ...]) -> Column:
+    """Hash of the children in order: of each where it is, whether it is null, and its hash.
+
+    A node has ``FAN_OUT`` children (a root's fold ``SEGMENT_RECORDS``) at most.
+    """
     ordered = F.sort_array(F.collect_list(child))
-    return F.unhex(F.sha2(F.aggregate(ordered, F.lit(b""), lambda total, c: F.concat(total, c["hash"])), 256))
+
+    def written(c: Column) -> Column:
+        place = F.concat_ws(":", *(c[name].cast("string") for name in places), F.when(c["hash"].isNull(), "null").otherwise("hash"), F.lit(""))
+        return F.concat(place.cast("binary"), F.coalesce(c["hash"], F.lit(b"")))
+
+    return F.unhex(F.sha2(F.aggregate(ordered, F.lit(b""), lambda total, c: F.concat(total, written(c))), 256))
 
 
 def build(leaf_rows: DataFrame) -> Tree:
@@ -110,9 +118,9 @@ def build(leaf_rows: DataFrame) -> Tree:
     while width > 1:
         width = -(-width // FAN_OUT)
         level = (
-            level.select("segment", "level", F.floor(F.col("node") / FAN_OUT).cast("int").alias("parent"), "start", "stop", F.struct("node", "hash").alias("child"))
+            level.select("segment", "level", F.floor(F.col("node") / FAN_OUT).cast("int").alias("parent"), "start", "stop", F.struct("node", "start", "stop", "hash").alias("child"))
             .groupBy("segment", "level", "parent")
-            .agg(F.min("start").alias("start"), F.max("stop").alias("stop"), _joined("child").alias("hash"))
+            .agg(F.min("start").alias("start"), F.max("stop").alias("stop"), _joined("child", ("node", "start", "stop")).alias("hash"))
             .select("segment", (F.col("level") + 1).alias("level"), F.col("parent").alias("node"), "start", "stop", "hash")
         )
         nodes = nodes.unionByName(level)
@@ -123,7 +131,8 @@ def build(leaf_rows: DataFrame) -> Tree:
 def differing(ours: Tree, theirs: Tree) -> DataFrame:
     """``segment, node, start, stop, ours, theirs``: the records in which two replicas differ.
 
-    A record that only one replica has counts as different, with a null on the other side.
+    A record that only one replica has counts as different, with a null on the other side. One
+    that has only moved, because a record before it has, is searched for but not different.
     Replicas with the same root are not searched at all.
     """
     if ours.levels != theirs.levels:
@@ -154,7 +163,7 @@ def _compare(a: DataFrame, b: DataFrame) -> DataFrame:
     right = b.select("segment", "level", "node", F.col("start").alias("s"), F.col("stop").alias("t"), F.col("hash").alias("theirs"))
     return (
         left.join(right, ["segment", "level", "node"], "full")
-        .where(~F.col("ours").eqNullSafe(F.col("theirs")))
+        .where(~F.col("ours").eqNullSafe(F.col("theirs")) | F.col("start").isNull() | F.col("s").isNull())
         .select("segment", "level", "node", F.coalesce("start", "s").alias("start"), F.coalesce("stop", "t").alias("stop"), "ours", "theirs")
     )
 
@@ -163,8 +172,9 @@ def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """Where two archives (``segment, place, page_id, record``) differ, record by record.
 
     ``segment, place, page_id, start, stop, ours, theirs`` (hashes in hex; null where a
-    replica lacks the record). Empty archives are equal to each other; null records count as
-    missing content with a null hash.
+    replica lacks the record or has a null there). Empty archives are equal to each other. A null
+    record takes no bytes and has a null hash: it equals a null record in the same place, and
+    differs from content there and from no record at all.
     """
     leaf_rows = stored(leaves(ours), "leaves"), stored(leaves(theirs), "leaves")
     found = differing(build(leaf_rows[0]), build(leaf_rows[1]))

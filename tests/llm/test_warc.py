@@ -39,19 +39,43 @@ def test_tree_against_a_tree_built_here(spark):
     leaves = sorted(warc.leaves(made).collect(), key=lambda r: (r["segment"], r["place"]))
     tree = warc.build(warc.leaves(made))
 
-    def fold(hashes, width):
-        return [hashlib.sha256(b"".join(hashes[i : i + width])).digest() for i in range(0, len(hashes), width)]
+    def fold(nodes, named):
+        written = b"".join(":".join(map(str, [*n[:named], "hash", ""])).encode() + n[3] for n in nodes)
+        return nodes[0][1], nodes[-1][2], hashlib.sha256(written).digest()
 
     roots = []
     for segment in sorted({r["segment"] for r in leaves}):
-        level = [bytes(r["hash"]) for r in leaves if r["segment"] == segment]
+        level = [(r["place"], r["offset"], r["offset"] + r["length"], bytes(r["hash"])) for r in leaves if r["segment"] == segment]
         for _ in range(tree.levels - 1):
-            level = fold(level, warc.FAN_OUT)
+            parents = [level[i : i + warc.FAN_OUT] for i in range(0, len(level), warc.FAN_OUT)]
+            level = [(i, *fold(nodes, 3)) for i, nodes in enumerate(parents)]
         assert len(level) == 1
-        roots += level
-    while len(roots) > 1:
-        roots = fold(roots, warc.SEGMENT_RECORDS)
-    assert tree.root() == roots[0].hex()
+        roots.append((segment, *level[0][1:]))
+    assert len(roots) == 2
+    assert tree.root() == fold(roots, 1)[2].hex()
+
+
+def test_twins_lost_in_different_places_differ(spark):
+    rows = [(1, "u", "a"), (2, "v", "x"), (2, "v", "x"), (3, "w", "b")]
+    ours = archive(spark, rows, parts=1)
+    places = [r["place"] for r in ours.where("page_id = 2").orderBy("place").collect()]
+    left, right = (ours.where(F.col("place") != place) for place in places)
+    found = warc.audit(left, right).collect()
+    assert sorted((r["place"], r["ours"] is None, r["theirs"] is None) for r in found) == sorted(
+        [(places[0], True, False), (places[1], False, True)]
+    )
+
+
+def test_null_records(spark):
+    ours = archive(spark, pages(40), parts=1)
+    null = lambda *ids: ours.withColumn("record", F.when(~F.col("page_id").isin(*ids), F.col("record")))
+    assert {r["page_id"] for r in warc.audit(ours, null(3, 17)).collect()} == {3, 17}
+    assert warc.audit(null(3), null(3)).count() == 0
+    assert {r["page_id"] for r in warc.audit(null(3), null(3, 4)).collect()} == {4}
+    [row] = warc.audit(null(3), ours.where("page_id <> 3")).collect()
+    assert (row["page_id"], row["ours"], row["theirs"]) == (3, None, None)
+    every = ours.withColumn("record", F.lit(None).cast("binary"))
+    assert warc.audit(every, every).count() == 0 and warc.audit(ours, every).count() == 40
 
 
 def test_audit_finds_exactly_the_differing_records(spark):
