@@ -1,11 +1,14 @@
-"""Benchmark decontamination: common word n-grams, then Smith-Waterman alignment.
-
-A document and an item that have any word n-gram in common are aligned, however often the
-n-gram or the item occurs elsewhere. Hits on the same diagonal, the place in the document less
-the place in the item, ask for the same passage, so that only the diagonals are kept. The
-passages around them are aligned with the item; edits, insertions and deletions cost a little,
-and the best local alignment tells what part of the item the document contains. Passages with
-too few of the item's words to reach the threshold are passed over before the alignment.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+
+The seeds of an item are those of its word n-grams that few items hold; an n-gram many items
+share, a question phrase say, tells nothing about which item a document contains and would pair
+every such document with every such item. An item all of whose n-grams are widespread is led by
+the rarest of them. A document and an item that share a seed are aligned, however often the seed
+or the item occurs in the corpus. Seeds on the same diagonal, the place in the document less the
+place in the item, ask for the same passage, so that only the diagonals are kept. Only passages
+around them are joined with items; edits, insertions and deletions cost a little, and the best
+local alignment tells what part of the item the document contains. Passages with too few of the
+item's words to reach the threshold are passed over before the alignment.
 """
 
 from __future__ import annotations
@@ -18,8 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bitmap import Bitmap
-from millrace.llm.tables import prepare, stored
+from millrace.llm.tables import keyed, prepare, stored
 from millrace.llm.words import shingle_hashes, word_hashes
 
 #: Words of an n-gram; a copy without so many unchanged words in a row isn't found.
@@ -31,8 +33,15 @@ LONG_ITEM = 60
 #: So many words must be found whatever the share; of a shorter item all.
 LEAST_WORDS = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Bits of the filter that keeps n-grams of no item out of the join; its size never changes.
-FILTER_BITS = 1 << 22
+#: Items that may hold a seed. A document joins so many items at most for each of its n-grams,
+#: unless an item has no n-gram as rare as that.
+RARE = 16
+#: The filter that keeps n-grams of no item out of the join has so many bits per seed, up to
+#: 8 MiB in all; a fuller one lets more n-grams pass, and changes no result.
+BITS_PER_SEED = 64
+#: Words of all items together that are sent to every task (8 bytes each); more are joined by id.
+BROADCAST_WORDS = 1 << 20
+LEAST_BITS, MOST_BITS = 1 << 19, 1 << 26
 
 _TOKEN = re.compile(r"[^\W_]+")
 
@@ -47,38 +56,49 @@ def grams(text: str | None) -> np.ndarray:
     return shingle_hashes(word_hashes(tokens(text or "")), SEED).view(np.int64)
 
 
-def _bit(hashes: np.ndarray) -> np.ndarray:
-    return hashes & (FILTER_BITS - 1)
-
-
-def item_grams(benchmark: DataFrame) -> DataFrame:
-    """``item_id, place, gram``: the n-grams of each item in order."""
+def item_grams(items: DataFrame) -> DataFrame:
+    """``item_id, place, gram``: the n-grams of each item's ``words`` in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
-                found = grams(text)
+            for item, words in zip(batch.column("item_id").to_pylist(), batch.column("words").to_pylist()):
+                found = shingle_hashes(np.frombuffer(words, dtype=np.uint64), SEED).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([item] * len(found), pa.int64()), pa.array(np.arange(len(found), dtype=np.int32)), pa.array(found)],
                     names=["item_id", "place", "gram"],
                 )
 
-    return benchmark.select(F.col("item_id").cast("bigint"), "text").mapInArrow(run, "item_id bigint, place int, gram bigint")
+    return items.select("item_id", "words").mapInArrow(run, "item_id bigint, place int, gram bigint")
 
 
-def _filter(item_side: DataFrame) -> bytes:
-    """A bitmap of fixed size with a bit for every n-gram of the benchmark."""
-    bit = F.col("gram").bitwiseAND(F.lit(FILTER_BITS - 1))
-    rows = (
-        item_side.select(bit.alias("bit"))
-        .groupBy(F.floor(F.col("bit") / 32).alias("word"))
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("bit") % 32).cast("int"))).alias("bits"))
-        .collect()  # FILTER_BITS / 32 rows at most
-    )
-    words = np.zeros(FILTER_BITS // 32, dtype="<u4")
-    for row in rows:
-        words[row["word"]] = row["bits"]
-    return words.tobytes()
+def seeds(item_side: DataFrame, rare: int = RARE) -> DataFrame:
+    """Of ``item_id, place, gram`` the rows whose n-gram at most ``rare`` items hold.
+
+    Of an item without such a row, those that the fewest hold.
+    """
+    held = item_side.select("item_id", "gram").distinct().groupBy("gram").agg(F.count("*").alias("items"))
+    weighed = item_side.join(held, "gram")
+    fewest = weighed.groupBy("item_id").agg(F.min("items").alias("fewest"))
+    return weighed.join(fewest, "item_id").where(F.col("items") <= F.greatest(F.col("fewest"), F.lit(rare))).select("item_id", "place", "gram")
+
+
+def _filter(seed_side: DataFrame) -> bytes:
+    """A bitmap with a bit for every seed, in proportion to their number up to ``MOST_BITS``."""
+    wanted = BITS_PER_SEED * seed_side.count()
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (wanted - 1).bit_length() if wanted else 0))
+
+    def packed(group: pa.Table) -> pa.Table:
+        block = np.zeros(LEAST_BITS, dtype=np.uint8)
+        block[group["gram"].to_numpy() & (LEAST_BITS - 1)] = 1
+        return pa.table({"part": group["part"][:1], "bits": pa.array([np.packbits(block, bitorder="little").tobytes()], pa.binary())})
+
+    part = F.shiftright(F.col("gram").bitwiseAND(F.lit(bits - 1)), LEAST_BITS.bit_length() - 1).cast("int")
+    parts = seed_side.select(part.alias("part"), "gram").distinct().groupBy("part").applyInArrow(packed, "part int, bits binary")
+    size = LEAST_BITS // 8
+    filled = bytearray(bits // 8)
+    for row in parts.toLocalIterator():  # MOST_BITS in all
+        filled[row["part"] * size : (row["part"] + 1) * size] = row["bits"]
+    return bytes(filled)
 
 
 def occurrences(docs: DataFrame, bitmap: bytes) -> DataFrame:
@@ -89,12 +109,13 @@ def occurrences(docs: DataFrame, bitmap: bytes) -> DataFrame:
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(np.frombuffer(bitmap, dtype=np.uint8), bitorder="little").astype(bool)
+        known = np.frombuffer(bitmap, dtype=np.uint8)
         for batch in batches:
             ids, places, found = [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 hashes = grams(text)
-                at = np.flatnonzero(known[_bit(hashes)])
+                bit = hashes & (8 * len(known) - 1)
+                at = np.flatnonzero(known[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
                 ids += [doc_id] * len(at)
                 places.append(at.astype(np.int32))
                 found.append(hashes[at])
@@ -107,10 +128,10 @@ def occurrences(docs: DataFrame, bitmap: bytes) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, place int, gram bigint")
 
 
-def diagonals(item_side: DataFrame, corpus_side: DataFrame) -> DataFrame:
-    """``doc_id, item_id, diagonals`` for every document and item with an n-gram in common."""
+def diagonals(seed_side: DataFrame, corpus_side: DataFrame) -> DataFrame:
+    """``doc_id, item_id, diagonals`` for every document and item with a seed in common."""
     return (
-        corpus_side.join(item_side.withColumnRenamed("place", "item_place"), "gram")
+        corpus_side.join(seed_side.withColumnRenamed("place", "item_place"), "gram")
         .groupBy("doc_id", "item_id")
         .agg(F.collect_set(F.col("place") - F.col("item_place")).alias("diagonals"))
     )
@@ -148,35 +169,48 @@ def align(passage: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return int(matched), int(j), end
 
 
-def best_alignment(words: np.ndarray, item: np.ndarray, found: list[int], threshold: float = 0.0) -> tuple[float, int, int]:
-    """Share of the item found, and the word span, over the passages around all diagonals.
+def passages(words: int, length: int, found: list[int]) -> Iterator[tuple[int, int]]:
+    """Where to look for an item of ``length`` words in a text of ``words``, by its diagonals.
 
-    Overlapping passages are joined. Passages that can't reach ``threshold`` are not aligned.
+    Overlapping passages are joined; long joined ones are cut into overlapping parts, to bound
+    the table of an alignment.
     """
-    slack = 8 + len(item) // 4
+    slack = 8 + length // 4
     spans: list[list[int]] = []
     for diagonal in sorted(found):
         first = max(0, diagonal - slack)
-        last = min(len(words), diagonal + len(item) + slack)
+        last = min(words, diagonal + length + slack)
         if spans and first <= spans[-1][1]:
             spans[-1][1] = max(spans[-1][1], last)
         else:
             spans.append([first, last])
-    needed = min(len(item), LONG_ITEM)
-    best = (0.0, 0, 0)
-    step = 4 * (len(item) + slack) + 64
+    step = 4 * (length + slack) + 64
     for first, last in spans:
-        # Long joined stretches are aligned in overlapping parts, to bound the table.
         for start in range(first, last, step):
-            part = words[start : min(last, start + step + 2 * (len(item) + slack))]
-            # No alignment matches more words than either side has of the other's.
-            most = min(int(np.isin(part, item).sum()), int(np.isin(item, part).sum())) / needed
-            if most < threshold or most <= best[0]:
-                continue
-            matched, a, b = align(part, item)
-            share = min(1.0, matched / needed)
-            if share > best[0]:
-                best = (share, start + a, start + b)
+            yield start, min(last, start + step + 2 * (length + slack))
+
+
+def share_found(part: np.ndarray, item: np.ndarray, threshold: float = 0.0) -> tuple[float, int, int]:
+    """Share of the item in the best alignment with a passage, and its words there.
+
+    Zero where the passage cannot reach ``threshold``.
+    """
+    needed = min(len(item), LONG_ITEM)
+    # No alignment matches more words than either side has of the other's.
+    most = min(int(np.isin(part, item).sum()), int(np.isin(item, part).sum())) / needed
+    if most < threshold:
+        return 0.0, 0, 0
+    matched, first, last = align(part, item)
+    return min(1.0, matched / needed), first, last
+
+
+def best_alignment(words: np.ndarray, item: np.ndarray, found: list[int], threshold: float = 0.0) -> tuple[float, int, int]:
+    """Share of the item found, and the word span, over the passages around all diagonals."""
+    best = (0.0, 0, 0)
+    for start, stop in passages(len(words), len(item), found):
+        share, first, last = share_found(words[start:stop], item, threshold)
+        if share > best[0]:
+            best = (share, start + first, start + last)
     return best
 
 
@@ -189,50 +223,82 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     """``doc_id, item_id, score, first_word, last_word``: the items each document contains.
 
     ``score`` is the share of the item's words in the best alignment; it must reach ``threshold``
-    and come to ``LEAST_WORDS`` words, or all of a shorter item's. Null and empty texts on
+    and come to ``LEAST_WORDS`` words, or all of a shorter item's. The document must hold a seed
+    of the item: what it shares with more than ``RARE`` items alone is no sign of any of them.
+    Items of equal words count as one item there, and all are reported. Null and empty texts on
     either side contain nothing and are contained in nothing; items of fewer than ``SEED`` words
     are found only where a text consists of the same words. Rows that repeat a ``doc_id`` are
     judged together, as are repeated items; other columns are not read. A document without
     ``doc_id`` is not reported.
     """
-    item_side = stored(item_grams(benchmark).where("item_id IS NOT NULL"), "item-grams")
-    corpus_side = stored(occurrences(docs.where("doc_id IS NOT NULL"), _filter(item_side)), "corpus-grams")
-    hits = diagonals(item_side, corpus_side)
-    items = benchmark.groupBy(F.col("item_id").cast("bigint").alias("item_id")).agg(
-        F.max(F.coalesce("text", F.lit(""))).alias("item_text")
-    )
-    per_doc = stored(
-        hits.join(items, "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "item_text", "diagonals")).alias("items")),
-        "hits",
-    )
+    items = stored(_items(benchmark), "items")
+    first = items.groupBy("words").agg(F.min("item_id").alias("first_id"))
+    alike = stored(items.join(first, "words").select("item_id", "first_id"), "alike-items")
+    single = stored(items.join(alike.where("item_id = first_id"), "item_id").select("item_id", "words", "length"), "single-items")
+    seed_side = stored(seeds(item_grams(single.select("item_id", "words"))), "seeds")
+    corpus_side = stored(occurrences(docs.where("doc_id IS NOT NULL"), _filter(seed_side)), "corpus-grams")
+    hits = diagonals(seed_side, corpus_side).join(single.select("item_id", "length"), "item_id")
+    # As many as a document has words, RARE times, at most; no texts.
+    per_doc = stored(hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "length", "diagonals")).alias("items")), "hits")
     # Texts without a hit need not move.
-    hit = Bitmap(per_doc, "doc_id").accepts(F.col("doc_id"))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(F.col("text").isNotNull() & hit)
+    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(F.col("text").isNotNull())
+    texts = keyed(named, per_doc.select("doc_id"), "left_semi")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "items"))):
+                found = word_hashes(tokens(text))
+                rows = [
+                    {"doc_id": doc_id, "item_id": item["item_id"], "start": start, "part": found[start:stop].tobytes()}
+                    for item in wanted
+                    for start, stop in passages(len(found), item["length"], item["diagonals"])
+                ]
+                yield pa.RecordBatch.from_pylist(rows, schema=_PASSAGES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, text, items in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "items"))):
-                found = word_hashes(tokens(text))
-                for item in items:
-                    wanted = word_hashes(tokens(item["item_text"]))
-                    bar = bar_of(len(wanted), threshold)
-                    score, first, last = best_alignment(found, wanted, item["diagonals"], bar)
-                    if score >= bar:
-                        rows.append(
-                            {"doc_id": doc_id, "item_id": item["item_id"], "score": score, "first_word": first, "last_word": last}
-                        )
+            for doc_id, item_id, start, part, words, length in zip(*(column.to_pylist() for column in batch.columns)):
+                bar = bar_of(length, threshold)
+                item = np.frombuffer(words, dtype=np.uint64)
+                score, first_word, last_word = share_found(np.frombuffer(part, dtype=np.uint64), item, bar)
+                if score >= bar:
+                    rows.append({"doc_id": doc_id, "item_id": item_id, "score": score, "first_word": start + first_word, "last_word": start + last_word})
             yield pa.RecordBatch.from_pylist(rows, schema=_FOUND)
 
-    found = texts.join(per_doc, "doc_id").mapInArrow(
+    parts = texts.join(per_doc, "doc_id").mapInArrow(cut, "doc_id bigint, item_id bigint, start int, part binary")
+    few = single.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0] <= BROADCAST_WORDS
+    sides = parts.join(F.broadcast(single) if few else single, "item_id")
+    found = sides.select("doc_id", "item_id", "start", "part", "words", "length").mapInArrow(
         run, "doc_id bigint, item_id bigint, score double, first_word int, last_word int"
     )
     best = F.max(F.struct("score", F.negate("first_word").alias("before"), "last_word")).alias("best")
-    return found.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", "best.score", F.negate(F.col("best.before")).alias("first_word"), "best.last_word"
+    return (
+        found.groupBy("doc_id", F.col("item_id").alias("first_id"))
+        .agg(best)
+        .join(alike, "first_id")
+        .select("doc_id", "item_id", "best.score", F.negate(F.col("best.before")).alias("first_word"), "best.last_word")
     )
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    """``item_id, words, length``: each item's words as hashes; of repeated items the largest text."""
+    texts = benchmark.where("item_id IS NOT NULL").groupBy(F.col("item_id").cast("bigint").alias("item_id")).agg(
+        F.max(F.coalesce("text", F.lit(""))).alias("text")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [word_hashes(tokens(text)) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("item_id"), pa.array([x.tobytes() for x in found], pa.binary()), pa.array([len(x) for x in found], pa.int32())],
+                names=["item_id", "words", "length"],
+            )
+
+    return texts.mapInArrow(run, "item_id bigint, words binary, length int").where("length > 0")
+
+
+_PASSAGES = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int32()), ("part", pa.binary())])
 _FOUND = pa.schema(
     [("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int32()), ("last_word", pa.int32())]
 )
@@ -240,6 +306,4 @@ _FOUND = pa.schema(
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that contain no benchmark item, with all their columns."""
-    tainted = stored(contaminated(docs, benchmark, threshold).select(F.col("doc_id").alias("__id")).distinct(), "tainted")
-    apart, suspects = Bitmap(tainted, "__id").divide(docs, "doc_id")
-    return apart.unionByName(suspects.join(tainted, suspects["doc_id"] == F.col("__id"), "left_anti"))
+    return keyed(docs, stored(contaminated(docs, benchmark, threshold).select("doc_id").distinct(), "tainted"), "left_anti")

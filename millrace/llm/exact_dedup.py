@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.bitmap import Bitmap
-from millrace.llm.tables import ascii_lower, stored
+from millrace.llm.tables import ascii_lower, keyed, stored
 from millrace.session import work_dir
 
 BUCKETS = 64
@@ -75,54 +74,86 @@ def groups_of(rows: DataFrame) -> DataFrame:
     )
 
 
+#: Batches in which a table without an index of its own goes through one.
+BATCHES = 2
+
+
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None, batch: str = "first") -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Of equal texts the largest ``doc_id`` stays; a null id counts as smallest, and of rows that
     share the largest id exactly one stays. Texts an earlier batch of ``index`` brought stay
     with that batch: ``keep_id`` then names the earlier document and ``group_size`` counts the
-    group as it was appended. Null texts count as empty. Other columns are not read.
+    group as it was appended. Without ``index`` a new one takes the rows in ``BATCHES`` batches,
+    the largest ids first, so that what a later batch repeats is known already; ``group_size``
+    then counts all rows. Null texts count as empty. Other columns are not read.
     """
-    spark = docs.sparkSession
-    rows = stored(
+    rows = _digested(docs, batch)
+    if index is not None:
+        index.ingest(groups_of(rows), batch)
+        return _judged(rows, index.rows().drop("batch"))
+    return _judged(*_through_new_index(rows))
+
+
+def _digested(docs: DataFrame, batch: str) -> DataFrame:
+    return stored(
         docs.select(
             "doc_id",
             digest(F.col("text")).alias("digest"),
+            F.xxhash64("text").alias("mark"),
             F.concat(F.spark_partition_id(), F.lit("-"), F.monotonically_increasing_id()).alias("row"),
         ).withColumn("row", F.concat(F.lit(batch + "-"), F.col("row"))),
         "digests",
     )
-    if index is None:  # one for this call, in the shared folder
-        index = DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}", path=work_dir(spark, "digest-index"))
-    index.ingest(groups_of(rows), batch)
-    return (
-        rows.join(index.rows().drop("batch"), "digest")
-        .select(
-            "doc_id",
-            "keep_id",
-            "group_size",
-            (F.col("row") == F.col("keep_row")).alias("kept"),
-            F.col("digest").alias("text_sha256"),
-        )
-    )
 
 
-def keep_one(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """The documents that stay, with all their columns; of repeated rows, one."""
-    decisions = stored(deduplicate(docs, index).select("doc_id", "kept", "text_sha256"), "decisions")
-    apart, suspects = Bitmap(decisions.where("NOT kept"), "doc_id").divide(docs, "doc_id")
-    staying = decisions.where("kept").select(_key(F.col("doc_id"), F.col("text_sha256")).alias("__key")).distinct()
-    marked = suspects.withColumn("__key", _key(F.col("doc_id"), digest(F.col("text"))))
-    # The merge join leaves the rows of a key together and in order, as the window needs them.
-    same = Window.partitionBy("__key").orderBy("__key")
-    first = (
-        marked.join(staying.hint("merge"), "__key", "left_semi")
-        .withColumn("__copy", F.row_number().over(same))
-        .where("__copy = 1")
-        .drop("__key", "__copy")
+def _through_new_index(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows, and the groups of an index of this call that took them batch by batch.
+
+    The index lies in the scratch folder; its name in the catalog is given back at once.
+    """
+    spark = rows.sparkSession
+    path = work_dir(spark, "digest-index")
+    index = DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}", path=path)
+    index.append(groups_of(rows.limit(0)).withColumn("batch", F.lit("")))
+    cuts = rows.agg(F.percentile_approx("doc_id", [1 - i / BATCHES for i in range(1, BATCHES)])).first()[0] or [0] * (BATCHES - 1)
+    upper = None
+    for number, cut in enumerate([*cuts, None]):
+        part = rows if upper is None else rows.where(F.col("doc_id").isNull() | (F.col("doc_id") < upper))
+        part = part if cut is None else part.where(F.col("doc_id") >= cut)
+        index.ingest(groups_of(part), str(number))
+        upper = cut
+    sizes = rows.groupBy("digest").agg(F.count("*").alias("group_size"))
+    groups = stored(index.rows().select("digest", "keep_id", "keep_row").join(sizes, "digest"), "digest-groups")
+    spark.sql(f"DROP TABLE {index.name}")
+    return rows, groups
+
+
+def _judged(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    return rows.join(groups, "digest").select(
+        "doc_id",
+        "keep_id",
+        "group_size",
+        (F.col("row") == F.col("keep_row")).alias("kept"),
+        F.col("digest").alias("text_sha256"),
+        "mark",
     )
-    return apart.unionByName(first)
 
 
-def _key(doc_id: Column, sha: Column) -> Column:
-    return F.concat(sha, F.lit(" "), F.coalesce(doc_id.cast("string"), F.lit("null")))
+def keep_one(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+    """The documents that stay, with all their columns; of repeated rows, one.
+
+    Decisions are made on ids and digests; the texts take part in no more than the last join.
+    """
+    same_row = ["doc_id", F.col("mark").alias("__mark")]
+    decided = stored(
+        deduplicate(docs, index).groupBy(*same_row).agg(F.max("kept").alias("kept"), F.count("*").alias("copies")), "decisions"
+    )
+    gone = stored(decided.where("NOT kept").select("doc_id", "__mark"), "gone")
+    repeated = stored(decided.where("kept AND copies > 1").select("doc_id", "__mark"), "repeated")
+    marked = docs.withColumn("__mark", F.xxhash64("text"))
+    staying = keyed(marked, gone, "left_anti")
+    if repeated.isEmpty():
+        return staying.drop("__mark")
+    once = keyed(staying, repeated, "left_semi").dropDuplicates(["doc_id", "__mark"])
+    return keyed(staying, repeated, "left_anti").unionByName(once).drop("__mark")

@@ -25,9 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import components as cc
-from millrace.llm.bitmap import Bitmap
-from millrace.llm.tables import prepare, stored
-from millrace.llm.words import mixed, shingle_hashes, word_hashes, words
+from millrace.llm.tables import keyed, prepare, stored
+from millrace.llm.words import mixed, shingle_hashes, text_hashes
 
 SHINGLE = 5
 #: Sets link when ``100 * intersection >= SIMILAR * union``.
@@ -54,7 +53,7 @@ KEPT_COUNTS = 64
 
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct shingle hashes of the whole text."""
-    return np.unique(shingle_hashes(word_hashes(words(text or "")), SHINGLE))
+    return np.unique(shingle_hashes(text_hashes(text or ""), SHINGLE))
 
 
 def lacking(n):
@@ -300,7 +299,7 @@ def clusters(described: DataFrame, classes: DataFrame) -> DataFrame:
         entered.join(shared, "key").where(F.col("counted") - F.col("shared") <= most).select(F.col("key").bitwiseAND(F.lit(~3)).alias("class")).distinct(),
         "dense",
     )
-    left = described.where(Bitmap(dense, "class").accepts(F.col("class")))
+    left = keyed(described, dense, "left_semi")
     edges = _lists(_deal(left, buckets, levels), _chained, pa.schema([("a", pa.int64()), ("b", pa.int64())]), "a bigint, b bigint")
     return cc.components(edges.where("a <> b")).withColumnsRenamed({"node": "class", "component": "cluster"})
 
@@ -429,7 +428,8 @@ def verified(docs: DataFrame, members: DataFrame) -> DataFrame:
             digests = [xxhash.xxh3_128_digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], names=["digest", "shingles"])
 
-    wanted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(Bitmap(placed, "doc_id").accepts(F.col("doc_id")))
+    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    wanted = keyed(named, placed.select("doc_id").distinct(), "left_semi")
     sets = wanted.select("text").mapInArrow(shingles, "digest binary, shingles binary")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     side = F.broadcast(placed) if placed.count() * MEMBER_BYTES <= BROADCAST_BYTES else placed
@@ -520,9 +520,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows that share that id and differ in their texts all stay; documents without id stay.
     """
     dropped = stored(
-        link(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct(),
+        link(docs).where("doc_id <> component_id").select("doc_id", F.col("mark").alias("__mark")).distinct(),
         "dropped",
     )
-    apart, suspects = Bitmap(dropped, "__id").divide(docs, "doc_id")
-    same = (suspects["doc_id"] == F.col("__id")) & (F.xxhash64(suspects["text"]) == F.col("__mark"))
-    return apart.unionByName(suspects.join(dropped, same, "left_anti"))
+    marked = docs.withColumn("__mark", F.xxhash64("text"))
+    return keyed(marked, dropped, "left_anti").drop("__mark")

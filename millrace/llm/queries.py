@@ -80,7 +80,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return exact_dedup.deduplicate(table(spark, sf_dir, "documents")).drop("mark")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

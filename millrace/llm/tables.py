@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +48,22 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: Keys that are sent to every task; more of them are joined by a shuffle of both sides.
+BROADCAST_KEYS = 1 << 18
+
+
+def keyed(frame: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``frame`` semi- or anti-joined with stored ``keys`` by their columns; null equals null.
+
+    Key columns are named as in ``frame``. Few keys, by a count, go to every task, so that the
+    frame's texts stay where they are; of more, both sides are shuffled once.
+    """
+    few = keys.count() <= BROADCAST_KEYS
+    named = keys.select(*(F.col(c).alias(f"__key_{c}") for c in keys.columns))
+    same = [frame[c].eqNullSafe(F.col(f"__key_{c}")) for c in keys.columns]
+    return frame.join(F.broadcast(named) if few else named, reduce(Column.__and__, same), how)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(text, UPPER, UPPER.lower())

@@ -131,3 +131,65 @@ def test_an_ordinary_phrase_of_a_short_item_is_no_leak(spark, documents):
     benchmark = spark.createDataFrame([(1, " ".join(short)), (2, " ".join(middle))], "item_id bigint, text string")
     found = D.contaminated(documents(rows), benchmark).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (3, 2), (4, 2)}
+
+
+PHRASE = "which of the following is true about"
+
+
+def items_of(spark, rows):
+    return spark.createDataFrame(rows, "item_id bigint, text string")
+
+
+def words_of(rng, n):
+    return [f"w{rng.randrange(5000)}" for _ in range(n)]
+
+
+def test_a_phrase_of_all_items_and_documents_makes_no_pairs(spark, documents):
+    rng = random.Random(4)
+    items = [(i, f"{PHRASE} {' '.join(words_of(rng, 12))}") for i in range(60)]
+    rows = [(i, f"{' '.join(words_of(rng, 20))} {PHRASE} {' '.join(words_of(rng, 20))}") for i in range(200)]
+    leaked = {1000 + i: i for i in (3, 7, 11)}
+    rows += [(doc, f"{' '.join(words_of(rng, 9))} {items[i][1]} end") for doc, i in leaked.items()]
+    benchmark = items_of(spark, items)
+    single = D._items(benchmark)
+    seed_side = D.seeds(D.item_grams(single)).persist()
+    phrase = set(D.grams(PHRASE).tolist())
+    assert phrase.isdisjoint(r["gram"] for r in seed_side.collect())
+    corpus_side = D.occurrences(documents(rows), D._filter(seed_side))
+    # The leaks, and a few where the word after the phrase is the same too; not 203 * 60.
+    assert len(leaked) <= D.diagonals(seed_side, corpus_side).count() <= 10
+    found = D.contaminated(documents(rows), benchmark).collect()
+    assert {r["doc_id"]: r["item_id"] for r in found} == leaked
+
+
+def test_items_repeated_more_often_than_rare_are_all_found(spark, documents):
+    rng = random.Random(5)
+    text = words_of(rng, 30)
+    same = [(i, " ".join(text)) for i in range(40)]
+    near = [(100 + i, " ".join([*text[:29], f"other{i}"])) for i in range(25)]
+    shared = words_of(rng, 30)  # every n-gram of these is in more items than is rare
+    crowd = [(200 + i, " ".join(shared)) for i in range(20)] + [(300 + i, " ".join([f"a{i % 2}", *shared])) for i in range(3)]
+    rows = [(1, " ".join(words_of(rng, 50) + text)), (2, " ".join(shared)), (3, " ".join(words_of(rng, 60)))]
+    found = {(r["doc_id"], r["item_id"]) for r in D.contaminated(documents(rows), items_of(spark, same + near + crowd)).collect()}
+    assert found == {(1, i) for i, _ in same + near} | {(2, i) for i, _ in crowd}
+
+
+def test_seeds_of_an_item_without_a_rare_one_are_its_rarest(spark):
+    rows = [(i, p, g) for i in range(30) for p, g in enumerate([1, 2] + ([3] if i < 20 else []))]
+    frame = spark.createDataFrame(rows + [(99, 0, 1), (99, 1, 7)], "item_id bigint, place int, gram bigint")
+    chosen = {}
+    for r in D.seeds(frame, rare=4).collect():
+        chosen.setdefault(r["item_id"], set()).add(r["gram"])
+    assert chosen == {i: {3} for i in range(20)} | {i: {2} for i in range(20, 30)} | {99: {7}}
+
+
+def test_filter_grows_with_the_seeds(spark):
+    small = spark.range(10).selectExpr("id AS item_id", "0 AS place", "xxhash64(id) AS gram")
+    large = spark.range(20_000).selectExpr("id AS item_id", "0 AS place", "xxhash64(id) AS gram")
+    assert len(D._filter(small)) * 8 == D.LEAST_BITS
+    bits = np.frombuffer(D._filter(large), dtype=np.uint8)
+    assert len(bits) * 8 == 1 << 21
+    keys = np.array([r["gram"] for r in large.collect()]) & (len(bits) * 8 - 1)
+    assert (bits[keys >> 3] >> (keys & 7).astype(np.uint8) & 1).all()
+    assert int(np.bitwise_count(bits).sum()) == len(np.unique(keys))
+    assert not any(D._filter(small.where("false")))

@@ -54,3 +54,31 @@ def test_empty_long_and_clashing(spark, documents, clash):
     assert kept.columns == frame.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
     assert exact_dedup.deduplicate(frame).count() == 3
+
+
+def test_registered_path_deduplicates_by_the_anti_join(spark, documents, monkeypatch):
+    """Every batch after the first meets an index that holds something; the catalog is left as it was."""
+    seen = []
+    unseen = exact_dedup.DigestIndex.unseen
+
+    def watched(self, groups):
+        new = unseen(self, groups)
+        seen.append((self.rows().count(), groups.count(), new.count(), new._jdf.queryExecution().sparkPlan().toString()))
+        return new
+
+    monkeypatch.setattr(exact_dedup.DigestIndex, "unseen", watched)
+    frame = documents([(i, f"t{i % 30}") for i in range(60)] + [(None, "t1"), (None, None)])
+    before = {t.name for t in spark.catalog.listTables()}
+    rows = exact_dedup.deduplicate(frame).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert [s[0] for s in seen][0] == 0 and seen[-1][0] > 0 and seen[-1][2] < seen[-1][1]
+    assert all("SortMergeJoin" in s[3] and "LeftAnti" in s[3] and "SelectedBucketsCount" in s[3] for s in seen)
+    assert all(r["kept"] == (r["doc_id"] is not None and r["doc_id"] >= 30 or r["text_sha256"][:6] == sha("")) for r in rows)
+    assert {r["group_size"] for r in rows} == {1, 2, 3}
+
+
+def test_many_repeated_rows(documents, clash):
+    frame = clash(documents([(7, "x")] * 300 + [(8, "X"), (8, "y"), (None, "y"), (None, "z"), (None, "z")]))
+    kept = exact_dedup.keep_one(frame)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == [(0, "z"), (8, "X"), (8, "y")]
+    assert kept.columns == frame.columns
