@@ -2,8 +2,9 @@
 
 The seeds of an item are those of its word n-grams that few items hold; an n-gram many items
 share, a question phrase say, tells nothing about which item a document contains and would pair
-every such document with every such item. An item all of whose n-grams are widespread is led by
-the rarest of them. A document and an item that share a seed are aligned, however often the seed
+every such document with every such item. Where a long stretch of an item has no rare n-gram, as in
+a passage that many questions are asked about, the rarest of the stretch is a seed, and an item
+without any seed is led by its rarest n-grams. A document and an item that share a seed are aligned, however often the seed
 or the item occurs in the corpus. Seeds on the same diagonal, the place in the document less the
 place in the item, ask for the same passage, so that only the diagonals are kept. Only passages
 around them are joined with items; edits, insertions and deletions cost a little, and the best
@@ -36,6 +37,10 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 #: Items that may hold a seed. A document joins so many items at most for each of its n-grams,
 #: unless an item has no n-gram as rare as that.
 RARE = 16
+#: Neighbouring n-grams none of which is rare, but which are no phrase any more: one of them is a
+#: seed unless more than ``TEMPLATE`` items hold it too.
+STRETCH = 12
+TEMPLATE = 1000
 #: The filter that keeps n-grams of no item out of the join has so many bits per seed, up to
 #: 8 MiB in all; a fuller one lets more n-grams pass, and changes no result.
 BITS_PER_SEED = 64
@@ -74,12 +79,22 @@ def item_grams(items: DataFrame) -> DataFrame:
 def seeds(item_side: DataFrame, rare: int = RARE) -> DataFrame:
     """Of ``item_id, place, gram`` the rows whose n-gram at most ``rare`` items hold.
 
-    Of an item without such a row, those that the fewest hold.
+    Of every ``STRETCH`` n-grams in a row without such a one, the one that the fewest hold, if
+    at most ``TEMPLATE`` do. Of an item without any of these, those that the fewest hold.
     """
     held = item_side.select("item_id", "gram").distinct().groupBy("gram").agg(F.count("*").alias("items"))
     weighed = item_side.join(held, "gram")
+    stretch = F.floor(F.col("place") / STRETCH).alias("stretch")
+    best = weighed.groupBy("item_id", stretch).agg(
+        F.min(F.struct("items", "place", "gram")).alias("best"), F.count_distinct("place").alias("size")
+    )
+    in_stretches = best.where((F.col("size") == STRETCH) & F.col("best.items").between(rare + 1, TEMPLATE)).select(
+        "item_id", "best.place", "best.gram"
+    )
     fewest = weighed.groupBy("item_id").agg(F.min("items").alias("fewest"))
-    return weighed.join(fewest, "item_id").where(F.col("items") <= F.greatest(F.col("fewest"), F.lit(rare))).select("item_id", "place", "gram")
+    fit = (F.col("items") <= rare) | ((F.col("items") == F.col("fewest")) & (F.col("fewest") > rare))
+    chosen = weighed.join(fewest, "item_id").where(fit).select("item_id", "place", "gram")
+    return chosen.unionByName(in_stretches).distinct()
 
 
 def _filter(seed_side: DataFrame) -> bytes:
@@ -224,7 +239,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 
     ``score`` is the share of the item's words in the best alignment; it must reach ``threshold``
     and come to ``LEAST_WORDS`` words, or all of a shorter item's. The document must hold a seed
-    of the item: what it shares with more than ``RARE`` items alone is no sign of any of them.
+    of the item: a phrase it shares with more than ``RARE`` items is no sign of any of them.
     Items of equal words count as one item there, and all are reported. Null and empty texts on
     either side contain nothing and are contained in nothing; items of fewer than ``SEED`` words
     are found only where a text consists of the same words. Rows that repeat a ``doc_id`` are
