@@ -37,7 +37,6 @@ CHUNK = 1 << 18
 
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 #: Bytes of ASCII that are no small letter count as blanks.
 _BLANKED = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 _BLANKS = re.compile(rb" +")
@@ -92,7 +91,7 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score, and whether the answer is to be rejected."""
-        if text is None or _LETTER.search(text) is None or not self.languages:
+        if text is None or not any(c.isalpha() for c in text) or not self.languages:
             return UNKNOWN, 0.0, True
         scores = _softmax(self.logits(buckets(text)) / self.temperature)
         best = int(np.argmax(scores))

@@ -89,3 +89,9 @@ def test_labels_of_predicted_rows_are_no_input(spark):
     a = language.predict(docs, fitted).orderBy("doc_id").select("lang_pred", "score").collect()
     b = language.predict(docs.withColumn("lang", F.lit("zz")), fitted).orderBy("doc_id").select("lang_pred", "score").collect()
     assert a == b
+
+
+def test_numerals_are_no_letters():
+    model = language.fit(["the cat and the dog"] * 20 + ["der hund und die katze"] * 20, ["en"] * 20 + ["de"] * 20)
+    assert [model.predict(text)[0] for text in ("½ ²", "12 %", "", None, "Ⅻ ①")] == ["und"] * 5
+    assert model.predict("² the dog")[0] == "en"
