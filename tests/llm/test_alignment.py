@@ -1,15 +1,18 @@
 import hashlib
+import os
 import random
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from millrace.llm import alignment
+from millrace.llm import alignment, queries
 
+SF_DIR = "/root/testdata/sf0.001"
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -150,3 +153,10 @@ def test_planes_hold_what_went_in(docs):
     count = dict(zip(pairs.tolist(), n.tolist()))
     assert total.tolist() == [sum(count[p] for p in part.tolist()) for part in links]
     assert top.tolist() == [sum(count[p] > 50 for p in part.tolist()) for part in links]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
+def test_query_equals_whole_texts(spark):
+    docs = pq.read_table(f"{SF_DIR}/documents.parquet", columns=["doc_id", "text"]).to_pydict()
+    want, _ = brute_force(list(zip(docs["doc_id"], docs["text"])))
+    assert result(queries.op11_alignment(spark, SF_DIR)) == sorted(want, key=repr)

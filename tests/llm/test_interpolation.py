@@ -1,15 +1,18 @@
 import math
+import os
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import exchange, interpolation
+from millrace.llm import exchange, interpolation, queries
 from millrace.llm.words import text_hashes, word_hashes, words
 
+SF_DIR = "/root/testdata/sf0.001"
 END, BEGIN = "</end>", "<begin>"
 
 
@@ -173,3 +176,23 @@ def test_planes():
     numbers = np.array([0, 1, 255, 256, 2**40, 2**64 - 1], dtype=np.uint64)
     assert (exchange.numbers(exchange.planes(numbers)) == numbers).all()
     assert [exchange.bucket_count(n) for n in (0, 64 << 20, (64 << 20) + 1)] == [64, 64, 128]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
+def test_query_equals_plain_interpolation(spark):
+    docs = pq.read_table(f"{SF_DIR}/documents.parquet", columns=["doc_id", "text"]).to_pydict()
+    rows = list(zip(docs["doc_id"], docs["text"]))
+    got = {r["doc_id"]: r for r in queries.op13_interpolation(spark, SF_DIR).collect()}
+    fold = in_fold(spark, docs["doc_id"])
+    order = interpolation.ORDER
+    full = Plain([t for i, t in rows if training(i)], order)
+    kept = Plain([t for i, t in rows if training(i) and i not in fold], order)
+    weights = plain_weights(kept, [t for i, t in rows if training(i) and i in fold], order, full.types)
+    assert len(got) == len(rows)
+    for i, text in rows:
+        assert got[i]["held_out"] == (not training(i)) and got[i]["train_tokens"] == full.n
+        assert got[i]["n_tokens"] == len(tokens(text))
+        assert got[i]["base_score"] == pytest.approx(full.base(text), rel=1e-9)
+        assert got[i]["score"] == pytest.approx(full.score(text, weights), rel=1e-6)
+    held = [r for r in got.values() if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
