@@ -14,8 +14,9 @@ _STRICT = {
     "columnNameOfCorruptRecord": "unfit",
     "allowSingleQuotes": "false",
     "allowNonNumericNumbers": "false",
-    # A string's length alone never makes a document unreadable.
+    # The length of a string or number alone never makes a document unreadable.
     "maxStringLen": "2147483647",
+    "maxNumLen": "2147483647",
 }
 
 

@@ -71,6 +71,17 @@ class Layout:
     def planned_loads(self) -> str:
         return self._below("state/planned_loads")
 
+    @property
+    def seen_files(self) -> str:
+        return self._below("state/seen_files")
+
+    @property
+    def seen_reports(self) -> str:
+        return self._below("state/seen_reports")
+
+    def violations(self, rule: str) -> str:
+        return self._below(f"checks/{rule}")
+
     def buffer_partition(self, day: dt.date) -> str:
         return f"{self.buffer}/dt={day.isoformat()}"
 

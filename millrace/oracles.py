@@ -212,6 +212,15 @@ FROM listing""",
     "observed_new_files": f"""WITH {_LISTING}, current AS (
     SELECT file_path FROM listing WHERE regexp_extract(file_path, 'dt=([^/]+)', 1) >= '2024-01-15')
 SELECT file_path, file_path NOT IN (SELECT file_path FROM manifest) AS is_new FROM current""",
+    "reported_files": f"""WITH {_LISTING}
+SELECT file_path, CAST(CASE WHEN part < 4 THEN 0 ELSE 1 END AS INTEGER) AS look FROM listing""",
+    "reported_changes": f"""WITH {_VIEWS}
+SELECT max_fetched_at, row_count, look FROM (
+    SELECT CAST(max(date) + 1 AS TIMESTAMP) AS max_fetched_at, count(*) AS row_count, 0 AS look
+    FROM views WHERE year(date) < 1998
+    UNION ALL
+    SELECT CAST(max(date) + 1 AS TIMESTAMP), count(*), 2 FROM views)
+WHERE row_count > 0""",
     "cleanup_candidates": f"""WITH {_LISTING}
 SELECT l.file_path FROM listing l JOIN manifest m ON l.file_path = m.file_path
 WHERE l.modified_at <= (SELECT max(ts) FROM events) - INTERVAL 7 DAY""",
@@ -266,6 +275,11 @@ SELECT event_id, count(*) AS copies FROM raw_nrt GROUP BY event_id HAVING count(
     "batch_grain_violations": f"""WITH {_VIEWS}
 SELECT date, project, access, CAST(l_partkey AS VARCHAR) AS article, CAST(2 AS BIGINT) AS copies
 FROM views WHERE l_partkey % 50 = 0""",
+    "touched_grain_violations": f"""WITH {_VIEWS}
+SELECT date, project, access, CAST(l_partkey AS VARCHAR) AS article, CAST(2 AS BIGINT) AS copies
+FROM views WHERE l_partkey % 50 = 0""",
+    "touched_audit": f"""WITH {_deliveries(_BLANK)}, {_LATEST}
+{_HOURLY.format(where="WHERE wiki IS NULL OR wiki = ''")}""",
     "landed_events": f"WITH {_PAYLOADS} SELECT * FROM flat",
     "landed_offsets": """SELECT 'recent-changes' AS topic, CAST(event_id % 4 AS INTEGER) AS partition,
        max(event_id // 4) + 1 AS next_offset

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas, storage
+from millrace.cursor import report_change, report_new_files
 from millrace.horizon import advance_horizon, first_kept_day, read_horizon
 from millrace.layout import Layout
 from millrace.operators import retention
@@ -16,6 +17,7 @@ from millrace.operators.staging import stg_events_batch
 from millrace.plans import load, marts
 from millrace.session import work_dir
 from millrace.sinks.tables import append_raw_batch
+from millrace.sources.buffer import file_inventory
 from millrace.sources.captures import decode_frames, with_payload
 from millrace.sources.responses import explode_top, read_reports, report_errors
 
@@ -32,6 +34,14 @@ class ReportResult:
     reports_broken: int
 
 
+@dataclass(frozen=True)
+class ObservationResult:
+    """What came since the last look: new buffer files, and the article table's state if it changed."""
+
+    new_files: DataFrame
+    changed: DataFrame
+
+
 @dataclass(frozen=True)
 class CleanupResult:
     files_deleted: int
@@ -100,6 +110,19 @@ def report_run(
         storage.delete(spark, aside)
 
 
+def observe_run(spark: SparkSession, layout: Layout, since: dt.date | None = None) -> ObservationResult:
+    """Look at the buffer and the article table; every file and every change comes up once.
+
+    Of several observers at a time each gets a part. Files of days before ``since`` are neither
+    listed nor remembered.
+    """
+    raw_batch = storage.read_table(spark, layout.raw_batch, schemas.RAW_BATCH, "month")
+    return ObservationResult(
+        report_new_files(spark, file_inventory(spark, layout.buffer, since), layout.seen_files),
+        report_change(spark, raw_batch, layout.seen_reports),
+    )
+
+
 def pageviews_top(spark: SparkSession, layout: Layout) -> DataFrame:
     """The daily top articles, straight from the raw table."""
     raw = storage.read_table(spark, layout.raw_batch, schemas.RAW_BATCH, "month")

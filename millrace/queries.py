@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace import horizon, inputs, schemas
+from millrace import cursor, horizon, inputs, schemas, storage
 from millrace.functions.dates import compact_day, day_label, hour_start, month_label, target_day
 from millrace.operators import contract, files, intervals, offsets, replay, retention, staging
-from millrace.plans import load, marts, quality
+from millrace.plans import checks, load, marts, quality
 from millrace.session import configure, work_dir
 from millrace.sinks import buffer as buffer_sink
 from millrace.sinks import tables, topic
@@ -324,6 +325,32 @@ def observed_new_files(spark, sf_dir):
     return files.observed_files(window, inputs.manifest(listed))
 
 
+@query
+def reported_files(spark, sf_dir):
+    """Three looks on one cursor: at the files a load got, and twice at all. Each file is reported once."""
+    root = work_dir(spark, "seen-files")
+    listed = inputs.listing(spark, sf_dir)
+    looks = [inputs.manifest(listed), listed, listed]
+    reports = [
+        cursor.report_new_files(spark, look.select("file_path"), root).withColumn("look", F.lit(number))
+        for number, look in enumerate(looks)
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
+@query
+def reported_changes(spark, sf_dir):
+    """Three looks on one cursor: at the older reports twice, then at all. Each change is reported once."""
+    root = work_dir(spark, "seen-reports")
+    articles = inputs.article_views(spark, sf_dir).withColumn("fetched_at", F.date_add("date", 1).cast("timestamp"))
+    older = articles.where(F.year("date") < 1998)
+    reports = [
+        cursor.report_change(spark, look, root).withColumn("look", F.lit(number))
+        for number, look in enumerate([older, older, articles])
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
 @query
 def cleanup_candidates(spark, sf_dir):
     listed = inputs.listing(spark, sf_dir)
@@ -439,6 +466,38 @@ def batch_grain_violations(spark, sf_dir):
     return quality.grain_violations(fetched_twice, schemas.GRAINS["stg_events_batch"])
 
 
+@query
+def touched_grain_violations(spark, sf_dir):
+    """Articles come in three writes, the repeated fetches last; each write's months are checked alone."""
+    table, found = work_dir(spark, "articles"), work_dir(spark, "violations")
+    rows = inputs.article_views(spark, sf_dir).withColumn("article", F.col("l_partkey").cast("string"))
+    rows = rows.withColumn("month", month_label(F.col("date")))
+    again, early = F.col("l_partkey") % 50 == 0, F.year("date") < 1998
+    grain = schemas.GRAINS["stg_events_batch"]
+    violations = checks.violations_table(spark, found, checks.grain_schema(schemas.RAW_BATCH, grain), "month")
+    for number, part in enumerate([rows, rows.where(again & early), rows.where(again & ~early)]):
+        storage.append_partitioned(part.select(*grain, "month"), table, "month")
+        months = [row["month"] for row in part.select("month").distinct().collect()]  # one per year
+        stored = spark.read.parquet(table).withColumn("month", F.col("month").cast("string"))
+        checks.check_touched(violations, stored, checks.partition_grain(grain, "month"), months, number)
+    return violations.read().drop("month")
+
+
+@query
+def touched_audit(spark, sf_dir):
+    """A first day without any wiki is found wanting, then put right: checked are that day, all days, ``DAY``."""
+    mart, found = work_dir(spark, "mart"), work_dir(spark, "violations")
+    rows = marts.edits_hourly(inputs.raw_nrt(spark, sf_dir, blank_wikis=True))
+    rows.withColumn("dt", day_label(F.col("hour_ts"))).write.partitionBy("dt").parquet(mart)
+    violations = checks.violations_table(spark, found, schemas.EDITS_HOURLY, "dt")
+    days = [name.removeprefix("dt=") for name in storage.subdirectories(spark, mart)]
+    broken = marts.read_edits_hourly(spark, mart).withColumn("wiki", F.lit(None).cast("string"))
+    checks.check_touched(violations, broken.where(F.col("dt") == days[0]), marts.without_wiki, days[:1], 0)
+    for number, touched in enumerate([days, [DAY[0].date().isoformat()]], start=1):
+        checks.check_touched(violations, marts.read_edits_hourly(spark, mart), marts.without_wiki, touched, number)
+    return violations.read().drop("dt")
+
+
 # ---- streaming ----------------------------------------------------------------------
 
 

@@ -110,6 +110,10 @@ DIRTY_HOURS = T.StructType(
 # Which files a load is about to read, written before anything else.
 PLANNED_FILES = T.StructType([T.StructField("file_path", T.StringType())])
 
+# What an observer has seen: the last listing and what was new in it, and the last table state.
+SEEN_FILES = T.StructType([T.StructField("file_path", T.StringType()), T.StructField("is_new", T.BooleanType())])
+SEEN_STATE = T.StructType([T.StructField("max_fetched_at", T.TimestampType()), T.StructField("row_count", T.LongType())])
+
 DEAD_LETTER = T.StructType(
     [
         T.StructField("received_at", T.StringType()),

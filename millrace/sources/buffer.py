@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import secrets
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,24 +59,24 @@ def file_inventory(spark: SparkSession, root: str, since: dt.date | None = None)
     )
 
 
-# What a column reads as in a file that doesn't have it. No event has such a value.
-_ABSENT = {
-    T.StringType(): "\x00absent column\x00",
-    T.LongType(): -(2**63),
-}
+def _stand_ins() -> dict[T.DataType, str | int]:
+    """What a column reads as in a file that doesn't have it, drawn anew for every read.
+
+    So no stored value is mistaken for it: one that happens to be drawn, of 2^62 numbers or
+    as many texts, fails that one read and not its repetition.
+    """
+    return {T.StringType(): f"absent column {uuid.uuid4().hex}", T.LongType(): -secrets.randbelow(2**62) - 1}
 
 
-def _marked_schema() -> T.StructType:
+def _marked_schema(stand_ins: dict[T.DataType, str | int]) -> T.StructType:
     """The event columns, those that may be null with a stand-in for "not in the file"."""
     fields = []
     for field in schemas.RAW_NRT.fields:
-        stand_in = None if field.name in schemas.RAW_NRT_REQUIRED else _ABSENT[field.dataType]
         marks = {}
-        if isinstance(stand_in, str):
-            marks = {"EXISTS_DEFAULT": f"'{stand_in}'", "CURRENT_DEFAULT": "NULL"}
-        elif stand_in is not None:
-            # The smallest integer has no literal of its own.
-            marks = {"EXISTS_DEFAULT": f"{stand_in + 1}L - 1L", "CURRENT_DEFAULT": "NULL"}
+        if field.name not in schemas.RAW_NRT_REQUIRED:
+            stand_in = stand_ins[field.dataType]
+            literal = f"'{stand_in}'" if isinstance(stand_in, str) else f"{stand_in}L"
+            marks = {"EXISTS_DEFAULT": literal, "CURRENT_DEFAULT": "NULL"}
         fields.append(T.StructField(field.name, field.dataType, True, marks))
     return T.StructType(fields)
 
@@ -86,7 +88,8 @@ def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     schema Spark fills in what a file does not have: nulls where the event table allows
     none, and elsewhere a stand-in that tells a missing column from a null.
     """
-    rows = spark.read.schema(_marked_schema()).parquet(*paths)
+    stand_ins = _stand_ins()
+    rows = spark.read.schema(_marked_schema(stand_ins)).parquet(*paths)
     checked = []
     for field in schemas.RAW_NRT.fields:
         name = field.name
@@ -94,7 +97,7 @@ def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
         if name in schemas.RAW_NRT_REQUIRED:
             absent = F.col(name).isNull()
         else:
-            absent = F.col(name) == F.lit(_ABSENT[field.dataType])
+            absent = F.col(name) == F.lit(stand_ins[field.dataType])
         value = F.when(absent, problem.cast(field.dataType)).otherwise(F.col(name))
         checked.append(value.alias(name))
     return rows.select(

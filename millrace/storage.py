@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Iterable
 
 from py4j.protocol import Py4JJavaError
@@ -49,6 +50,59 @@ def subdirectories(spark: SparkSession, root: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
 
 
+def file_names(spark: SparkSession, root: str) -> list[str]:
+    """Names of the files directly below ``root``, hidden ones left out; none if it is missing."""
+    fs, target = _resolve(spark, root)
+    if not fs.exists(target):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(target) if s.isFile()]
+    return sorted(name for name in names if not name.startswith(("_", ".")))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A file of one short line."""
+    fs, target = _resolve(spark, path)
+    stream = fs.open(target)
+    try:
+        return stream.readLine()
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, text: str, path: str) -> bool:
+    """Put one short line at ``path``, whole or not at all; False if something is there already.
+
+    Written aside and renamed without overwriting: of several writers one succeeds, on stores
+    whose rename is atomic (a local disk, HDFS).
+    """
+    fs, target = _resolve(spark, path)
+    jvm = spark._jvm
+    aside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+    stream = fs.create(aside)
+    stream.writeBytes(text)
+    stream.close()
+    if fs.exists(target):
+        fs.delete(aside, False)
+        return False
+    return _renamed(spark, fs, aside, target)
+
+
+def _renamed(spark: SparkSession, fs, source, target) -> bool:
+    """Rename without overwriting; where another writer came first, remove ``source``."""
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), fs.getConf())
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    never = spark.sparkContext._gateway.new_array(options, 1)
+    never[0] = options.NONE
+    try:
+        context.rename(fs.makeQualified(source), fs.makeQualified(target), never)
+        return True
+    except Py4JJavaError as error:
+        fs.delete(source, False)
+        if error.java_exception.getClass().getName().endswith("FileAlreadyExistsException"):
+            return False
+        raise
+
+
 def count_below(spark: SparkSession, root: str) -> int:
     """Files and directories directly below ``root``, Spark's own marks left out."""
     fs, target = _resolve(spark, root)

@@ -188,6 +188,13 @@ def test_a_file_with_real_nulls_is_loaded(spark, roots):
     assert row["user"] is None and row["namespace"] is None and row["length_new"] is None
 
 
+def test_the_smallest_integer_is_a_value_like_any_other(spark, roots):
+    land(spark, roots[0], ("a", "2025-03-09 00:00:00"), namespace=-(2**63), length_old=-(2**62))
+    assert load.load_new_files(spark, *roots, NOW) == load.LoadResult(1, 1)
+    [row] = load.read_raw_nrt(spark, roots[1]).collect()
+    assert (row["namespace"], row["length_old"]) == (-(2**63), -(2**62))
+
+
 def test_listing_tasks_do_not_follow_the_bytes(spark, roots):
     for day in range(1, 20):
         land(spark, roots[0], ("a", f"2025-03-{day:02d} 00:00:00"))

@@ -319,3 +319,9 @@ def test_instants_stay_within_the_years_that_have_names(spark):
     rows = contract.validate(frame.coalesce(1)).select("error", "dt").collect()
     assert [row["error"] == "" for row in rows] == [fine for _, fine in edges]
     assert all(len(row["dt"]) == 10 for row in rows if row["error"] == "")
+
+
+@pytest.mark.parametrize("number", ["7" * 1500, "-" + "7" * 1500, "0." + "7" * 1500, "7" * 1500 + "e-3"])
+def test_long_numbers_in_unknown_fields_decide_nothing(spark, number):
+    usual, unusual = (line(extra=1, **changes).replace('"extra": 1', f'"extra": {number}') for changes in ({}, {"namespace": "3"}))
+    assert [row["error"] for row in judge(spark, [usual, unusual])] == ["", ""]

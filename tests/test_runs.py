@@ -77,3 +77,17 @@ def test_reports(spark, tmp_path):
     assert runs.report_run(spark, layout, answers('{"items": []}'), at(6)) == runs.ReportResult(0, 0)
     assert storage.read_table(spark, layout.raw_batch, schemas.RAW_BATCH, "month").count() == 4
     assert runs.pageviews_top(spark, layout).columns == schemas.RAW_BATCH.names[:-1]
+
+
+def test_observation(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    nothing = runs.observe_run(spark, layout)
+    assert nothing.new_files.isEmpty() and nothing.changed.isEmpty()
+    records = topic_records(spark.createDataFrame([("a", message("a", at(1)))], "id string, data string"), "t")
+    land(records, layout.buffer, layout.dead_letters, at(1, 45))
+    good = json.dumps({"items": [{"articles": [{"article": "A", "views": 9, "rank": 1}]}]})
+    answers = spark.createDataFrame([(DAY, "p", "x", good)], "date date, project string, access string, payload string")
+    runs.report_run(spark, layout, answers, at(6))
+    first, second = runs.observe_run(spark, layout), runs.observe_run(spark, layout)
+    assert (first.new_files.count(), first.changed.first()["row_count"]) == (1, 1)
+    assert second.new_files.isEmpty() and second.changed.isEmpty()
