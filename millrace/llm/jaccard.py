@@ -7,21 +7,31 @@ left, each is entered into the lists of its rarest shown shingles, so many that
 sets meet in a list; what is connected through lists is a cluster, and links never cross
 clusters.
 
+Entries of those lists carry the shingle's position in its set. The first shingle that two sets
+share leaves at most as many common ones as either has from there on, so that blocks of a list
+whose positions leave too few for one another are skipped.
+
 Within a cluster overlaps are counted exactly over index lists. A list holds sets in order of
 size, so that the block whose sizes can't match is skipped, and the counts of a set are derived
 from those of a very similar set counted before: only the lists of the shingles in which the
 two differ are read.
+
+A large cluster is cut into blocks. Each block is counted by itself, together with a few
+representatives of the whole cluster; what is then not connected with the cluster's main group
+is compared with everything, and the main group no more with itself. So a group of near copies
+moves once, however large it is.
 """
 
 from __future__ import annotations
 
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import components as cc
@@ -47,6 +57,8 @@ HASH_BYTES = 6
 #: Cluster members that are sent to every task, by their bytes; more are joined by digest.
 BROADCAST_BYTES = 1 << 24
 MEMBER_BYTES = 64
+#: Sets of a cluster that every block of it is compared with, as far as they fit into a block.
+REPRESENTATIVES = 16
 #: Counted sets from which others may be derived.
 KEPT_COUNTS = 64
 
@@ -131,7 +143,16 @@ def describe(docs: DataFrame) -> DataFrame:
 
 
 _DEALT = pa.schema(
-    [("bucket", pa.int32()), ("shingles", pa.binary()), ("owners", pa.binary()), ("keys", pa.binary()), ("sizes", pa.binary())]
+    [
+        ("bucket", pa.int32()),
+        ("shingles", pa.binary()),
+        ("owners", pa.binary()),
+        ("places", pa.binary()),
+        ("keys", pa.binary()),
+        ("sizes", pa.binary()),
+        ("needs", pa.binary()),
+        ("counts", pa.binary()),
+    ]
 )
 
 
@@ -139,31 +160,37 @@ def _deal(described: DataFrame, buckets: int, levels: np.ndarray | None = None)
     """Shown shingles dealt by hash: ``bucket`` and packed arrays of shingles, keys and sizes.
 
     A key is a class and a way. With ``levels`` only the rarest are dealt, as many as it takes
-    for two similar sets to have a common one among them. Of equal sets in one batch only the
-    first is dealt.
+    for two similar sets to have a common one among them, and with each its place in that order;
+    a key then also has the number of shingles it shows, and of those a similar set must show
+    too. Of equal sets in one batch only the first is dealt.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first = {c: i for i, c in reversed(list(enumerate(batch.column("class").to_pylist())))}
             columns = [batch.column(name).to_pylist() for name in ("n", "below", "class", "shown")]
-            keys, sizes, parts = [], [], []
+            keys, sizes, needs, shown, parts = [], [], [], [], []
             for i in sorted(first.values()):
                 n, below, klass, packed = (column[i] for column in columns)
                 part = _unpacked(packed)
                 for way, count in ways(n, below):
                     spread = mixed(part[:count] ^ np.uint64(way))
+                    common = max(1, count - lacking(n))
                     if levels is not None:
-                        common = max(1, count - lacking(n))
                         order = np.lexsort((spread, levels[_cell(spread)]))
                         spread = spread[order[: count - common + 1]]
                     keys.append(klass | way)
                     sizes.append(n)
+                    needs.append(common)
+                    shown.append(count)
                     parts.append(spread)
-            yield from _packed(parts, np.array(keys, dtype=np.int64), np.array(sizes, dtype=np.int32), buckets)
+            of_key = {"keys": np.array(keys, dtype=np.int64)}
+            of_key |= {name: np.array(values, dtype=np.int32) for name, values in (("sizes", sizes), ("needs", needs), ("counts", shown))}
+            yield from _packed(parts, of_key, buckets, placed=levels is not None)
 
     return described.where("n > 0").select("n", "below", "class", "shown").mapInArrow(
-        run, "bucket int, shingles binary, owners binary, keys binary, sizes binary"
+        run,
+        "bucket int, shingles binary, owners binary, places binary, keys binary, sizes binary, needs binary, counts binary",
     )
 
 
@@ -176,14 +203,16 @@ def _cell(spread: np.ndarray) -> np.ndarray:
     return _high(spread, CELLS).astype(np.int64)
 
 
-def _packed(parts: list[np.ndarray], keys: np.ndarray, sizes: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    if not sum(map(len, parts)):
+def _packed(parts: list[np.ndarray], of_key: dict[str, np.ndarray], buckets: int, placed: bool) -> Iterator[pa.RecordBatch]:
+    lengths = [len(p) for p in parts]
+    if not sum(lengths):
         return
-    owner = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
+    owner = np.repeat(np.arange(len(parts), dtype=np.int32), lengths)
+    place = np.concatenate([np.arange(n, dtype=np.uint32) for n in lengths])
     spread = np.concatenate(parts)
     bucket = _high(spread, buckets)
     order = np.argsort(bucket, kind="stable")
-    bucket, owner, spread = bucket[order], owner[order], spread[order]
+    bucket, owner, place, spread = bucket[order], owner[order], place[order], spread[order]
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     rows = []
     for a, b in zip(starts, np.r_[starts[1:], len(bucket)]):
@@ -193,57 +222,81 @@ def _packed(parts: list[np.ndarray], keys: np.ndarray, sizes: np.ndarray, bucket
                 "bucket": int(bucket[a]),
                 "shingles": _short(spread[a:b]),
                 "owners": local.astype(np.uint16).tobytes(),
-                "keys": keys[held].tobytes(),
-                "sizes": sizes[held].tobytes(),
+                "places": place[a:b].tobytes() if placed else b"",
+                "keys": of_key["keys"][held].tobytes(),
+                "sizes": of_key["sizes"][held].tobytes(),
+                "needs": of_key["needs"][held].tobytes() if placed else b"",
+                "counts": of_key["counts"][held].tobytes() if placed else b"",
             }
         )
     yield pa.RecordBatch.from_pylist(rows, schema=_DEALT)
 
 
-def _lists(dealt: DataFrame, of_bucket, schema: pa.Schema, ddl: str) -> DataFrame:
-    """``of_bucket(shingles, owners, keys, sizes)`` for every bucket, one at a time.
+@dataclass(frozen=True)
+class Lists:
+    """The lists of a bucket: distinct pairs of shingle and owner, sorted.
 
-    Pairs of shingle and owner are distinct and sorted; owners point into ``keys`` and
-    ``sizes``, which are in order of size.
+    Owners point into ``keys``, ``sizes``, ``needs`` and ``counts``, which are in order of size.
+    ``places``, ``needs`` and ``counts`` are empty where none were dealt.
     """
 
+    shingles: np.ndarray
+    owners: np.ndarray
+    places: np.ndarray
+    keys: np.ndarray
+    sizes: np.ndarray
+    needs: np.ndarray
+    counts: np.ndarray
+
+
+def _lists(dealt: DataFrame, of_bucket: Callable[[Lists], list[pa.Array]], schema: pa.Schema, ddl: str) -> DataFrame:
+    """``of_bucket`` for the lists of every bucket, one bucket at a time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["bucket"] != current and held:
-                    yield pa.RecordBatch.from_arrays(of_bucket(*_merged(held)), schema=schema)
+                    yield pa.RecordBatch.from_arrays(of_bucket(_merged(held)), schema=schema)
                     held = []
                 current = row["bucket"]
                 held.append(row)
         if held:
-            yield pa.RecordBatch.from_arrays(of_bucket(*_merged(held)), schema=schema)
+            yield pa.RecordBatch.from_arrays(of_bucket(_merged(held)), schema=schema)
 
     return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, ddl)
 
 
-def _merged(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    keys = np.concatenate([np.frombuffer(r["keys"], dtype=np.int64) for r in rows])
-    sizes = np.concatenate([np.frombuffer(r["sizes"], dtype=np.int32) for r in rows])
+def _merged(rows: list[dict]) -> Lists:
+    def joined(name: str, kind: type) -> np.ndarray:
+        return np.concatenate([np.frombuffer(r[name], dtype=kind) for r in rows])
+
+    keys, places = joined("keys", np.int64), joined("places", np.uint32)
     shingles = np.concatenate([_unpacked(r["shingles"]) for r in rows])
     shift = np.cumsum([0] + [len(r["keys"]) // 8 for r in rows])
     owners = np.concatenate([np.frombuffer(r["owners"], dtype=np.uint16).astype(np.int64) + s for r, s in zip(rows, shift)])
     distinct, at = np.unique(keys, return_index=True)
-    by_size = np.argsort(sizes[at], kind="stable")
+    sizes = joined("sizes", np.int32)[at]
+    by_size = np.argsort(sizes, kind="stable")
     rank = np.empty(len(distinct), dtype=np.int64)
     rank[by_size] = np.arange(len(distinct))
     owners = rank[np.searchsorted(distinct, keys)][owners]
-    order = np.lexsort((owners, shingles))
-    shingles, owners = shingles[order], owners[order]
+    # Of a repeated pair the first place stays.
+    order = np.lexsort((places, owners, shingles) if len(places) else (owners, shingles))
+    shingles, owners, places = shingles[order], owners[order], places[order] if len(places) else places
     fresh = np.r_[True, (shingles[1:] != shingles[:-1]) | (owners[1:] != owners[:-1])]
-    return shingles[fresh], owners[fresh], distinct[by_size], sizes[at][by_size]
+    needs, counts = (joined(name, np.int32) for name in ("needs", "counts"))
+    if len(places):
+        places, needs, counts = places[fresh], needs[at][by_size], counts[at][by_size]
+    return Lists(shingles[fresh], owners[fresh], places, distinct[by_size], sizes[by_size], needs, counts)
 
 
 _SHARED = pa.schema([("key", pa.list_(pa.int64())), ("shared", pa.list_(pa.int32())), ("first_cell", pa.int32()), ("levels", pa.binary())])
 
 
-def _shared(shingles: np.ndarray, owners: np.ndarray, keys: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
+def _shared(of: Lists) -> list[pa.Array]:
     """How many of a key's shingles others have too; and how common shingles are, by cell."""
+    shingles, owners, keys = of.shingles, of.owners, of.keys
     starts = np.flatnonzero(np.r_[True, shingles[1:] != shingles[:-1]])
     common = np.diff(np.r_[starts, len(shingles)])
     counts = np.bincount(owners[np.repeat(common > 1, common)], minlength=len(keys))
@@ -259,19 +312,38 @@ def _shared(shingles: np.ndarray, owners: np.ndarray, keys: np.ndarray, sizes: n
     ]
 
 
-def _chained(shingles: np.ndarray, owners: np.ndarray, keys: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
-    """Neighbours in a list ordered by size, unless their sizes can't match, as a forest.
+def _reachable(of: Lists) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of owners that connect those of a list whose sizes and positions can match.
 
-    If two sets of a list can match, all between them can, so they are connected.
+    In order of size a list falls into blocks between which sizes can't match. In such a block an
+    entry covers the range from the shingles its set needs to those it has left from its position
+    on; two entries can match only if their ranges meet. In order of need, each entry is tied to
+    the one before it that reaches furthest, or starts a new block.
     """
-    same = (shingles[1:] == shingles[:-1]) & (100 * sizes[owners[:-1]].astype(np.int64) >= SIMILAR * sizes[owners[1:]].astype(np.int64))
-    pairs = np.unique(np.stack([owners[:-1][same], owners[1:][same]], axis=1), axis=0)
+    sizes = of.sizes[of.owners].astype(np.int64)
+    apart = np.r_[True, (of.shingles[1:] != of.shingles[:-1]) | (100 * sizes[:-1] < SIMILAR * sizes[1:])]
+    block = np.cumsum(apart)
+    need = of.needs[of.owners].astype(np.int64)
+    order = np.lexsort((need, block))
+    block, need, owners = block[order], need[order], of.owners[order]
+    reach = (block << 32) + of.counts[owners] - of.places[order].astype(np.int64)
+    furthest = np.maximum.accumulate(reach)
+    holder = np.maximum.accumulate(np.where(np.r_[True, reach[1:] > furthest[:-1]], np.arange(len(reach)), 0))
+    met = np.flatnonzero((block[1:] == block[:-1]) & (furthest[:-1] >= (block[1:] << 32) + need[1:])) + 1
+    return owners[holder[met - 1]], owners[met]
+
+
+def _chained(of: Lists) -> list[pa.Array]:
+    """What the lists connect, as a forest."""
+    if not len(of.owners):
+        return [pa.array([], pa.int64()), pa.array([], pa.int64())]
+    pairs = np.unique(np.stack(_reachable(of), axis=1), axis=0)
     parent: dict[int, int] = {}
     for a, b in pairs.tolist():
         cc.union(parent, a, b)
     nodes = [x for x in parent if cc.find(parent, x) != x]
     roots = [cc.find(parent, x) for x in nodes]
-    classes = keys & ~3
+    classes = of.keys & ~3
     return [pa.array(classes[nodes], pa.int64()), pa.array(classes[roots], pa.int64())]
 
 
@@ -408,20 +480,89 @@ def _verify(rows: list[dict]) -> list[dict]:
     ]
 
 
-def verified(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """``node, root, links`` of linked classes, block by block of each cluster.
+def _tasks(block: Column, low: Column, high: Column) -> Column:
+    """The pairs of a block with each from ``low`` to ``high``, both included."""
+    return F.transform(F.sequence(low, high), lambda o: F.struct(F.least(block, o).alias("first"), F.greatest(block, o).alias("second")))
+
+
+def _blocks(total: Column) -> Column:
+    return F.ceil(total / BLOCK_SHINGLES).cast("int")
+
+
+def _block(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("node"), blocks).cast("int")
+
+
+def placed(members: DataFrame) -> DataFrame:
+    """``members`` of clusters of more than one class, with ``blocks`` of the cluster and their ``block``.
 
     ``members`` has ``node, digest, cluster, n, copies, doc_id`` (of one document each).
     """
     totals = members.groupBy("cluster").agg(F.sum("n").alias("total"), F.count("*").alias("size")).where("size > 1")
-    blocks = F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int")
-    placed = stored(
-        members.join(totals.select("cluster", blocks.alias("blocks")), "cluster").withColumn(
-            "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return stored(
+        members.join(totals.select("cluster", _blocks(F.col("total")).alias("blocks")), "cluster").withColumn(
+            "block", _block(F.col("blocks"))
         ),
         "members",
     )
 
+
+def _representatives(members: DataFrame) -> DataFrame:
+    """``node`` of the classes of most copies of each cluster that has several blocks."""
+    first = Window.partitionBy("cluster").orderBy(F.desc("copies"), "node")
+    ranked = members.where("blocks > 1").select("cluster", "node", "n", "copies").withColumn("rank", F.row_number().over(first))
+    few = ranked.where(F.col("rank") <= REPRESENTATIVES).withColumn("so_far", F.sum("n").over(first.rowsBetween(Window.unboundedPreceding, 0)))
+    return few.where((F.col("rank") == 1) | (F.col("so_far") <= BLOCK_SHINGLES)).select("node")
+
+
+def connected(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """``node, component`` of linked classes of ``placed`` members, without comparing all of them.
+
+    First every block is counted with the representatives. Members of the largest group found in a
+    cluster need no more comparison among themselves; each other one is compared with all.
+    """
+    chosen = stored(_representatives(members).withColumn("chosen", F.lit(True)), "representatives")
+    first = members.join(chosen, "node", "left")
+    everywhere = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(o.alias("first"), o.alias("second")))
+    tasks = F.when(F.col("chosen"), everywhere).otherwise(_tasks(F.col("block"), F.col("block"), F.col("block")))
+    joined = stored(cc.components(_edges(stored(verified(docs, first, tasks), "links"))), "connected")
+
+    grouped = stored(
+        members.where("blocks > 1").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")), "grouped"
+    )
+    sums = grouped.groupBy("cluster", "component").agg(F.sum("n").alias("total"))
+    main = sums.groupBy("cluster").agg(
+        F.max_by("component", F.struct("total", "component")).alias("main"), F.max("total").alias("ours"), F.sum("total").alias("total")
+    )
+    open_ = main.where("total > ours").select(
+        "cluster", "main", _blocks(F.col("ours")).alias("ours"), _blocks(F.col("total") - F.col("ours")).alias("theirs")
+    )
+    is_main = F.col("component") == F.col("main")
+    left = stored(
+        grouped.drop("block", "blocks")
+        .join(open_, "cluster")
+        .withColumn("block", F.when(is_main, _block(F.col("ours"))).otherwise(F.col("ours") + _block(F.col("theirs"))))
+        .withColumn("lowest", F.when(is_main, F.col("ours")).otherwise(F.lit(0))),
+        "unconnected",
+    )
+    if left.isEmpty():
+        return joined
+    rest = verified(docs, left, _tasks(F.col("block"), F.col("lowest"), F.col("ours") + F.col("theirs") - 1))
+    known = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
+    return cc.components(known.unionByName(_edges(rest)))
+
+
+def _edges(links: DataFrame) -> DataFrame:
+    return links.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b")
+
+
+def verified(docs: DataFrame, members: DataFrame, tasks: Column) -> DataFrame:
+    """``node, root, links`` of linked classes, pair by pair of blocks of a cluster.
+
+    ``members`` has ``node, digest, cluster, copies, doc_id, block`` and what ``tasks`` needs, the
+    pairs of blocks (``first, second``) that a member takes part in.
+    """
+
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(text).tobytes() for text in batch.column("text").to_pylist()]
@@ -429,15 +570,13 @@ def verified(docs: DataFrame, members: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], names=["digest", "shingles"])
 
     named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    wanted = keyed(named, placed.select("doc_id").distinct(), "left_semi")
+    wanted = keyed(named, members.select("doc_id").distinct(), "left_semi")
     sets = wanted.select("text").mapInArrow(shingles, "digest binary, shingles binary")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    side = F.broadcast(placed) if placed.count() * MEMBER_BYTES <= BROADCAST_BYTES else placed
+    side = F.broadcast(members) if members.count() * MEMBER_BYTES <= BROADCAST_BYTES else members
     dealt = (
         sets.join(side, "digest")
-        .select("node", "copies", "cluster", "block", "shingles", other)
-        .withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
-        .drop("other")
+        .select("node", "copies", "cluster", "block", "shingles", F.explode(tasks).alias("task"))
+        .select("node", "copies", "cluster", "block", "shingles", "task.first", "task.second")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -461,14 +600,15 @@ def verified(docs: DataFrame, members: DataFrame) -> DataFrame:
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "node bigint, root bigint, links bigint")
 
 
-def link(docs: DataFrame) -> DataFrame:
-    """``doc_id, mark, n_shingles, component_id, n_links`` of every row.
+def link(docs: DataFrame, count: bool = False) -> DataFrame:
+    """``doc_id, mark, n_shingles, component_id`` of every row, with ``count`` also ``n_links``.
 
-    ``component_id`` is the smallest ``doc_id`` reachable by links, ``n_links`` the number of
-    rows linked directly, ``mark`` a hash of the text. A null or empty text, or one without
-    words, has no shingles and links with nothing: its component is its own ``doc_id``. A text of
-    fewer words than a shingle is one shingle. Rows with equal texts link, also if they repeat a
-    ``doc_id``; null ids are never smallest. Other columns are not read.
+    ``component_id`` is the smallest ``doc_id`` reachable by links, ``mark`` a hash of the text,
+    ``n_links`` the number of rows linked directly; to count them, all members of a cluster have to
+    be compared with one another. A null or empty text, or one without words, has no shingles and
+    links with nothing: its component is its own ``doc_id``. A text of fewer words than a shingle
+    is one shingle. Rows with equal texts link, also if they repeat a ``doc_id``; null ids are
+    never smallest. Other columns are not read.
     """
     described = stored(describe(docs), "shown")
     classes = stored(
@@ -484,22 +624,23 @@ def link(docs: DataFrame) -> DataFrame:
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    members = classes.join(clusters(described, classes), "class").drop("class", "below")
-    found = stored(verified(docs, members), "links")
-    joined = cc.components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b"))
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    members = placed(classes.join(clusters(described, classes), "class").drop("class", "below"))
+    if count:
+        block = F.col("block")
+        found = stored(verified(docs, members, _tasks(block, F.lit(0), F.col("blocks") - 1)), "links")
+        joined = cc.components(_edges(found))
+        links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    else:
+        joined = connected(docs, members)
     smallest = classes.select("node", "doc_id").join(joined, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_node = joined.join(smallest, "component").select("node", "component_id")
-    groups = (
-        classes.select("node", "digest", "copies", "doc_id")
-        .join(by_node, "node", "left")
-        .join(links, "node", "left")
-        .where("copies > 1 OR component_id IS NOT NULL OR links IS NOT NULL")
-        .select(
-            "digest",
-            F.coalesce("component_id", "doc_id").alias("component_id"),
-            (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"),
-        )
+    groups = classes.select("node", "digest", "copies", "doc_id").join(by_node, "node", "left")
+    counted = {}
+    if count:
+        groups = groups.join(links, "node", "left")
+        counted = {"n_links": F.coalesce(F.col("copies") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).cast("bigint")}
+    groups = groups.where("copies > 1 OR component_id IS NOT NULL").select(
+        "digest", F.coalesce("component_id", "doc_id").alias("component_id"), *(c.alias(name) for name, c in counted.items())
     )
     return (
         described.select("doc_id", "mark", "n", "digest")
@@ -509,7 +650,7 @@ def link(docs: DataFrame) -> DataFrame:
             "mark",
             F.col("n").cast("bigint").alias("n_shingles"),
             F.coalesce("component_id", "doc_id").alias("component_id"),
-            F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),
+            *(F.coalesce(name, F.lit(0).cast("bigint")).alias(name) for name in counted),
         )
     )
 

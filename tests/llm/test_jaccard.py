@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from millrace.llm import components, jaccard
 from millrace.llm.words import words
@@ -41,11 +42,16 @@ def brute(rows):
     return sorted((-1 if d is None else d, len(sets[i]), least.get(root(i), -1), links[i]) for i, (d, _) in enumerate(rows))
 
 
+def plain(value):
+    return -1 if value is None else value
+
+
 def found(frame):
-    return sorted(
-        (-1 if r["doc_id"] is None else r["doc_id"], r["n_shingles"], -1 if r["component_id"] is None else r["component_id"], r["n_links"])
-        for r in jaccard.link(frame).collect()
-    )
+    """With links counted; groups found through representatives have to be the same."""
+    counted = [(plain(r["doc_id"]), r["n_shingles"], plain(r["component_id"]), r["n_links"]) for r in jaccard.link(frame, count=True).collect()]
+    grouped = [(plain(r["doc_id"]), r["n_shingles"], plain(r["component_id"])) for r in jaccard.link(frame).collect()]
+    assert sorted(grouped) == sorted(r[:3] for r in counted)
+    return sorted(counted)
 
 
 def corpus(seed, docs=120):
@@ -118,6 +124,105 @@ def test_counting_in_a_cluster(sets, split):
     assert got == want
 
 
+def copies(rng, base, count, edits):
+    texts = []
+    for _ in range(count):
+        copy = list(base)
+        for _ in range(rng.choice(edits)):
+            copy[rng.randrange(len(copy))] = f"z{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+def moved(monkeypatch, frame):
+    """What is found, and how many sets were sent to tasks in each pass of comparisons."""
+    sent = []
+    plain_verified = jaccard.verified
+
+    def counting(docs, members, tasks):
+        sent.append(members.agg(F.sum(F.size(tasks))).first()[0] or 0)
+        return plain_verified(docs, members, tasks)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jaccard, "verified", counting)
+        return sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.link(frame).collect()), sent
+
+
+def test_a_group_of_near_copies_moves_in_proportion(documents, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 4000)
+    rng = random.Random(11)
+    base = [f"y{i}" for i in range(150)]
+    sent = []
+    for size in (200, 400):
+        rows = list(enumerate(copies(rng, base, size, [0, 1, 1, 2])))
+        got, passes = moved(monkeypatch, documents(rows))
+        assert got == [r[:3] for r in brute(rows)]
+        assert len(passes) == 1 or passes[1] < size
+        sent.append(sum(passes))
+    assert sent[1] <= 2.5 * sent[0]
+
+
+def test_a_cluster_of_several_groups_is_compared_whole(documents, monkeypatch):
+    """Groups that meet in lists, some of which no representative stands for, and single links."""
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 1200)
+    monkeypatch.setattr(jaccard, "REPRESENTATIVES", 2)
+    rng = random.Random(12)
+    base = [f"y{i}" for i in range(150)]
+    rows = []
+    for shift in (0, 8, 16, 24, 60):  # neighbours are near the threshold
+        rows += copies(rng, [f"n{shift}-{i}" for i in range(shift)] + base[shift:], 14, [0, 1, 2, 3, 5])
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    got, passes = moved(monkeypatch, documents(rows))
+    assert got == [r[:3] for r in brute(rows)]
+    assert len({r[2] for r in got}) > 1 and len(passes) == 2
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(5, 30), st.integers(0, 5), st.integers(0, 6)), min_size=1, max_size=25))
+def test_lists_connect_whatever_sizes_and_positions_allow(entries):
+    """Entries are shingle, size, shingles not shown and position; each is a set of its own."""
+    entries = sorted((shingle, size, size - hidden, min(place, size - hidden - 1)) for shingle, size, hidden, place in entries if size > hidden)
+    if not entries:
+        return
+    by_size = sorted(range(len(entries)), key=lambda i: entries[i][1])
+    rank = {i: r for r, i in enumerate(by_size)}
+    ordered = sorted(range(len(entries)), key=lambda i: (entries[i][0], rank[i]))
+    sizes = np.array([entries[i][1] for i in by_size], dtype=np.int32)
+    counts = np.array([entries[i][2] for i in by_size], dtype=np.int32)
+    needs = np.maximum(1, counts - sizes * 20 // 100).astype(np.int32)
+    lists = jaccard.Lists(
+        shingles=np.array([entries[i][0] for i in ordered], dtype=np.uint64),
+        owners=np.array([rank[i] for i in ordered]),
+        places=np.array([entries[i][3] for i in ordered], dtype=np.uint32),
+        keys=np.arange(len(entries)) * 4,
+        sizes=sizes,
+        needs=needs,
+        counts=counts,
+    )
+    above = {}
+    for x, y in zip(*jaccard._reachable(lists)):
+        assert entries[by_size[x]][0] == entries[by_size[y]][0]
+        components.union(above, int(x), int(y))
+    for x in range(len(entries)):
+        for y in range(x):
+            (s, n, shown, at), (t, m, seen, place) = entries[by_size[x]], entries[by_size[y]]
+            left = min(shown - at, seen - place)
+            if s == t and 100 * min(n, m) >= 80 * max(n, m) and left >= needs[x] and left >= needs[y]:
+                assert components.find(above, x) == components.find(above, y)
+
+
+def test_positions_keep_sets_apart():
+    """A set of 120 needs 96 common ones; one of 100 has them left only up to its fifth."""
+    sizes = np.array([100, 120], dtype=np.int32)
+    for place, met in ((0, 1), (4, 1), (5, 0), (20, 0)):
+        lists = jaccard.Lists(
+            shingles=np.zeros(2, dtype=np.uint64), owners=np.arange(2), places=np.array([place, 0], dtype=np.uint32),
+            keys=np.array([0, 4]), sizes=sizes, needs=sizes * 80 // 100, counts=sizes,
+        )
+        assert len(jaccard._reachable(lists)[0]) == met
+
+
 def test_keep_one_and_empty(documents, clash):
     rows = [(5, "a b c d e f"), (6, "A b c d e f"), (7, "other words here now ok"), (None, "a b c d e f"), (8, None), (9, "")]
     docs = clash(documents(rows))
