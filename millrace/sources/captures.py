@@ -17,7 +17,7 @@ def _read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Fields of every line that means something, with its place in its file.
 
     A file is read in blocks by several tasks. ``block`` orders them, ``pos`` orders the
-    lines inside one.
+    lines inside one. ``file_key`` stands for the path, which is longer than most lines.
     """
     lines = spark.read.text(paths, recursiveFileLookup=True).select(
         F.col("_metadata.file_path").alias("file"),
@@ -32,6 +32,7 @@ def _read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     value = F.when(F.startswith(rest, F.lit(" ")), F.substring(rest, F.lit(2), F.length(rest)))
     fields = lines.select(
         "file",
+        F.xxhash64("file").alias("file_key"),
         "block",
         "pos",
         (F.col("line") == "").alias("ends_frame"),
@@ -39,8 +40,9 @@ def _read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.coalesce(value, rest).alias("value"),
     )
     is_id = (F.col("name") == "id") & ~F.contains("value", F.lit("\x00"))
-    return fields.select(
+    told = fields.select(
         "file",
+        "file_key",
         "block",
         "pos",
         "ends_frame",
@@ -48,6 +50,7 @@ def _read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.when(F.col("name") == "event", F.col("value")).alias("event"),
         F.when(F.col("name") == "data", F.col("value")).alias("data"),
     )
+    return told.where(F.col("ends_frame") | F.coalesce("id", "event", "data").isNotNull())
 
 
 def _latest(column: str, by: str) -> Column:
@@ -55,18 +58,26 @@ def _latest(column: str, by: str) -> Column:
     return F.max_by(column, F.when(present, F.col(by)))
 
 
-def _carried_over(pieces: DataFrame) -> DataFrame:
-    """Per block: how many frames ended before it and which id was in force.
+def _carried_over(lines: DataFrame) -> DataFrame:
+    """Per block: its file, how many frames ended before it and which id was in force.
 
-    The running sums go over one row per block, so a capture of any size is no burden.
+    Lines are summed up where they are read. The running sums go over one row per block, so
+    a capture of any size is no burden.
     """
-    blocks = pieces.groupBy("file", "block").agg(
-        F.count_if("ended").alias("ended"), _latest("id", "nth").alias("id")
+    blocks = lines.groupBy("file_key", "block").agg(
+        F.collect_set("file").alias("files"),
+        F.count_if("ends_frame").alias("ended"),
+        _latest("id", "pos").alias("id"),
     )
-    earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("file_key").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    of_key = W.partitionBy("file_key")
+    file = F.col("files")[0]
+    shared = (F.size("files") > 1) | (F.min(file).over(of_key) != F.max(file).over(of_key))
+    problem = F.raise_error(F.concat(F.lit("two captures with one hash: "), file)).cast("string")
     return blocks.select(
-        "file",
+        "file_key",
         "block",
+        F.when(shared, problem).otherwise(file).alias("file"),
         F.coalesce(F.sum("ended").over(earlier), F.lit(0)).alias("frames_before"),
         F.last("id", ignorenulls=True).over(earlier).alias("id_before"),
     )
@@ -74,11 +85,11 @@ def _carried_over(pieces: DataFrame) -> DataFrame:
 
 def _pieces(lines: DataFrame) -> DataFrame:
     """Frames as far as one block shows them, numbered within the block."""
-    in_block = W.partitionBy("file", "block").orderBy("pos")
+    in_block = W.partitionBy("file_key", "block").orderBy("pos")
     so_far = in_block.rowsBetween(W.unboundedPreceding, W.currentRow)
     before = in_block.rowsBetween(W.unboundedPreceding, -1)
     placed = lines.select(
-        "file",
+        "file_key",
         "block",
         "pos",
         "ends_frame",
@@ -88,7 +99,7 @@ def _pieces(lines: DataFrame) -> DataFrame:
         F.last("id", ignorenulls=True).over(so_far).alias("id"),
     )
     data = F.when(F.col("data").isNotNull(), F.struct("pos", "data"))
-    return placed.groupBy("file", "block", "nth").agg(
+    return placed.groupBy("file_key", "block", "nth").agg(
         F.max("ends_frame").alias("ended"),
         _latest("event", "pos").alias("event"),
         _latest("id", "pos").alias("id"),
@@ -101,8 +112,8 @@ def decode_frames(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     ``frame`` counts blank lines from the start of the file and so orders its frames.
     """
-    pieces = _pieces(_read_lines(spark, paths))
-    placed = pieces.join(_carried_over(pieces), ["file", "block"]).select(
+    lines = _read_lines(spark, paths)
+    placed = _pieces(lines).join(_carried_over(lines), ["file_key", "block"]).select(
         "file",
         "block",
         (F.col("frames_before") + F.col("nth")).alias("frame"),

@@ -88,3 +88,17 @@ def test_a_capture_split_into_blocks_decodes_like_a_whole_one(spark, tmp_path, b
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert decoded == by_hand(text)
     assert len(decoded) > 20
+
+
+def test_lines_are_dealt_without_their_path_and_without_those_that_mean_nothing(spark, tmp_path):
+    (tmp_path / "c.txt").write_text(": keep-alive\nretry: 10\nid: 1\ndata: a\n\nid: \0\nfoo\n" + ": c\n" * 50)
+    lines = captures._read_lines(spark, str(tmp_path))
+    assert lines.count() == 3
+    assert "file" not in captures._pieces(lines).columns
+
+
+def test_captures_that_share_a_hash_are_reported(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(captures.F, "xxhash64", lambda *_: captures.F.lit(1).cast("bigint"))
+    assert decode(spark, tmp_path, "data: a\n\n") == [(None, None, "a")]
+    with pytest.raises(Exception, match="two captures with one hash"):
+        decode(spark, tmp_path, "data: a\n\n", "data: b\n\n")
