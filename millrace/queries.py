@@ -30,6 +30,8 @@ RECEIVED_AT = dt.datetime(2024, 2, 1, 12, tzinfo=UTC)
 SINCE = dt.date(2024, 1, 15)
 DAY = (dt.datetime(2024, 1, 10, tzinfo=UTC), dt.datetime(2024, 1, 11, tzinfo=UTC))
 BASE_URL = "https://reports.example.org/v1"
+# Files of the topic stand-in: a batch of theirs keeps every core busy and fits in memory.
+TOPIC_FILE_RECORDS, TOPIC_FILES_PER_CORE = 50_000, 4
 
 
 def query(run: Query) -> Query:
@@ -506,9 +508,12 @@ def _land(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     source, root, letters, state, flushes = (
         work_dir(spark, d) for d in ("topic", "buffer", "dead-letter", "checkpoint", "flushes")
     )
-    inputs.topic_rows(spark, sf_dir).write.parquet(source)
-    # A bounded number of files per batch, as the topic source bounds its records.
-    records = spark.readStream.schema(schemas.TOPIC_RECORD).option("maxFilesPerTrigger", 4).parquet(source)
+    inputs.topic_rows(spark, sf_dir).write.option("maxRecordsPerFile", TOPIC_FILE_RECORDS).parquet(source)
+    # A bounded number of files of bounded size per batch, as the topic source bounds its records.
+    files_per_batch = TOPIC_FILES_PER_CORE * spark.sparkContext.defaultParallelism
+    records = (
+        spark.readStream.schema(schemas.TOPIC_RECORD).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    )
     stream = landing.landing_stream(records, root, letters, state, lambda: RECEIVED_AT, flushes)
     stream.trigger(availableNow=True).start().awaitTermination()
     return root, buffer_sink.read_flushes(spark, flushes)

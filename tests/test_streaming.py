@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace import schemas
+from millrace import queries, schemas
 from millrace.horizon import advance_horizon, first_kept_day
 from millrace.operators import deliveries, offsets, retention
 from millrace.plans import load, marts
@@ -225,3 +225,17 @@ def test_streaming_hours_are_final_and_deduplicated(spark, tmp_path):
     got = [(r["wiki"], r["edit_count"], r["distinct_editors"]) for r in rows.collect()]
     assert got == [("w", 2, 2)]
     assert rows.select(F.hour("hour_ts")).first()[0] == 1
+
+
+def test_batches_of_the_landing_queries_are_bounded_and_spread(spark, tmp_path, monkeypatch):
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 3), i, "view", 1.0, '{"k": %d}' % i) for i in range(400)]
+    columns = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(queries, "TOPIC_FILE_RECORDS", 5)
+    monkeypatch.setattr(queries, "TOPIC_FILES_PER_CORE", 2)
+    _, flushes = queries._land(spark, str(tmp_path))
+    per_flush = flushes.groupBy("flush_id").agg(F.sum(F.col("accepted") + F.col("rejected")).alias("n")).collect()
+    cores = spark.sparkContext.defaultParallelism
+    assert sum(r["n"] for r in per_flush) == 400
+    assert max(r["n"] for r in per_flush) <= 5 * 2 * cores
+    assert len(per_flush) >= 400 // (5 * 2 * cores)
