@@ -42,6 +42,21 @@ def numbers(data: bytes, size: int = 8) -> np.ndarray:
     return np.ascontiguousarray(stacked.T).view(f"<u{size}").reshape(-1)
 
 
+def fewest(whole: np.ndarray) -> bytes:
+    """``planes`` without the highest bytes that are zero throughout; the first byte says how many are left."""
+    whole = np.ascontiguousarray(whole, dtype="<u8")
+    size = max(1, -(-int(whole.max(initial=0)).bit_length() // 8))
+    return bytes([size]) + planes(whole)[: size * len(whole)]
+
+
+def from_fewest(data: bytes | pa.Buffer) -> np.ndarray:
+    size = memoryview(data)[0]
+    stacked = np.frombuffer(data, dtype=np.uint8, offset=1).reshape(size, -1)
+    whole = np.zeros((stacked.shape[1], 8), dtype=np.uint8)
+    whole[:, :size] = stacked.T
+    return whole.view("<u8").reshape(-1)
+
+
 def questions(
     block: int, held: bool, kind: int, keys: np.ndarray, counts: np.ndarray, bounds: np.ndarray
 ) -> Iterator[dict]:
@@ -68,7 +83,7 @@ def even_bounds(buckets: int) -> np.ndarray:
 
 
 def answers(asked: DataFrame, resolve: Resolve) -> DataFrame:
-    """An answer (``planes`` of resolve's rows, column by column) to every question.
+    """An answer (``fewest`` of resolve's rows, column by column) to every question.
 
     ``types`` holds, in one row per kind and bucket, how many distinct keys have a first count
     above zero, and 0 in the others. One task holds the keys of one bucket.
@@ -103,7 +118,7 @@ def answers(asked: DataFrame, resolve: Resolve) -> DataFrame:
                 group["held"],
                 group["kind"],
                 group["bucket"],
-                pa.array([planes(told[places[end - own : end]].T.reshape(-1)) for own, end in zip(sizes, ends)], pa.binary()),
+                pa.array([fewest(told[places[end - own : end]].T.reshape(-1)) for own, end in zip(sizes, ends)], pa.binary()),
                 pa.array(types, pa.int64()),
             ],
             schema=schema,
@@ -114,7 +129,8 @@ def answers(asked: DataFrame, resolve: Resolve) -> DataFrame:
 
 def put_together(told: pa.Table, kind: int, width: int) -> np.ndarray:
     """The answers (n x width) to one block's questions of a kind, in the order of its keys."""
-    rows = [r for r in told.to_pylist() if r["kind"] == kind]
-    rows.sort(key=lambda r: r["bucket"])
-    parts = [numbers(r["answer"]).astype(np.int64).reshape(width, -1).T for r in rows]
+    rows = [row for row, own in enumerate(told["kind"].to_pylist()) if own == kind]
+    buckets = told["bucket"].to_pylist()
+    rows.sort(key=buckets.__getitem__)
+    parts = [from_fewest(told["answer"][row].as_buffer()).astype(np.int64).reshape(width, -1).T for row in rows]
     return np.concatenate(parts) if parts else np.zeros((0, width), dtype=np.int64)

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,10 @@ from millrace.llm.words import mixed, text_hashes
 ORDER = 2
 #: Words of one block; a longer document is a block of its own.
 BLOCK_WORDS = 1 << 20
+#: Questions of a block that are handed on together.
+QUESTIONS_AT_ONCE = 64
+#: Tokens whose estimates are mixed together.
+TOKENS_AT_ONCE = 1 << 16
 #: One in so many training documents is held out while the weights are learned.
 FOLDS = 10
 #: Contexts by the bits of their frequency.
@@ -78,8 +83,8 @@ def score(docs: DataFrame, training: Column, order: int = ORDER) -> DataFrame:
     document is held in memory as a whole.
     """
     prepare(docs.sparkSession)
-    packed = stored(blocks(docs, training), "word-blocks")
-    told = stored(exchange.answers(_questions(packed, order), lambda keys, totals: totals), "gram-counts")
+    packed = stored(blocks(docs, training), "word-blocks", large_rows=True)
+    told = stored(exchange.answers(_questions(packed, order), lambda keys, totals: totals), "gram-counts", large_rows=True)
     corpus = _corpus(packed, told)
     weights = learned_weights(packed.where("held"), told.where("held"), corpus, order)
     return _scores(packed, told, corpus, weights)
@@ -187,7 +192,8 @@ def _questions(packed: DataFrame, order: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for place in range(batch.num_rows):
+                row = batch.slice(place, 1).to_pylist()[0]
                 block = Block.of(row)
                 roles = np.repeat(block.roles, block.lengths)
                 for size, grams in enumerate(block.grams(order), 1):
@@ -196,8 +202,10 @@ def _questions(packed: DataFrame, order: int) -> DataFrame:
                         [np.bincount(places[roles >= TRAINING], minlength=len(keys)), np.bincount(places[roles == FOLD], minlength=len(keys))],
                         axis=1,
                     )
-                    rows = list(exchange.questions(row["block"], row["held"], size, keys, counts, bounds))
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    del grams, places
+                    asked = exchange.questions(row["block"], row["held"], size, keys, counts, bounds)
+                    while rows := list(islice(asked, QUESTIONS_AT_ONCE)):
+                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return packed.select("block", "held", "roles", "lengths", "vocabulary", "words").mapInArrow(run, exchange.QUESTIONS)
 
@@ -216,25 +224,36 @@ def _estimates(block: Block, told: pa.Table, corpus: Corpus, order: int, deleted
     """
     n, starts = len(block.hashes), block.starts
     estimates = np.zeros((n, order))
-    buckets = np.zeros((n, order), dtype=np.int64)
+    buckets = np.zeros((n, order), dtype=np.int8)
     shorter = known = None
     for size, grams in enumerate(block.grams(order), 1):
-        places = np.unique(grams, return_inverse=True)[1]
-        answer = exchange.put_together(told, size, 2)[places]
-        counts = answer[:, 0] - answer[:, 1] if deleted else answer[:, 0]
+        places = _places(grams)
+        del grams
+        answer = exchange.put_together(told, size, 2)
+        counts = (answer[:, 0] - answer[:, 1] if deleted else answer[:, 0])[places]
         if size == 1:
-            known = answer[:, 0]
+            known = answer[:, 0][places] if deleted else counts
             context = np.full(n, corpus.tokens - (corpus.fold_tokens if deleted else 0))
         else:
             # How often the n-1 tokens before were followed by anything.
             context = np.roll(shorter, 1)
             context[starts] = corpus.docs - (corpus.fold_docs if deleted else 0)
+        del places, answer
         np.divide(counts, context, out=estimates[:, size - 1], where=context > 0)
         buckets[:, size - 1] = np.frexp(context.astype(np.float64))[1]
         shorter = counts
     return estimates, buckets, known
 
 
+def _places(keys: np.ndarray) -> np.ndarray:
+    """``np.unique``'s inverse, in little memory."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    places = np.empty(len(keys), dtype=np.int64 if len(keys) >> 31 else np.int32)
+    places[order] = np.cumsum(np.append(False, ranked[1:] != ranked[:-1]), dtype=places.dtype)
+    return places
+
+
 def mixture(estimates: np.ndarray, buckets: np.ndarray, weights: np.ndarray, types: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Probabilities of tokens, and the share of the mixture that each order adds to them.
 
@@ -269,7 +288,8 @@ def learned_weights(packed: DataFrame, told: DataFrame, corpus: Corpus, order: i
         columns = [*estimates.T, *buckets.T]
         alike = np.zeros(len(estimates), dtype=np.uint64)
         for column in columns:
-            alike = mixed(alike * _STEP ^ np.ascontiguousarray(column).view(np.uint64))
+            column = np.ascontiguousarray(column)
+            alike = mixed(alike * _STEP ^ (column.view(np.uint64) if column.itemsize == 8 else column.astype(np.uint64)))
         _, first, n = np.unique(alike, return_index=True, return_counts=True)
         return pa.table([pa.array(c[first]).cast(f.type) for c, f in zip(columns, schema)] + [pa.array(n)], schema=schema)
 
@@ -343,7 +363,8 @@ def _scores(packed: DataFrame, told: DataFrame, corpus: Corpus, weights: np.ndar
         row = rows.to_pylist()[0]
         block = Block.of(row)
         estimates, buckets, known = _estimates(block, answers, corpus, order, deleted=False)
-        chance, _ = mixture(estimates, buckets, weights, corpus.types)
+        parts = (slice(at, at + TOKENS_AT_ONCE) for at in range(0, len(known), TOKENS_AT_ONCE))
+        logs = np.concatenate([np.log10(mixture(estimates[part], buckets[part], weights, corpus.types)[0]) for part in parts])
         base = np.log10((known + 0.5) / (corpus.tokens + 0.5 * (corpus.types + 1)))
         starts = block.starts
         return pa.table(
@@ -353,7 +374,7 @@ def _scores(packed: DataFrame, told: DataFrame, corpus: Corpus, weights: np.ndar
                 pa.array(np.add.reduceat((known > 0).astype(np.int64), starts)),
                 pa.array(np.full(len(starts), corpus.tokens)),
                 pa.array(np.add.reduceat(base, starts)),
-                pa.array(np.add.reduceat(np.log10(chance), starts)),
+                pa.array(np.add.reduceat(logs, starts)),
             ],
             schema=schema,
         )

@@ -196,3 +196,15 @@ def test_query_equals_plain_interpolation(spark):
         assert got[i]["score"] == pytest.approx(full.score(text, weights), rel=1e-6)
     held = [r for r in got.values() if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_answers_in_the_fewest_bytes():
+    for numbers, size in (([0], 1), ([255, 3], 1), ([256, 0, 7], 2), ([1 << 23], 3), ([(1 << 64) - 1, 5], 8)):
+        data = exchange.fewest(np.array(numbers, dtype=np.uint64))
+        assert exchange.from_fewest(data).tolist() == numbers
+        assert len(data) == 1 + len(numbers) * size
+
+
+def test_places_are_the_inverse_of_unique():
+    keys = np.array([5, 2**64 - 1, 5, 0, 7, 0], dtype=np.uint64)
+    assert interpolation._places(keys).tolist() == np.unique(keys, return_inverse=True)[1].tolist()
