@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import html_extract as H
 
@@ -177,3 +180,87 @@ def test_content_of_few_wide_and_deep_pages():
     assert H.extract(deep[3], NONE, wrapper=found and H._as_part(found)) == "deep 3"
     wide = [f"<body><div>menu {i}</div><div>" + "".join(f"<div>entry {i} {k}</div>" for k in range(500)) + "</div></body>" for i in range(5)]
     assert H.extract(wide[4], NONE, wrapper=wrapper_of(wide)) == " ".join(f"entry 4 {k}" for k in range(500))
+
+
+def plain_match(a, b):
+    """The score of simple tree matching, with all pairs of children."""
+    if a.tag != b.tag:
+        return 0
+    left, right = a.elements(), b.elements()
+    best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+    for i, x in enumerate(left, 1):
+        for j, y in enumerate(right, 1):
+            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + plain_match(x, y))
+    return 1 + best[-1][-1]
+
+
+@pytest.mark.parametrize("few", [0, 2048])
+def test_alignment_by_shapes_is_the_largest(few, monkeypatch):
+    monkeypatch.setattr(H, "FEW_CELLS", few)
+    monkeypatch.setattr(H, "KNOWN_SHAPES", 20)
+    kept = None
+    rng = random.Random(3)
+
+    def tree(depth):
+        return H.Node(rng.choice("ab"), children=[tree(depth - 1) for _ in range(rng.randrange(5))] if depth else [])
+
+    for _ in range(150):
+        a, b = H.Node("r", children=[tree(3), tree(3)]), H.Node("r", children=[tree(3), tree(3)])
+        score, pairs = H.match_trees(a, b)
+        assert score == len(pairs) == plain_match(a, b) == H.Alignment(a).to(b).score()
+        kept = kept or (a, H.Alignment(a))  # one tree with many others
+        assert len(kept[1].to(b).pairs()) == plain_match(kept[0], b)
+        assert all(x.tag == y.tag for x, y in pairs) and len({id(x) for x, _ in pairs}) == len({id(y) for _, y in pairs}) == score
+        of = {id(x): y for x, y in pairs}
+        for x, y in pairs:
+            partners = [id(of[id(c)]) for c in x.elements() if id(c) in of]
+            assert partners == [i for i in map(id, y.elements()) if i in set(partners)]
+
+
+def ranks(spark, documents):
+    frame = spark.createDataFrame([(d,) for d in documents], "html string").select("html", F.xxhash64("html").alias("rank"))
+    return {r["html"]: r["rank"] for r in frame.collect()}
+
+
+def test_a_line_of_a_few_pages_is_no_template(spark):
+    """Eight pages with the smallest hashes share a line that the others don't have."""
+
+    def told(n, line):
+        return f"<body><div><p>Article {n} text {n * n}</p><p>{line}</p></div></body>"
+
+    shared = ranks(spark, [told(i, "Seen by eight") for i in range(200)])
+    first = sorted(shared, key=shared.get)[:8]
+    own = ranks(spark, [told(i, f"Line {i} of its own") for i in range(200, 300)])
+    others = [d for d, rank in own.items() if rank > shared[first[-1]]][:40]
+    pages = [(i, f"http://h.example/{i}", d) for i, d in enumerate(first + others)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(3)
+    text = {r["page_id"]: r["text"] for r in H.extract_pages(frame).collect()}
+    assert len(others) == 40 and all(text[i].endswith(" Seen by eight") for i in range(8))
+    assert text[20].endswith(" of its own")
+
+
+def test_the_content_after_many_elements_is_found(spark):
+    def story(n):
+        told = "".join(f"<p>Paragraph {k} of story {n}, told at quite some length, so that it is longer than a menu</p>" for k in range(160 + n % 4))
+        return f"<body><section>{''.join(f'<div>topic {n} {k}</div>' for k in range(450))}</section><div>{told}</div><div>Footer line {n}</div></body>"
+
+    pages = [(i, f"http://long.example/{i}", story(i)) for i in range(6)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    for r in H.extract_pages(frame).collect():
+        assert r["text"].startswith(f"Paragraph 0 of story {r['page_id']}, ") and "Footer" not in r["text"] and "topic" not in r["text"]
+
+
+def test_trees_of_parts_are_merged(spark, monkeypatch):
+    pages = [(i, f"http://bare.example/{i}", bare(i)) for i in range(40)] + [(90 + i, f"http://two.example/{i}", page(i)) for i in range(2)]
+    pages += [(50, "http://bare.example/50", bare(7)), (100, "http://bare.example/e", "<body><table><tr><td>Another layout</table></body>")]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    monkeypatch.setattr(H, "MERGED_PAGES", 3)
+    rows = frame.selectExpr("split_part(url, '/', 3) AS host", "xxhash64(html) AS rank", "html")
+    found = {r["host"]: H.unpacked(r["tree"]) for r in H.merged_trees(H.outlines(rows)).collect()}
+    assert {host: tree.pages for host, tree in found.items()} == {"bare.example": 41, "two.example": 2}
+    texts = [part.n for d in {d for _, url, d in pages if "bare" in url} for part in H._parts(H.outline(H.parse(d)))]
+    assert sum(part.n for part in H._parts(found["bare.example"])) == sum(texts)
+    for given in (frame, frame.repartition(5)):
+        text = {r["page_id"]: r["text"] for r in H.extract_pages(given).collect()}
+        assert all(text[n] == bare_text(n) for n in range(40)) and text[50] == bare_text(7)
+        assert text[100] == "Another layout" and text[91] == "Article 1 text 1"
